@@ -19,7 +19,7 @@ from strainwise.operators.relational import (
 from strainwise.sources.sinks import align_to_schema, upsert_coalesce
 
 ALLELE = ["chromosome", "position", "reference_nucleotide", "alternative_nucleotide"]
-STAGED_COLUMNS = schemas.struct_type(schemas.STAGED_GENOTYPE).names
+STAGED_COLUMNS = schemas.column_names(schemas.STAGED_GENOTYPE)
 
 
 def gated(raw: DataFrame, sample: DataFrame, key: str = "sampleid", status: str = rules.READY_STATUS) -> DataFrame:
@@ -65,7 +65,7 @@ def register_new_variants(staged: DataFrame) -> DataFrame:
 def resolve_staged_genotypes(staged: DataFrame, variant: DataFrame) -> DataFrame:
     """Staged calls with the id their alleles have been given."""
     joined = staged.join(variant.select("variant_id", *ALLELE), ALLELE)
-    return select_fields(joined, schemas.struct_type(schemas.GENOTYPE).names)
+    return select_fields(joined, schemas.column_names(schemas.GENOTYPE))
 
 
 # ------------------------------------------------------------------ deletions

@@ -105,3 +105,8 @@ GENE_RESULTS = "gene_id string, analysis_group string, susceptible_genotyped int
 
 def struct_type(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
+
+
+def column_names(ddl: str) -> list[str]:
+    """Column names of a DDL text without nested types."""
+    return [part.split()[0] for part in ddl.split(", ")]
