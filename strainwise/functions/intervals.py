@@ -22,7 +22,7 @@ def point_decimal(text: Column) -> Column:
 def decimal_text(text: Column) -> Column:
     """Shortest decimal text with at least one fraction digit: ``5`` -> ``5.0``, ``.50`` -> ``0.5``."""
     t = F.trim(point_decimal(text))
-    t = F.regexp_replace(t, r"^([+-]?)\.", "${1}0.")
+    t = F.regexp_replace(t, r"(?<![0-9])\.", "0.")
     t = F.when(F.instr(t, ".") > 0, F.regexp_replace(t, r"0+$", "")).otherwise(F.concat(t, F.lit(".")))
     t = F.regexp_replace(t, r"\.$", ".0")
     return F.regexp_replace(F.regexp_replace(t, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")

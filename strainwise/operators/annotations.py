@@ -89,7 +89,8 @@ def explode_ablations(df: DataFrame) -> DataFrame:
 def fix_hgvs(df: DataFrame) -> DataFrame:
     """``p.465`` means unchanged; a start loss spanning several residues names the first one only."""
     value = F.regexp_replace("value", hgvs.BARE_POSITION, "p.=")
-    return df.withColumn("value", F.regexp_replace(value, hgvs.SEVERAL_START_LOST, "p.${1}1?"))
+    first = F.concat(F.lit("p."), F.regexp_extract(value, hgvs.SEVERAL_START_LOST, 1), F.lit("1?"))
+    return df.withColumn("value", F.when(value.rlike(hgvs.SEVERAL_START_LOST), first).otherwise(value))
 
 
 def split_multi_missense(df: DataFrame) -> DataFrame:

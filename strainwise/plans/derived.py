@@ -243,7 +243,7 @@ SELECT plate, drug_id, 0.25e0 AS concentration FROM (SELECT DISTINCT plate, drug
 UNION ALL SELECT plate, drug_id, 0.5e0 FROM (SELECT DISTINCT plate, drug_id FROM {mictest}) b
 UNION ALL SELECT plate, drug_id, 1.0e0 FROM (SELECT DISTINCT plate, drug_id FROM {mictest}) c WHERE drug_id % 3 <> 0"""
 VIEWS["binarised"] = """
-SELECT id AS mictest_id, sample_id, drug_id, plate, mic_value, CASE CAST(id % 20 AS INT) WHEN 0 THEN NULL WHEN 1 THEN 'R' WHEN 2 THEN 'R' ELSE 'S' END AS test_result,
+SELECT id AS mictest_id, sample_id, drug_id, plate, mic_value, CASE WHEN sample_id % 40 = 3 THEN NULL WHEN id % 20 < 3 THEN 'R' ELSE 'S' END AS test_result,
  CASE WHEN plate = 'MYCOTB' THEN 'MYCOTB_MIC' WHEN plate LIKE 'UKMYC%' THEN 'CRyPTIC_MIC' ELSE 'to_be_excluded' END AS phenotypic_category FROM {mictest}"""
 
 
