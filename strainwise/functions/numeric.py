@@ -84,7 +84,11 @@ def beta_quantile(prob: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(DoubleType())
-def clopper_pearson_upper(resistant: pd.Series, susceptible: pd.Series) -> pd.Series:
-    """Upper 97.5 % bound of R / (R + S).  NaN when nothing is susceptible."""
+def _upper_bound(resistant: pd.Series, susceptible: pd.Series) -> pd.Series:
     a, b = resistant.to_numpy(float) + 1.0, susceptible.to_numpy(float)
     return pd.Series(beta_quantile(0.975, a, b))
+
+
+def clopper_pearson_upper(resistant: Column, susceptible: Column) -> Column:
+    """Upper 97.5 % bound of R / (R + S); NaN, hence below no threshold, when nothing is susceptible."""
+    return F.coalesce(_upper_bound(resistant, susceptible), F.lit(float("nan")))

@@ -56,10 +56,11 @@ def distinct_groups(df: DataFrame, map_column: str = "group_results") -> DataFra
     return keys.agg(F.sort_array(F.collect_set("group")).alias("groups"))
 
 
-def _by_group_order(df: DataFrame) -> Column:
-    """Results as an array in the order of all groups; absent groups are NULL."""
-    groups = distinct_groups(df).scalar()
-    return F.transform(groups, lambda g: F.try_element_at("group_results", g))
+def _by_group_order(df: DataFrame) -> DataFrame:
+    """``group_results`` as an array in the order of all groups; absent groups are NULL."""
+    ordered = F.transform("_groups", lambda g: F.try_element_at("group_results", g))
+    with_groups = df.withColumn("_groups", distinct_groups(df).scalar())
+    return with_groups.withColumn("group_results", ordered).drop("_groups")
 
 
 def _type_name(kind: DataType) -> str:
@@ -77,12 +78,12 @@ def combine_browser(
     gene with more is spread over several by the hash of the variant, so that no task
     has to hold all variants of a gene.
     """
-    results = by_gene.select("gene_id", _by_group_order(by_gene).alias("gene_results"))
+    results = _by_group_order(by_gene).select("gene_id", F.col("group_results").alias("gene_results"))
     place, allele = F.col("locus"), F.col("alleles")
     name = F.concat_ws(
         "-", F.regexp_replace(place["contig"], "^chr", ""), place["position"].cast("string"), allele[0], allele[1]
     )
-    flat = by_variant.select(
+    flat = _by_group_order(by_variant).select(
         "gene_id",
         name.alias("variant_id"),
         place["position"].alias("pos"),
@@ -90,7 +91,7 @@ def combine_browser(
         "hgvsc",
         "hgvsp",
         "info",
-        _by_group_order(by_variant).alias("group_results"),
+        "group_results",
     )
     sizes = by_variant.groupBy("gene_id").agg(F.ceil(F.count(F.lit(1)) / per_document).cast("int").alias("parts"))
     variants = (

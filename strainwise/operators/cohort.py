@@ -87,11 +87,12 @@ def samples_per_country(samples: DataFrame, sample: DataFrame, alias: DataFrame,
         .groupBy("sample_id")
         .agg(F.min(F.struct("_source", "country_id"))["country_id"].alias("country_id"))
     )
+    names = country.select("three_letters_code", "country_usual_name")
     return (
         chosen.join(known, "sample_id", "left")
         .groupBy("country_id")
         .agg(F.count(F.lit(1)).alias("total"))
-        .join(country, F.col("country_id") == F.col("three_letters_code"), "left")
+        .join(names, F.col("country_id") == F.col("three_letters_code"), "left")
         .groupBy("country_usual_name", "three_letters_code")
         .agg(F.sum("total").alias("total"))
     )

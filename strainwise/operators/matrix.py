@@ -152,9 +152,9 @@ def _component_rows(scores: DataFrame, k: int) -> DataFrame:
 
 def _small_pca(matrix: DataFrame, features: Column, k: int) -> DataFrame:
     """Library PCA.  It centres while fitting; the scores are centred afterwards by k means."""
-    vectors = matrix.select("sample_id", array_to_vector(features).alias("features"))
+    vectors = cut_lineage(matrix.select("sample_id", array_to_vector(features).alias("features")))
     projected = PCA(k=k, inputCol="features", outputCol="p").fit(vectors).transform(vectors)
-    scores = projected.select("sample_id", vector_to_array("p").alias("scores"))
+    scores = cut_lineage(projected.select("sample_id", vector_to_array("p").alias("scores")))
     means = scores.agg(*[F.avg(F.col("scores")[i]).alias(f"m{i}") for i in range(k)]).first()
     centred = F.array(*[F.col("scores")[i] - F.lit(means[f"m{i}"]) for i in range(k)])
     return _component_rows(scores.select("sample_id", centred.alias("scores")), k)
@@ -225,7 +225,8 @@ def genotype_pca(
     calls: DataFrame, varying: DataFrame, samples: DataFrame, k: int = 10, local_sites: int = LOCAL_COVARIANCE_SITES
 ) -> DataFrame:
     """Scores of every sample on the first k components of the centred base-code matrix."""
-    chosen = samples.select("sample_id").distinct()
+    chosen = cut_lineage(samples.select("sample_id").distinct())
+    calls, varying = cut_lineage(calls.join(chosen, "sample_id", "left_semi")), cut_lineage(varying)
     if varying.select("position").distinct().count() <= local_sites:
         matrix = genotype_matrix(calls, varying, chosen)
         return _small_pca(matrix, F.transform("codes", lambda c: c.cast("double")), k)

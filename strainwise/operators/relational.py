@@ -162,7 +162,7 @@ def fill_from_group(df: DataFrame, keys: list[str], column: str, order: str) ->
     first = (
         df.where(F.col(column).isNotNull())
         .groupBy(*keys)
-        .agg(F.min(F.struct(order, column))[column].alias("_first"))
+        .agg(F.min(F.struct(F.col(order).alias("_o"), F.col(column).alias("_c")))["_c"].alias("_first"))
     )
     return (
         df.join(first, keys, "left").withColumn(column, F.coalesce(F.col(column), F.col("_first"))).drop("_first")

@@ -1 +1,561 @@
-"""Queries."""
+"""Ingestion, submission, quality and browser queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strainwise import schemas
+from strainwise.operators import browser, ingest, qc, submissions
+from strainwise.plans.primitives import gff_features
+from strainwise.plans.registry import query
+from strainwise.session import work_area
+from strainwise.sources import sinks, tables
+from strainwise.streaming import incremental
+
+# ------------------------------------------------------------------ genotypes
+RAW = """SELECT g.genotyper, CAST(g.sample_id AS BIGINT) AS sampleid, v.chromosome AS chrom, CAST(v.position AS BIGINT) AS pos, CASE WHEN g.variant_id % 4 = 0 THEN '.' ELSE CAST(g.variant_id AS STRING) END AS id, v.reference_nucleotide AS ref, v.alternative_nucleotide AS alt,
+ CAST(g.total_dp * 10 AS STRING) AS qual, CAST(g.reference_ad AS BIGINT) AS refad, CAST(g.alternative_ad AS BIGINT) AS altad, CAST(g.total_dp AS BIGINT) AS totaldp, '1/1' AS value FROM {genotype} g JOIN {variant} v ON v.variant_id = g.variant_id"""
+_GATE = "sampleid IN (SELECT id FROM {sample} WHERE bioanalysis_status = 'Uploaded to S3')"
+_KNOWN = f"SELECT CAST(sampleid AS INT) AS sample_id, CAST(id AS INT) AS variant_id, genotyper, CAST(qual AS DOUBLE) AS quality, CAST(refad AS INT) AS reference_ad, CAST(altad AS INT) AS alternative_ad, CAST(totaldp AS INT) AS total_dp, value AS genotype_value FROM ({RAW}) r WHERE id <> '.' AND {_GATE}"
+
+
+@query("load_known_genotypes", _KNOWN)
+def _(t):
+    return ingest.load_known_genotypes(t.sql(RAW), t.sample)
+
+
+@query("load_known_genotypes_incremental", _KNOWN)
+def _(t):
+    """Files of raw calls arrive as CSV and are loaded by a stream; a second run adds nothing."""
+    root = work_area(t.spark, "raw-calls")
+    t.sql(RAW).select(*schemas.column_names(schemas.RAW_GENOTYPE)).write.csv(f"{root}/inbox")
+    for _run in range(2):
+        stream = incremental.stream_files(t.spark, f"{root}/inbox", schemas.RAW_GENOTYPE)
+        incremental.incremental_load(
+            stream, lambda b: ingest.load_known_genotypes(b, t.sample), f"{root}/table", f"{root}/checkpoint"
+        )
+    return incremental.loaded(t.spark, f"{root}/table")
+
+
+STAGED = f"SELECT CAST(sampleid AS INT) AS sample_id, chrom AS chromosome, CAST(pos AS INT) AS position, ref AS reference_nucleotide, alt AS alternative_nucleotide, CAST(totaldp AS INT) AS total_dp, CAST(qual AS DOUBLE) AS quality, CAST(altad AS INT) AS alternative_ad, CAST(refad AS INT) AS reference_ad, genotyper, value AS genotype_value FROM ({RAW}) r WHERE id = '.' AND {_GATE}"
+
+
+def staged(t):
+    return ingest.stage_new_genotypes(t.sql(RAW), t.sample)
+
+
+@query("stage_new_genotypes", STAGED)
+def _(t):
+    return staged(t)
+
+
+@query("register_new_variants", f"SELECT DISTINCT chromosome, position, reference_nucleotide, alternative_nucleotide FROM ({STAGED}) s")
+def _(t):
+    return ingest.register_new_variants(staged(t))
+
+
+@query("resolve_staged_genotypes", f"SELECT s.sample_id, v.variant_id, s.genotyper, s.quality, s.reference_ad, s.alternative_ad, s.total_dp, s.genotype_value FROM ({STAGED}) s JOIN {{variant}} v ON v.chromosome = s.chromosome AND v.position = s.position AND v.reference_nucleotide = s.reference_nucleotide AND v.alternative_nucleotide = s.alternative_nucleotide")
+def _(t):
+    return ingest.resolve_staged_genotypes(staged(t), t.variant)
+
+
+# Deletions: a genome text made of all order keys, deletions placed by line items.
+RAW_DELETION = """SELECT o_custkey AS sampleid, 'chr1' AS chromosome, l_partkey + 1 AS position, 'A' AS alternativenucleotide, 'DEL-' || CAST(l_partkey + 1 + CAST(l_quantity AS BIGINT) AS STRING) AS deletion, 'delly' AS genotyper, CAST(l_linenumber * 100 AS BIGINT) AS quality,
+ CAST(l_suppkey % 7 AS BIGINT) AS dr, CAST(l_linenumber AS BIGINT) AS rr, CAST(l_suppkey % 3 AS BIGINT) AS dv, CAST(l_quantity AS BIGINT) AS rv, '1/1' AS value FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey"""
+DELETED = f"SELECT CAST(sampleid AS INT) AS sample_id, chromosome, CAST(position AS INT) AS position, deletion AS reference_nucleotide, alternativenucleotide AS alternative_nucleotide, CAST(rr + dr + rv + dv AS INT) AS total_dp, CAST(quality AS DOUBLE) AS quality, CAST(rv + dv AS INT) AS alternative_ad, CAST(rr + dr AS INT) AS reference_ad, genotyper, value AS genotype_value FROM ({RAW_DELETION}) r WHERE {_GATE}"
+
+
+def deletions(t):
+    return ingest.load_deletions(t.sql(RAW_DELETION), t.sample)
+
+
+@query("load_deletions", DELETED)
+def _(t):
+    return deletions(t)
+
+
+# The genome: base at position p is ACGT[(p * p + p / 3) % 4], for as many positions as there are parts, plus a margin.
+_BASE = "substr('ACGT', CAST((p * p + floor(p / 3)) % 4 + 1 AS INT), 1)"
+_GENOME = f"SELECT 'chr1' AS chromosome, string_agg({_BASE}, '' ORDER BY p) AS seq FROM (SELECT unnest(generate_series(1, (SELECT max(p_partkey) + 60 FROM {{part}}))) AS p) g"
+_LENGTH = "CAST(substr(reference_nucleotide, 5) AS BIGINT) - position"
+
+
+def genome_chunks(t, size):
+    """Chunks of the genome text, built chunk by chunk."""
+    length = t.part.agg((F.max("p_partkey") + 60).alias("n"))
+    chunk = length.select(F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / size).cast("int"))).alias("chunk"), "n")
+    first = F.col("chunk") * size + 1
+    places = F.sequence(first, F.least(first + size - 1, F.col("n").cast("int")))
+    bases = F.transform(places, lambda p: F.substring(F.lit("ACGT"), ((p * p + F.floor(p / 3)) % 4 + 1).cast("int"), F.lit(1)))
+    return chunk.select(F.lit("chr1").alias("chromosome"), "chunk", F.array_join(bases, "").alias("text"))
+
+
+@query(
+    "register_deletions",
+    f"""SELECT d.chromosome, d.position, substr(g.seq, d.position, d.deletion_length) AS reference_nucleotide, d.alternative_nucleotide FROM (SELECT DISTINCT chromosome, position, alternative_nucleotide, CAST({_LENGTH} AS INT) AS deletion_length FROM ({DELETED}) s WHERE {_LENGTH} < 100000) d CROSS JOIN ({_GENOME}) g
+WHERE NOT EXISTS (SELECT 1 FROM {{variant}} v WHERE v.chromosome = d.chromosome AND v.position = d.position AND v.alternative_nucleotide = d.alternative_nucleotide AND length(v.reference_nucleotide) = d.deletion_length)""",
+)
+def _(t):
+    return ingest.register_deletions(deletions(t), t.variant, genome_chunks(t, 64), size=64)
+
+
+@query("sequence_chunks", f"SELECT 'chr1' AS chromosome, CAST(i AS INT) AS chunk, substr(g.seq, i * 100 + 1, 100) AS text FROM ({_GENOME}) g, (SELECT unnest(generate_series(0, CAST(floor(((SELECT max(p_partkey) + 60 FROM {{part}}) - 1) / 100) AS BIGINT))) AS i) n")
+def _(t):
+    whole = genome_chunks(t, 64).groupBy("chromosome").agg(F.sort_array(F.collect_list(F.struct("chunk", "text"))).alias("c"))
+    sequence = whole.select("chromosome", F.array_join(F.col("c.text"), "").alias("seq"))
+    return ingest.sequence_chunks(sequence, 100)
+
+
+@query(
+    "resolve_deletion_genotypes",
+    f"""SELECT sample_id, variant_id, genotyper, quality, reference_ad, alternative_ad, total_dp, genotype_value FROM (SELECT s.*, v.variant_id, row_number() OVER (PARTITION BY s.sample_id, v.variant_id, s.genotyper ORDER BY s.quality DESC, s.total_dp, s.alternative_ad, s.reference_ad) AS rn
+FROM ({DELETED}) s JOIN {{variant}} v ON v.chromosome = s.chromosome AND v.position = s.position AND length(v.reference_nucleotide) = CAST(substr(s.reference_nucleotide, 5) AS BIGINT) - s.position AND v.alternative_nucleotide = s.alternative_nucleotide) x WHERE rn = 1""",
+)
+def _(t):
+    return ingest.resolve_deletion_genotypes(deletions(t), t.variant)
+
+
+_MULTI = "SELECT g.sample_id, v.chromosome, v.position, v.reference_nucleotide, v.alternative_nucleotide || ',N' AS alternative_nucleotide, CAST(g.alternative_ad AS STRING) || ',.' AS alternative_ad, g.quality FROM {genotype} g JOIN {variant} v ON v.variant_id = g.variant_id"
+
+
+@query("split_multiallelic_calls", "SELECT g.sample_id, v.position, v.alternative_nucleotide, g.alternative_ad, g.quality, v.variant_id FROM {genotype} g JOIN {variant} v ON v.variant_id = g.variant_id UNION ALL SELECT g.sample_id, v.position, 'N', NULL, g.quality, NULL FROM {genotype} g JOIN {variant} v ON v.variant_id = g.variant_id")
+def _(t):
+    rows = ingest.split_multiallelic_calls(t.sql(_MULTI), t.variant)
+    return rows.select("sample_id", "position", "alternative_nucleotide", "alternative_ad", "quality", "variant_id")
+
+
+@query("passing_deletions", "SELECT l_orderkey, l_linenumber FROM {lineitem} WHERE l_returnflag <> 'A' AND l_linestatus = 'F' AND l_tax > 0")
+def _(t):
+    calls = t.lineitem.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") != "A", "PASS").otherwise("LowQual").alias("filter"),
+        F.when(F.col("l_linestatus") == "F", "<DEL>").otherwise("<DUP>").alias("alt"),
+        F.when(F.col("l_tax") > 0, "1/1").otherwise("0/0").alias("gt"),
+    )
+    return ingest.passing_deletions(calls).select("l_orderkey", "l_linenumber")
+
+
+# ------------------------------------------------------------------ statistics
+
+
+@query("load_locus_stats", "SELECT l.sample_id, l.gene_db_crossref_id, l.mean_depth, l.coverage_10x, l.coverage_10x / 2 AS coverage_15x, l.coverage_10x / 4 AS coverage_20x, CAST(0 AS DOUBLE) AS coverage_30x FROM {locus_stats} l JOIN {sample} s ON s.id = l.sample_id WHERE s.bioanalysis_status = 'Uploaded to S3'")
+def _(t):
+    tags = t.locus_tag.withColumnRenamed("rv_symbol", "locus_tag_name")
+    raw = t.locus_stats.join(tags, "gene_db_crossref_id").select(
+        F.col("sample_id").cast("long").alias("sampleid"), F.col("locus_tag_name").alias("locustagname"),
+        F.col("mean_depth").alias("meandepth"), F.col("coverage_10x").alias("cov10x"),
+        (F.col("coverage_10x") / 2).alias("cov15x"), (F.col("coverage_10x") / 4).alias("cov20x"), F.lit(0.0).alias("cov30x"),
+    )
+    return ingest.load_locus_stats(raw, t.sample, tags)
+
+
+@query("load_global_stats", "SELECT u.sample_id, u.median_depth, u.coverage_20x, CAST(u.sample_id * 7 AS BIGINT) AS reads_mapped_and_paired, CAST(u.sample_id AS BIGINT) AS reads_mq_0 FROM {summary_stats} u JOIN {sample} s ON s.id = u.sample_id WHERE s.bioanalysis_status = 'Uploaded to S3'")
+def _(t):
+    raw = t.summary_stats.select(
+        F.col("sample_id").cast("long").alias("sampleid"), F.col("median_depth").alias("mediandepth"),
+        F.col("coverage_20x").alias("coverage20x"), (F.col("sample_id") * 7).alias("readsmappedandpaired"),
+        F.col("sample_id").alias("readsmq0"),
+    )
+    return ingest.load_global_stats(raw, t.sample)
+
+
+@query("load_taxonomy", "SELECT p.sample_id, CASE p.drug_id WHEN 3 THEN 1795 ELSE p.drug_id - 1 END AS ncbi_taxon_id, CAST(p.test_id AS DOUBLE) AS value FROM {pdstest} p JOIN {sample} s ON s.id = p.sample_id WHERE s.bioanalysis_status = 'Uploaded to S3' AND p.drug_id <> 1")
+def _(t):
+    taxon = F.when(F.col("drug_id") == 3, 1570328).otherwise(F.col("drug_id") - 1)
+    raw = t.pdstest.select(
+        F.col("sample_id").cast("long").alias("sampleid"), taxon.cast("long").alias("ncbitaxonid"),
+        F.col("test_id").cast("double").alias("value"),
+    )
+    return ingest.load_taxonomy(raw, t.sample)
+
+
+# ------------------------------------------------------------------ laboratory files
+_NAME = "CASE o_orderkey % 4 WHEN 0 THEN 'S' || CAST(o_custkey AS STRING) WHEN 1 THEN 'SRS' || CAST(o_custkey AS STRING) WHEN 2 THEN 'ERR' || CAST(o_orderkey AS STRING) ELSE 'unknown' END"
+_DRUGTEXT = "CASE WHEN o_orderkey % 3 = 0 THEN y.drug_name_synonym ELSE d.drug_name END"
+_LAB = f"SELECT o_orderkey AS k, o_custkey, {_NAME} AS samplename, {_DRUGTEXT} AS drug FROM {{orders}} JOIN {{drug}} d ON d.drug_id = o_orderkey % 25 + 1 JOIN {{drug_synonym}} y ON y.drug_id = d.drug_id"
+RAW_MIC = f"SELECT *, split_part('UKMYC5,UKMYC6,MYCOTB,other', ',', CAST(k % 4 + 1 AS INT)) AS platename, split_part('0.5 1 0.25 <=0.5 [1,1] 3', ' ', CAST(k % 6 + 1 AS INT)) AS value FROM ({_LAB}) l"
+RAW_PDST = f"SELECT *, split_part('LJ,MGIT,Agar,none', ',', CAST(k % 4 + 1 AS INT)) AS mediumname, CAST(k % 3 AS DOUBLE) / 2 AS concentration, split_part('R,S,,I', ',', CAST(k % 4 + 1 AS INT)) AS result FROM (SELECT o_orderkey AS k, 'S' || CAST(o_custkey AS STRING) AS samplename, d.drug_name AS drug FROM {{orders}} JOIN {{drug}} d ON d.drug_id = o_orderkey % 25 + 1) l"
+
+
+@query(
+    "load_mic",
+    f"""SELECT CAST(m.o_custkey AS INT) AS sample_id, CAST(m.k % 25 + 1 AS INT) AS drug_id, m.platename AS plate, CASE WHEN m.value = '[1,1]' THEN '[1,1]' WHEN s.lower_value IS NOT NULL THEN '(' || CAST(s.lower_value AS STRING) || ',' || m.value || ']'
+ WHEN m.value = '<=0.5' THEN '(0,0.5]' WHEN m.value = '0.5' THEN '[0.5,0.5]' WHEN m.value = '0.25' THEN '[0.25,0.25]' ELSE '[' || m.value || '.0,' || m.value || '.0]' END AS mic_value
+FROM ({RAW_MIC}) m LEFT JOIN (SELECT plate, drug_id, concentration, coalesce(lag(concentration) OVER (PARTITION BY plate, drug_id ORDER BY concentration), CAST(0 AS DOUBLE)) AS lower_value FROM {{plate_concentration}}) s ON s.plate = m.platename AND s.drug_id = m.k % 25 + 1 AND s.concentration = TRY_CAST(m.value AS DOUBLE) WHERE m.samplename <> 'unknown'""",
+)
+def _(t):
+    return ingest.load_mic(t.sql(RAW_MIC), t.sample, t.sequencing, t.drug, t.drug_synonym, t.plate_concentration)
+
+
+@query("load_pdst", f"SELECT CAST(substr(p.samplename, 2) AS INT) AS sample_id, CAST(p.k % 25 + 1 AS INT) AS drug_id, m.medium_id, CAST(NULL AS INT) AS method_id, p.concentration, p.result AS test_result FROM ({RAW_PDST}) p LEFT JOIN {{medium}} m ON m.medium_name = p.mediumname WHERE p.result <> ''")
+def _(t):
+    return ingest.load_pdst(t.sql(RAW_PDST), t.sample, t.sequencing, t.drug, t.drug_synonym, t.medium, t.method)
+
+
+@query("load_molecular_tests", "SELECT p.sample_id, p.drug_id, 'test ' || CAST(p.medium_id AS STRING) AS test_name, p.test_result FROM {pdstest} p")
+def _(t):
+    raw = t.pdstest.join(t.drug, "drug_id").select(
+        F.col("sample_id").alias("sampleid"), F.col("drug_name").alias("drug"),
+        F.concat(F.lit("test "), F.col("medium_id").cast("string")).alias("moleculartestname"), F.col("test_result").alias("result"),
+    )
+    return ingest.load_molecular_tests(raw, t.sample, t.drug)
+
+
+@query("load_sequencing_data", "SELECT sample_id, CASE WHEN id % 6 = 0 THEN 'NGDC-CNCB' ELSE 'S3' END AS data_location, library_name, CASE WHEN id % 6 = 0 THEN 'ftp://download.big.ac.cn/' || file_path ELSE file_path END AS file_path, library_preparation_strategy, sequencing_platform, 'PAIRED' AS library_layout, assay FROM {sequencing}")
+def _(t):
+    path = F.when(F.col("id") % 6 == 0, F.concat(F.lit("ftp://download.big.ac.cn/"), "file_path")).otherwise(F.col("file_path"))
+    raw = t.sequencing.select(
+        F.col("sample_id").alias("sampleid"), F.col("library_name").alias("libraryid"), path.alias("filepath"),
+        F.col("library_preparation_strategy").alias("librarypreparationstrategy"),
+        F.col("sequencing_platform").alias("sequencingplatform"), "assay",
+    )
+    return ingest.load_sequencing_data(raw, t.sample)
+
+
+@query("load_datasets", "SELECT s_name AS dataset_name, 'origin' AS dataset_origin, CAST(s_nationkey AS STRING) AS dataset_owner, CAST('2024-01-02' AS DATE) AS submission_date FROM {supplier}")
+def _(t):
+    none = F.lit(None).cast("string")
+    raw = t.supplier.select(
+        F.col("s_name").alias("datasetname"), F.lit("origin").alias("datasetorigin"),
+        F.col("s_nationkey").cast("string").alias("datasetowner"), none.alias("contactemail"), none.alias("datasettitle"),
+        none.alias("description"), F.lit("2024-01-02").alias("submissiondate"),
+    )
+    return ingest.load_datasets(raw)
+
+
+@query("load_dataset_samples", "SELECT a.sample_id, CAST(p.id AS INT) AS dataset_id FROM {sample_alias} a JOIN {package} p ON p.id = a.package_id")
+def _(t):
+    datasets = t.package.select(F.col("id").alias("dataset_id"), F.col("name").alias("dataset_name"))
+    names = t.package.select(F.col("id").alias("package_id"), F.col("name").alias("datasetname"))
+    raw = t.sample_alias.join(names, "package_id").select(F.col("sample_id").alias("sampleid"), "datasetname")
+    return ingest.load_dataset_samples(raw, t.sample, datasets)
+
+
+@query("load_sample_aliases", "SELECT sample_id, name AS sample_name_synonym, origin AS db, origin_label AS db_label FROM {sample_alias}")
+def _(t):
+    raw = t.sample_alias.select(
+        F.col("sample_id").alias("sampleid"), F.col("name").alias("additionalname"), F.col("origin").alias("db"),
+        F.col("origin_label").alias("dblabel"),
+    )
+    return ingest.load_sample_aliases(raw, t.sample)
+
+
+ENTRIES = """SELECT CASE c_custkey % 4 WHEN 0 THEN 'S' || CAST(c_custkey AS STRING) WHEN 1 THEN 'SRS' || CAST(c_custkey AS STRING) WHEN 2 THEN 'SRS' || CAST(c_custkey + 100000000 AS STRING) ELSE 'new' || CAST(c_custkey AS STRING) END AS samplename, CAST(NULL AS INT) AS ncbitaxonid,
+ CASE WHEN c_custkey % 3 = 0 THEN '2020-01-02' END AS samplingdate, '2024-05-06' AS submissiondate, CASE WHEN c_custkey % 5 = 0 THEN 2015 END AS collectionyear, 'C' || lpad(CAST(c_nationkey AS STRING), 2, '0') AS countrycode, CAST(NULL AS INT) AS country,
+ CASE WHEN c_custkey % 2 = 0 THEN 'sputum' END AS isolationsource, CAST(NULL AS STRING) AS latitude, CAST(NULL AS STRING) AS longitude, CAST(NULL AS STRING) AS additionalgeographicalinformation, CASE WHEN c_custkey % 2 = 0 THEN 'bucket' END AS bucketname,
+ CAST(NULL AS STRING) AS fastqprefix, CASE WHEN c_custkey % 7 = 0 THEN 'AMPLICON' END AS librarypreparationstrategy, CAST(NULL AS STRING) AS sequencingplatform, CAST(NULL AS STRING) AS librarylayout, c_custkey AS k FROM {customer}"""
+
+
+@query("load_samples", f"SELECT samplename AS sample_name, submissiondate AS submission_date, samplingdate AS sampling_date, isolationsource AS isolation_source, countrycode AS country_code, collectionyear AS collection_year FROM ({ENTRIES}) e")
+def _(t):
+    return ingest.load_samples(t.sql(ENTRIES)).select(
+        "sample_name", "submission_date", "sampling_date", "isolation_source", "country_code", "collection_year"
+    )
+
+
+_CURRENT = "SELECT sample_name, sra_name, sample_id, CAST(NULL AS INT) AS country_id, 1764 AS ncbi_taxon_id, '[2000-01-01,2000-12-31]' AS sampling_date, CAST(NULL AS DATE) AS submission_date, CAST(NULL AS STRING) AS additional_geographical_information, CAST(NULL AS STRING) AS latitude, CAST(NULL AS STRING) AS longitude, 'lung' AS isolation_source FROM {sample}"
+
+
+@query(
+    "upsert_samples",
+    f"""WITH e AS (SELECT *, CASE WHEN samplename LIKE 'SRS%' AND k % 4 = 1 THEN 'S' || CAST(k AS STRING) ELSE samplename END AS name, CASE WHEN samplingdate IS NOT NULL THEN '[' || samplingdate || ',' || samplingdate || ']' WHEN collectionyear IS NOT NULL THEN '[' || CAST(collectionyear AS STRING) || '-01-01,' || CAST(collectionyear AS STRING) || '-12-31]' END AS period FROM ({ENTRIES}) x WHERE k % 4 <> 2)
+SELECT coalesce(e.name, s.sample_name) AS sample_name, n.country_id, CASE WHEN s.sample_name IS NULL THEN 1773 ELSE 1764 END AS ncbi_taxon_id, coalesce(e.period, CASE WHEN s.sample_name IS NOT NULL THEN '[2000-01-01,2000-12-31]' END) AS sampling_date, coalesce(e.isolationsource, CASE WHEN s.sample_name IS NOT NULL THEN 'lung' END) AS isolation_source
+FROM {{sample}} s FULL JOIN e ON e.name = s.sample_name LEFT JOIN {{country}} n ON n.three_letters_code = e.countrycode""",
+)
+def _(t):
+    current = t.sql(_CURRENT)
+    result = ingest.upsert_samples(ingest.load_samples(t.sql(ENTRIES)), current, t.sequencing, t.country)
+    return result.select("sample_name", "country_id", "ncbi_taxon_id", "sampling_date", "isolation_source")
+
+
+@query("sequencing_defaults", f"SELECT samplename AS sample_name, bucketname AS bucket_name, samplename AS prefix, coalesce(librarypreparationstrategy, 'WGS') AS library_preparation_strategy, 'ILLUMINA' AS sequencing_platform, 'PAIRED' AS library_layout FROM ({ENTRIES}) e WHERE bucketname IS NOT NULL")
+def _(t):
+    return ingest.sequencing_defaults(ingest.load_samples(t.sql(ENTRIES)))
+
+
+# ------------------------------------------------------------------ submission sheets
+_SHEET = """SELECT 'S ' || CAST(o_orderkey AS STRING) AS `Strain ID`, 'dm' AS `DST Method`, CAST(NULL AS STRING) AS `Method LJ`, split_part('R(0,5)|S (1)|I(.2)|bad', '|', CAST(o_orderkey % 4 + 1 AS INT)) AS `INH (CC)`, split_part('R,S,x', ',', CAST(o_orderkey % 3 + 1 AS INT)) AS `RIF (0,2)`, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'S' END AS EMB FROM {orders}"""
+
+
+@query(
+    "parse_pdst_sheet",
+    """SELECT 'S' || CAST(o_orderkey AS STRING) AS strain_id, 'dm' AS dst_method, '' AS method_lj, 'INH' AS drug, split_part('0.5|1|.2', '|', CAST(o_orderkey % 4 + 1 AS INT)) AS concentration, split_part('R|S|I', '|', CAST(o_orderkey % 4 + 1 AS INT)) AS result FROM {orders} WHERE o_orderkey % 4 < 3
+UNION ALL SELECT 'S' || CAST(o_orderkey AS STRING), 'dm', '', 'RIF', '0.2', split_part('R|S', '|', CAST(o_orderkey % 3 + 1 AS INT)) FROM {orders} WHERE o_orderkey % 3 < 2
+UNION ALL SELECT 'S' || CAST(o_orderkey AS STRING), 'dm', '', 'EMB', '', 'S' FROM {orders} WHERE o_orderkey % 5 > 0""",
+)
+def _(t):
+    return submissions.parse_pdst_sheet(t.sql(_SHEET))
+
+
+@query("parse_pdst_sheet_long", "SELECT 'S' || CAST(sample_id AS STRING) AS strain_id, '' AS dst_method, '' AS method_lj, replace(d.drug_name, ' ', '') AS drug, coalesce(CAST(concentration AS STRING), '') AS concentration, test_result AS result FROM {pdstest} p JOIN {drug} d ON d.drug_id = p.drug_id WHERE test_result IN ('R', 'S', 'I')")
+def _(t):
+    sheet = t.pdstest.join(t.drug, "drug_id").select(
+        F.concat(F.lit("S "), F.col("sample_id").cast("string")).alias("Strain ID"), F.col("drug_name").alias("Drug"),
+        F.col("concentration").alias("Concentration"), F.col("test_result").alias("Result"),
+    )
+    return submissions.parse_pdst_sheet(sheet)
+
+
+_MIC_SHEET = """SELECT 'S' || CAST(o_orderkey AS STRING) AS `Strain ID`, 'P' || CAST(o_custkey % 3 AS STRING) AS Plate, CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '<= 2' WHEN 2 THEN '4' ELSE '(1,2]' END AS INH, CAST(o_custkey % 4 + 1 AS STRING) AS RIFA FROM {orders}"""
+
+
+@query(
+    "parse_mic_sheet",
+    """SELECT 'S' || CAST(o_orderkey AS STRING) AS strain_id, 'P' || CAST(o_custkey % 3 AS STRING) AS plate, 'INH' AS drug, CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '<=2' WHEN 2 THEN '4' ELSE '(1,2]' END AS value, CASE o_orderkey % 4 WHEN 0 THEN '(0.5,1.0]' WHEN 1 THEN '(0,2.0]' WHEN 2 THEN '(2.0,4.0]' ELSE '(1,2]' END AS mic_value FROM {orders}
+UNION ALL SELECT 'S' || CAST(o_orderkey AS STRING), 'P' || CAST(o_custkey % 3 AS STRING), 'RIFA', CAST(o_custkey % 4 + 1 AS STRING), '(' || CAST(CAST(o_custkey % 4 + 1 AS DOUBLE) / 2 AS STRING) || ',' || CAST(o_custkey % 4 + 1 AS STRING) || '.0]' FROM {orders}""",
+)
+def _(t):
+    return submissions.parse_mic_sheet(t.sql(_MIC_SHEET))
+
+
+@query(
+    "parse_mic_sheet_inferred",
+    """WITH n AS (SELECT 'S' || CAST(o_orderkey AS STRING) AS strain_id, 'P' || CAST(o_custkey % 3 AS STRING) AS plate, 'INH' AS drug, CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '<=2' WHEN 2 THEN '4' ELSE '(1,2]' END AS value, CASE o_orderkey % 4 WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN CAST(2 AS DOUBLE) WHEN 2 THEN CAST(4 AS DOUBLE) END AS num FROM {orders}
+ UNION ALL SELECT 'S' || CAST(o_orderkey AS STRING), 'P' || CAST(o_custkey % 3 AS STRING), 'RIFA', CAST(o_custkey % 4 + 1 AS STRING), CAST(o_custkey % 4 + 1 AS DOUBLE) FROM {orders}),
+l AS (SELECT *, coalesce(lag(num) OVER (PARTITION BY plate, drug ORDER BY num), CAST(0 AS DOUBLE)) AS lower_value FROM (SELECT DISTINCT plate, drug, num FROM n WHERE num IS NOT NULL) d)
+SELECT n.strain_id, n.plate, n.drug, n.value, CASE WHEN n.value = '<=2' THEN '(0,2.0]' WHEN n.value = '(1,2]' THEN '(1,2]' ELSE '(' || CAST(l.lower_value AS STRING) || ',' || n.value || '.0]' END AS mic_value FROM n LEFT JOIN l ON l.plate = n.plate AND l.drug = n.drug AND l.num = n.num""",
+)
+def _(t):
+    return submissions.parse_mic_sheet(t.sql(_MIC_SHEET), infer_range=True)
+
+
+_COUNTRIES = "SELECT 'A' || chr(65 + n_nationkey) AS alpha2, 'AA' || chr(65 + n_nationkey) AS alpha3, n_nationkey + 100 AS country_code FROM {nation}"
+_GENERAL = """SELECT 'S' || CAST(o_custkey AS STRING) AS `Strain ID`, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(2000 + o_custkey % 20 AS STRING) END AS `Year of isolation`, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'sputum' END AS `Sample type`,
+ CASE o_custkey % 3 WHEN 0 THEN 'a' || lower(chr(CAST(65 + o_custkey % 25 AS INT))) WHEN 1 THEN 'AA' || chr(CAST(65 + o_custkey % 25 AS INT)) ELSE CAST(100 + o_custkey % 25 AS STRING) END AS `Country origin` FROM {orders}"""
+
+
+@query(
+    "parse_general_sheet",
+    """SELECT DISTINCT 'S' || CAST(o_custkey AS STRING) AS sample_name, 'S' || CAST(o_custkey AS STRING) AS labno, CASE WHEN bool_or(o_orderkey % 3 <> 0) OVER w THEN '[' || CAST(2000 + o_custkey % 20 AS STRING) || '-01-01,' || CAST(2000 + o_custkey % 20 AS STRING) || '-12-31]' END AS sampling_date, CAST('2024-03-04' AS DATE) AS submission_date,
+ CASE WHEN bool_or(o_orderkey % 2 <> 0) OVER w THEN 'sputum' END AS isolation_source, CAST(100 + o_custkey % 25 AS INT) AS country_code FROM {orders} WINDOW w AS (PARTITION BY o_custkey)""",
+)
+def _(t):
+    return submissions.parse_general_sheet(t.sql(_GENERAL), t.sql(_COUNTRIES), "2024-03-04")
+
+
+@query("scan_submission_sheets", "SELECT 'S' || CAST(o_orderkey AS STRING) AS strain, CAST(o_custkey % 4 + 1 AS STRING) AS rifa FROM {orders}")
+def _(t):
+    root = work_area(t.spark, "sheets")
+    t.sql(_MIC_SHEET).write.option("header", True).csv(f"{root}/MIC")
+    sheet = tables.scan_submission_sheets(t.spark, root, ("MIC",))["MIC"]
+    return sheet.select(F.col("`Strain ID`").alias("strain"), F.col("RIFA").alias("rifa"))
+
+
+_HASHES = "SELECT 'N' || CAST(o_custkey AS STRING) AS strain_id, md5(CAST(o_orderkey AS STRING)) AS md5 FROM {orders}"
+_EXISTING = "SELECT 'S' || CAST(o_custkey AS STRING) AS sample_name, md5(CAST(o_orderkey AS STRING)) AS md5 FROM {orders} WHERE o_orderstatus = 'F'"
+_RESUBMITTED = f"SELECT strain_id, min(sample_name) AS sample_name FROM (SELECT e.strain_id, x.sample_name FROM ({_HASHES}) e JOIN ({_EXISTING}) x ON x.md5 = e.md5 GROUP BY 1, 2 HAVING count(DISTINCT e.md5) = 2) g GROUP BY 1"
+
+
+@query("detect_resubmissions", _RESUBMITTED)
+def _(t):
+    return submissions.detect_resubmissions(t.sql(_HASHES), t.sql(_EXISTING))
+
+
+@query("replace_resubmitted", f"SELECT coalesce(r.sample_name, e.strain_id) AS strain_id, e.md5 FROM ({_HASHES}) e LEFT JOIN ({_RESUBMITTED}) r ON r.strain_id = e.strain_id")
+def _(t):
+    found = submissions.detect_resubmissions(t.sql(_HASHES), t.sql(_EXISTING))
+    return submissions.replace_resubmitted(t.sql(_HASHES), found)
+
+
+@query("resubmission_aliases", f"SELECT s.sample_id, 'Additional sequencing name' AS db, 'Sample name' AS db_label, r.strain_id AS sample_name_synonym FROM ({_RESUBMITTED}) r JOIN {{sample}} s ON s.sample_name = r.sample_name")
+def _(t):
+    return submissions.resubmission_aliases(submissions.detect_resubmissions(t.sql(_HASHES), t.sql(_EXISTING)), t.sample)
+
+
+@query("arrival_triggered_ingest", "SELECT 'S' || CAST(o_orderkey AS STRING) AS strain_id, 'RIFA' AS drug, CAST(o_custkey % 4 + 1 AS STRING) AS value FROM {orders} UNION ALL SELECT 'S' || CAST(o_orderkey AS STRING), 'INH', CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '<=2' WHEN 2 THEN '4' ELSE '(1,2]' END FROM {orders}")
+def _(t):
+    root = work_area(t.spark, "arrivals")
+    t.sql(_MIC_SHEET).write.option("header", True).csv(f"{root}/inbox/MIC")
+    incremental.arrival_triggered_ingest(
+        t.spark, f"{root}/inbox", {"MIC": submissions.parse_mic_sheet},
+        {"MIC": "`Strain ID` string, Plate string, INH string, RIFA string"}, f"{root}/tables", f"{root}/checkpoints",
+    )
+    return incremental.loaded(t.spark, f"{root}/tables/MIC").select("strain_id", "drug", "value")
+
+
+# ------------------------------------------------------------------ sequencing quality
+_REGIONS = "SELECT sample_id, 'L' || CAST(gene_db_crossref_id AS STRING) AS locus, gene_db_crossref_id * 20 AS start, gene_db_crossref_id * 20 + 20 + gene_db_crossref_id % 7 AS `end`, mean_depth AS depth FROM {locus_stats}"
+_THRESHOLDS = "SELECT sample_id, 'L' || CAST(gene_db_crossref_id AS STRING) AS locus, gene_db_crossref_id * 20 AS start, gene_db_crossref_id * 20 + 20 + gene_db_crossref_id % 7 AS `end`, 20 AS `10X`, 15 AS `15X`, gene_db_crossref_id % 20 AS `20X`, 1 AS `30X` FROM {locus_stats}"
+_MEDIAN = f"""SELECT sample_id, coalesce(arg_max(depth, i) FILTER (WHERE i = k - 1), arg_max(depth, i) FILTER (WHERE i = k)) AS median_depth FROM (SELECT *, min(CASE WHEN 2 * reached > total THEN i END) OVER (PARTITION BY sample_id) AS k FROM (
+ SELECT sample_id, depth, row_number() OVER w AS i, sum(`end` - start) OVER (w ROWS UNBOUNDED PRECEDING) AS reached, sum(`end` - start) OVER (PARTITION BY sample_id) AS total FROM ({_REGIONS}) r WINDOW w AS (PARTITION BY sample_id ORDER BY depth, start)) x) y GROUP BY sample_id"""
+
+
+@query("weighted_median", _MEDIAN)
+def _(t):
+    return qc.weighted_median(t.sql(_REGIONS))
+
+
+@query("cumulative_share", f"SELECT DISTINCT sample_id, depth, round(CAST(sum(n) OVER (PARTITION BY sample_id ORDER BY depth RANGE UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (PARTITION BY sample_id), 9) AS share FROM (SELECT sample_id, depth, `end` - start AS n FROM ({_REGIONS}) r) x")
+def _(t):
+    return qc.cumulative_share(t.sql(_REGIONS)).withColumn("share", F.round("share", 9))
+
+
+_SHARES = ", ".join(f"CAST(sum(\"{x}X\") AS DOUBLE) / sum(`end` - start) AS coverage_{x}x" for x in (10, 15, 20, 30))
+
+
+@query("coverage_fractions", f"SELECT sample_id, {_SHARES} FROM ({_THRESHOLDS}) h GROUP BY 1")
+def _(t):
+    return qc.coverage_fractions(t.sql(_THRESHOLDS))
+
+
+_SUMMARY = f"SELECT m.sample_id, m.median_depth, c.coverage_10x, c.coverage_15x, c.coverage_20x, c.coverage_30x FROM ({_MEDIAN}) m JOIN (SELECT sample_id, {_SHARES} FROM ({_THRESHOLDS}) h GROUP BY 1) c ON c.sample_id = m.sample_id"
+
+
+@query("sample_depth_summary", _SUMMARY)
+def _(t):
+    return qc.sample_depth_summary(t.sql(_REGIONS), t.sql(_THRESHOLDS))
+
+
+@query(
+    "global_stats_rows",
+    f"""SELECT s.sample_id, s.median_depth, round(s.coverage_20x, 4) AS coverage_20x, r.raw_total_sequences, r.reads_mapped, r.average_length, CAST(NULL AS BIGINT) AS reads_unmapped FROM ({_SUMMARY}) s
+JOIN (SELECT CAST(o_custkey AS INT) AS sample_id, CAST(count(*) AS BIGINT) AS raw_total_sequences, CAST(max(o_orderkey) AS BIGINT) AS reads_mapped, CAST(min(o_orderkey) % 100 AS DOUBLE) + 0.5 AS average_length FROM {{orders}} GROUP BY 1) r ON r.sample_id = s.sample_id""",
+)
+def _(t):
+    from strainwise.plans.primitives import _REPORT_LINES
+
+    summary = qc.sample_depth_summary(t.sql(_REGIONS), t.sql(_THRESHOLDS))
+    rows = qc.global_stats_rows(summary, tables.parse_report(t.sql(_REPORT_LINES)))
+    return rows.select("sample_id", "median_depth", "coverage_20x", "raw_total_sequences", "reads_mapped", "average_length", "reads_unmapped")
+
+
+@query("locus_stats_rows", f"SELECT r.sample_id, r.locus, r.depth AS mean_depth, " + ", ".join(f"CAST(h.\"{x}X\" AS DOUBLE) / (h.`end` - h.start) AS coverage_{x}x" for x in (10, 15, 20, 30)) + f" FROM ({_REGIONS}) r LEFT JOIN ({_THRESHOLDS}) h ON h.sample_id = r.sample_id AND h.locus = r.locus")
+def _(t):
+    return qc.locus_stats_rows(t.sql(_REGIONS), t.sql(_THRESHOLDS))
+
+
+@query("taxonomy_rows", "SELECT sample_id, drug_id AS ncbi_taxon_id, concentration AS value FROM {pdstest}")
+def _(t):
+    report = t.pdstest.select("sample_id", F.col("drug_id").alias("ncbi_taxon_id"), F.col("concentration").alias("percent"))
+    return qc.taxonomy_rows(report)
+
+
+@query(
+    "samples_to_process",
+    """SELECT DISTINCT s.id FROM {sample} s JOIN {sequencing} q ON q.sample_id = s.id WHERE s.bioanalysis_status IS NULL AND q.sequencing_platform = 'ILLUMINA' AND q.library_layout = 'PAIRED' AND q.library_preparation_strategy = 'WGS'
+AND (EXISTS (SELECT 1 FROM {pdstest} p WHERE p.sample_id = s.id AND NOT p.staging) OR EXISTS (SELECT 1 FROM {mictest} m WHERE m.sample_id = s.id AND NOT m.staging))""",
+)
+def _(t):
+    return qc.samples_to_process(t.sample, t.sequencing, t.pdstest, t.mictest)
+
+
+@query("next_batch", "SELECT id FROM {sample} WHERE bioanalysis_status = 'Unprocessed' ORDER BY id LIMIT 5000")
+def _(t):
+    return qc.next_batch(t.sample)
+
+
+@query("ids_json", """SELECT '{{"Ids":[' || string_agg(CAST(id AS STRING), ',' ORDER BY id) || ']}}' AS ids FROM (SELECT id FROM {sample} WHERE bioanalysis_status = 'Unprocessed' ORDER BY id LIMIT 5000) b""")
+def _(t):
+    return qc.ids_json(qc.next_batch(t.sample))
+
+
+@query(
+    "library_files",
+    """SELECT x.sample_id, x.library_name, x.data_location, x.strategy, f.paths AS file_paths FROM (SELECT DISTINCT sample_id, min(library_name) AS library_name, data_location, CASE WHEN library_preparation_strategy = 'WGS' THEN 'WGS' WHEN assay IS NOT NULL THEN assay ELSE 'drug_resistance_genes' END AS strategy
+ FROM {sequencing} WHERE sequencing_platform = 'ILLUMINA' AND library_layout = 'PAIRED' GROUP BY sample_id, data_location, library_preparation_strategy, assay) x
+LEFT JOIN (SELECT q.sample_id, string_agg(DISTINCT q.file_path, ',' ORDER BY q.file_path) AS paths FROM {sequencing} q LEFT JOIN {sequencing_hash} h ON h.sequencing_data_id = q.id WHERE q.sequencing_platform = 'ILLUMINA' AND q.library_layout = 'PAIRED' AND (h.sequencing_data_id IS NOT NULL OR q.data_location = 'CNCB') GROUP BY 1) f ON f.sample_id = x.sample_id""",
+)
+def _(t):
+    rows = qc.library_files(t.sequencing, t.sequencing_hash)
+    return rows.withColumn("file_paths", F.array_join("file_paths", ","))
+
+
+@query("library_count", "SELECT sample_id, CAST(count(DISTINCT library_name) AS BIGINT) AS libraries FROM {sequencing} WHERE sequencing_platform = 'ILLUMINA' AND library_layout = 'PAIRED' AND library_name IS NOT NULL GROUP BY 1")
+def _(t):
+    return qc.library_count(t.sequencing)
+
+
+# ------------------------------------------------------------------ gene browser
+_RESULTS = "SELECT variant_id AS `ID`, CAST(count(*) AS INT) AS ac_case, CAST(sum(alternative_ad) AS INT) AS ac_ctrl, CAST(max(total_dp) AS INT) AS an_case, CAST(min(total_dp) AS INT) AS an_ctrl, CAST(max(alternative_ad) AS FLOAT) / 64 AS af, CAST(min(alternative_ad) AS FLOAT) / 8 AS odds_ratio, genotyper AS analysis_group FROM {genotype} GROUP BY variant_id, genotyper"
+_ANNOTATED = "SELECT v.variant_id AS `ID`, v.chromosome || ':' || CAST(v.position AS STRING) || ':' || v.reference_nucleotide || ':' || v.alternative_nucleotide AS `Variant ID`, e.effect AS Consequence, CAST(e.gene AS STRING) AS gene_id, 'NC:' || e.nucleotidic AS HGVSc, e.proteic AS HGVSp FROM {variant} v JOIN {effect_text} e ON e.variant_id = v.variant_id"
+_GENE_RESULTS = "SELECT CAST(gene_db_crossref_id AS STRING) AS gene_id, CASE WHEN coverage_10x < 1 THEN 'low' ELSE 'full' END AS analysis_group, CAST(count(*) AS INT) AS susceptible_genotyped, CAST(max(mean_depth) AS INT) AS resistant_genotyped FROM {locus_stats} GROUP BY 1, 2"
+
+
+def by_variant(t):
+    return browser.variant_results(t.sql(_RESULTS), t.sql(_ANNOTATED))
+
+
+def by_gene(t):
+    return browser.gene_results(t.sql(_GENE_RESULTS))
+
+
+@query(
+    "variant_results",
+    f"""SELECT a.gene_id, CAST(split_part(a."Variant ID", ':', 2) AS INT) AS position, split_part(a."Variant ID", ':', 3) || '>' || split_part(a."Variant ID", ':', 4) AS alleles, a.Consequence AS consequence, split_part(a.HGVSc, ':', 2) AS hgvsc, a.HGVSp AS hgvsp, r.groups FROM ({_ANNOTATED}) a
+LEFT JOIN (SELECT "ID", string_agg(analysis_group || ':' || CAST(ac_case AS STRING) || '/' || CAST(an_ctrl AS STRING), ',' ORDER BY analysis_group) AS groups FROM ({_RESULTS}) x GROUP BY 1) r ON r."ID" = a."ID\"""",
+)
+def _(t):
+    entry = F.transform(
+        F.map_entries("group_results"),
+        lambda e: F.concat(e["key"], F.lit(":"), e["value"]["ac_case"].cast("string"), F.lit("/"), e["value"]["an_ctrl"].cast("string")),
+    )
+    return by_variant(t).select(
+        "gene_id", F.col("locus.position").alias("position"), F.array_join("alleles", ">").alias("alleles"), "consequence",
+        "hgvsc", "hgvsp", F.array_join(entry, ",").alias("groups"),
+    )
+
+
+@query("gene_results", f"SELECT gene_id, string_agg(analysis_group || ':' || CAST(susceptible_genotyped AS STRING), ',' ORDER BY analysis_group) AS groups FROM ({_GENE_RESULTS}) r GROUP BY 1")
+def _(t):
+    entry = F.transform(F.map_entries("group_results"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]["susceptible_genotyped"].cast("string")))
+    return by_gene(t).select("gene_id", F.array_join(entry, ",").alias("groups"))
+
+
+@query("distinct_groups_global", f"SELECT string_agg(DISTINCT analysis_group, ',' ORDER BY analysis_group) AS groups FROM ({_RESULTS}) r")
+def _(t):
+    return browser.distinct_groups(by_variant(t)).select(F.array_join("groups", ",").alias("groups"))
+
+
+def combined(t):
+    from strainwise.operators.genes import gene_models
+
+    return browser.combine_browser(gene_models(gff_features(t)), by_gene(t), by_variant(t))
+
+
+@query("combine_browser", "SELECT CAST(e.gene AS STRING) AS gene_id, CAST(count(*) AS INT) AS variants, min(v.chromosome || '-' || CAST(v.position AS STRING) || '-' || v.reference_nucleotide || '-' || v.alternative_nucleotide) AS first_name, max(v.position) AS last_position FROM {effect} e JOIN {variant} v ON v.variant_id = e.variant_id GROUP BY 1")
+def _(t):
+    _, variants = combined(t)
+    return variants.select(
+        "gene_id", F.size("variants").alias("variants"),
+        F.concat(F.lit("chr"), F.array_min(F.col("variants.variant_id"))).alias("first_name"),
+        F.array_max(F.col("variants.pos")).alias("last_position"),
+    )
+
+
+@query(
+    "browser_search_terms",
+    """SELECT CAST(l.gene_db_crossref_id AS STRING) || '.json' AS name, '["' || CAST(l.gene_db_crossref_id AS STRING) || '",["' || (SELECT string_agg(DISTINCT w, '","' ORDER BY w) FROM (VALUES (CAST(l.gene_db_crossref_id AS STRING)), (l.rv_symbol), (s.resolved_symbol), ('syn' || CAST(l.gene_db_crossref_id % 3 AS STRING))) x(w)) || '"]]' AS body
+FROM {locus_tag} l JOIN {symbol} s ON s.gene_db_crossref_id = l.gene_db_crossref_id""",
+)
+def _(t):
+    return browser.browser_documents(*combined(t)).where("folder = 'search'").select("name", "body")
+
+
+@query("browser_documents")
+def _(t):
+    return browser.browser_documents(*combined(t))
+
+
+@query("browser_metadata")
+def _(t):
+    return browser.browser_metadata(by_gene(t), by_variant(t)).select(F.to_json(F.struct("*")).alias("body"))
+
+
+@query("write_json_documents", "SELECT 'genes/' || lpad(CAST(gene % 1000 AS STRING), 3, '0') AS folder, CAST(2 AS BIGINT) * count(*) AS documents FROM {gene_ids} GROUP BY 1 UNION ALL SELECT 'results', count(*) FROM (SELECT DISTINCT gene_db_crossref_id FROM {locus_stats} JOIN {gene_ids} ON gene = gene_db_crossref_id) r UNION ALL SELECT 'search', count(*) FROM {gene_ids}")
+def _(t):
+    path = work_area(t.spark, "documents")
+    sinks.write_json_documents(browser.browser_documents(*combined(t)), path)
+    read = t.spark.read.text(path)
+    return read.groupBy("folder").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("write_nested_table", f"SELECT gene_id, CAST(count(*) AS INT) AS groups FROM ({_GENE_RESULTS}) r GROUP BY 1")
+def _(t):
+    path = work_area(t.spark, "nested")
+    sinks.write_nested_table(by_gene(t), path)
+    return t.spark.read.parquet(path).select("gene_id", F.size("group_results").alias("groups"))
+
+
+@query("json_number", """SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_quantity = floor(l_quantity) THEN CAST(CAST(l_quantity AS INT) AS STRING) END AS text FROM {lineitem}""")
+def _(t):
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", sinks.json_number(F.col("l_quantity")).alias("text"))

@@ -244,7 +244,7 @@ def _(t):
 
 @query(
     "unbinarised_by_package",
-    "SELECT m.package_id, p.name AS package_name, d.drug_name, d.drug_id, m.plate, CAST(count(*) AS BIGINT) AS count FROM {binarised} b JOIN {mictest} m ON m.id = b.mictest_id JOIN {drug} d ON d.drug_id = b.drug_id JOIN {package} p ON p.id = m.package_id WHERE b.test_result IS NULL OR b.test_result NOT IN ('R', 'S') GROUP BY 1, 2, 3, 4, 5",
+    "SELECT m.package_id, p.name AS package_name, d.drug_name, d.drug_id, b.plate, CAST(count(*) AS BIGINT) AS count FROM {binarised} b JOIN {mictest} m ON m.id = b.mictest_id JOIN {drug} d ON d.drug_id = b.drug_id JOIN {package} p ON p.id = m.package_id WHERE b.test_result IS NULL OR b.test_result NOT IN ('R', 'S') GROUP BY 1, 2, 3, 4, 5",
 )
 def _(t):
     return ph.unbinarised_by_package(t.binarised, t.mictest, t.drug, t.package)
