@@ -37,13 +37,15 @@ def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (lgamma(a) + lgamma(b) - lgamma(a + b)).astype(float)
 
 
-def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 300) -> np.ndarray:
+def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Modified Lentz evaluation of the incomplete-beta continued fraction, element-wise."""
     tiny = 1e-300
     c = np.ones_like(x)
     d = 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
     total = d.copy()
+    # The fraction settles after a number of terms that grows with the root of the larger shape.
+    steps = 200 + int(10 * math.sqrt(float(np.max(np.maximum(a, b), initial=1.0))))
     for m in range(1, steps + 1):
         for term in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),

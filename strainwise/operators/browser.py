@@ -137,10 +137,7 @@ def json_text(value: Column, kind: DataType, tuples: bool = True) -> Column:
     if isinstance(kind, (FloatType, DoubleType)):
         return json_number(value.cast("double"))
     if isinstance(kind, StringType):
-        quoted = F.to_json(F.array(value))
-        return F.when(value.isNull(), F.lit("null")).otherwise(
-            quoted.substr(F.lit(2), F.length(quoted) - 2)
-        )
+        return F.regexp_replace(F.to_json(F.array(value)), r"^\[|\]$", "")
     if isinstance(kind, ArrayType):
         items = F.transform(value, lambda item: json_text(item, kind.elementType, tuples))
         return F.coalesce(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")), F.lit("null"))

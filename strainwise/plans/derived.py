@@ -62,7 +62,7 @@ VIEWS["tier"] = (
 )
 VIEWS["promoter"] = (
     "SELECT gene AS gene_db_crossref_id, 1 AS start, 5 + gene % 7 AS \"end\" FROM {gene_ids} "
-    "UNION ALL SELECT gene, 14, 15 + gene % 5 FROM {gene_ids}"
+    "UNION ALL SELECT gene, 11, 15 + gene % 5 FROM {gene_ids}"
 ).replace('"end"', "`end`")
 _L = "substr('{0}', CAST((p_partkey + {1}) % 4 + 1 AS INT), 1)"
 VIEWS["variant"] = (

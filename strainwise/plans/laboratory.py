@@ -191,8 +191,9 @@ _SAME = "y.sample_id = x.sample_id AND y.drug_id = x.drug_id"
 
 @query(
     "clean_cc_phenotypes",
-    f"""SELECT x.sample_id, x.drug_id, 'CC_' || {_LABEL} AS phenotypic_category, x.phenotype FROM ({_cc(PLAIN_CUTOFF)}) x WHERE EXISTS (SELECT 1 FROM ({_cc(ATU)}) y WHERE {_SAME})
-UNION ALL SELECT x.sample_id, x.drug_id, 'CC-ATU_' || {_LABEL}, x.phenotype FROM ({_cc(ATU)}) x WHERE EXISTS (SELECT 1 FROM ({_cc(PLAIN_CUTOFF)}) y WHERE {_SAME})""",
+    f"""WITH exact AS MATERIALIZED ({_cc(PLAIN_CUTOFF)}), lowered AS MATERIALIZED ({_cc(ATU)})
+SELECT x.sample_id, x.drug_id, 'CC_' || {_LABEL} AS phenotypic_category, x.phenotype FROM exact x WHERE EXISTS (SELECT 1 FROM lowered y WHERE {_SAME})
+UNION ALL SELECT x.sample_id, x.drug_id, 'CC-ATU_' || {_LABEL}, x.phenotype FROM lowered x WHERE EXISTS (SELECT 1 FROM exact y WHERE {_SAME})""",
 )
 def _(t):
     exact, lowered = ph.clean_cc_phenotypes(t.mictest, t.drug, t.plate_concentration, t.cutoff, t.tier)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strainwise.plans.derived import Inputs, render
+from strainwise.session import configure
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -32,7 +33,7 @@ def _load() -> None:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
-    return {name: (lambda spark, folder, fn=fn: fn(Inputs(spark, folder))) for name, fn in _QUERIES.items()}
+    return {name: (lambda spark, folder, fn=fn: fn(Inputs(configure(spark), folder))) for name, fn in _QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -58,8 +58,11 @@ def work_area(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a reliable checkpoint, so that losing executors costs no recomputation."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder and go on from the written rows.
+
+    Losing executors then costs no recomputation, and the planner knows the size of
+    what was written.
+    """
+    path = work_area(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

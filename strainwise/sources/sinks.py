@@ -165,18 +165,11 @@ def transition_status(
 
 
 def json_number(value: Column) -> Column:
-    """JSON text of a float: five significant digits, NaN and infinities as strings."""
-    scientific = F.format_string("%.4e", value)
-    exponent = F.regexp_extract(scientific, r"e([+-]\d+)$", 1).try_cast("int")
-    fixed = F.regexp_replace(F.format_string("%.8f", scientific.try_cast("double")), r"\.?0+$", "")
-    return (
-        F.when(value.isNull(), F.lit("null"))
-        .when(F.isnan(value), F.lit('"NaN"'))
-        .when(value == float("inf"), F.lit('"Infinity"'))
-        .when(value == float("-inf"), F.lit('"-Infinity"'))
-        .when(exponent.between(-4, 4), fixed)
-        .otherwise(F.regexp_replace(scientific, r"\.?0+e", "e"))
-    )
+    """JSON text of a float: five significant digits without trailing zeros, NaN and infinities as strings."""
+    text = F.format_string("%.5g", value)
+    text = F.regexp_replace(text, r"(\.\d*?)0+(?=$|e)", "$1")
+    text = F.regexp_replace(text, r"\.(?=$|e)", "")
+    return F.regexp_replace(text, r"^(NaN|-?Infinity)$", '"$1"')
 
 
 def write_json_documents(documents: DataFrame, path: str) -> None:
