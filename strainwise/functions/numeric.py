@@ -34,7 +34,7 @@ def wald_bound(share: Column, total: Column, sign: int, z: float = 1.96) -> Colu
 
 def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     lgamma = np.frompyfunc(math.lgamma, 1, 1)
-    return (lgamma(a) + lgamma(b) - lgamma(a + b)).astype(float)
+    return np.asarray(lgamma(a) + lgamma(b) - lgamma(a + b), dtype=float)
 
 
 def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -61,13 +61,14 @@ def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarr
     return total
 
 
-def beta_cdf(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def beta_cdf(x: np.ndarray, a: np.ndarray, b: np.ndarray, log_beta: np.ndarray | None = None) -> np.ndarray:
     """Regularised incomplete beta function, element-wise, worked out in log space."""
     x, a, b = np.broadcast_arrays(np.asarray(x, float), np.asarray(a, float), np.asarray(b, float))
     swap = x > (a + 1.0) / (a + b + 2.0)
     p, q, z = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1.0 - x, x)
+    log_beta = _log_beta(a, b) if log_beta is None else log_beta
     with np.errstate(divide="ignore", invalid="ignore"):
-        front = np.exp(p * np.log(z) + q * np.log1p(-z) - _log_beta(p, q)) / p
+        front = np.exp(p * np.log(z) + q * np.log1p(-z) - log_beta) / p
     value = np.where(z <= 0.0, 0.0, front * _continued_fraction(p, q, z))
     return np.where(swap, 1.0 - value, value)
 
@@ -78,9 +79,10 @@ def beta_quantile(prob: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     valid = (a > 0) & (b > 0)
     shape_a, shape_b = np.where(valid, a, 1.0), np.where(valid, b, 1.0)
     low, high = np.zeros_like(shape_a), np.ones_like(shape_a)
+    log_beta = _log_beta(shape_a, shape_b)
     for _ in range(60):
         middle = (low + high) / 2
-        below = beta_cdf(middle, shape_a, shape_b) < prob
+        below = beta_cdf(middle, shape_a, shape_b, log_beta) < prob
         low, high = np.where(below, middle, low), np.where(below, high, middle)
     return np.where(valid, (low + high) / 2, np.nan)
 
