@@ -40,36 +40,30 @@ def agar_cutoffs(category: DataFrame, medium: DataFrame, method: DataFrame) -> D
     return bounds.withColumn("_agar", F.lit("Agar")).join(agar, "_agar").drop("_agar")
 
 
+def _method_class() -> Column:
+    """No method and Proportions stand for each other; every other method stands for itself."""
+    unnamed = F.col("method_name").isNull() | (F.col("method_name") == "Proportions")
+    return F.when(unnamed, F.lit(0)).otherwise(F.col("method_id")).alias("method_class")
+
+
 def concentration_limits(category: DataFrame, medium: DataFrame, method: DataFrame) -> DataFrame:
-    """One row per (drug, medium, method) a test can have: S below ``s_below`` and R above ``r_above`` are conclusive.
+    """One row per (drug, medium, method class): an S below ``s_below`` and an R above ``r_above`` are conclusive.
 
-    A cut-off without method also serves tests by proportions and the other way
-    round, so each cut-off is listed under every method it serves.  Collapsing to one
-    row per key turns the inequality joins into a single equi join.
+    Collapsing the cut-offs to one row per key turns the inequality joins into a
+    single equi join.
     """
-    named = who_cutoffs(category).join(method.select("method_id", "method_name"), "method_id", "left")
-    own = named.select(
-        "drug_id", _or_zero("medium_id"), _or_zero("method_id"), "method_name",
+    own = who_cutoffs(category).join(method.select("method_id", "method_name"), "method_id", "left").select(
+        "drug_id", _or_zero("medium_id"), _method_class(),
         F.col("concentration").alias("low"), F.col("concentration").alias("high"),
     )
+    # On agar an S must lie below every cut-off and an R above every cut-off.
     agar = agar_cutoffs(category, medium, method).select(
-        "drug_id", _or_zero("medium_id"), F.lit(0).alias("method_id"), F.lit(None).cast("string").alias("method_name"),
-        # On agar an S must lie below every cut-off and an R above every cut-off.
+        "drug_id", "medium_id", F.lit(0).alias("method_class"),
         F.col("max_concentration").alias("low"), F.col("min_concentration").alias("high"),
     )
-    limits = own.unionByName(agar)
-    unnamed_for_proportions = (
-        limits.where(F.col("method_name").isNull())
-        .drop("method_id")
-        .withColumn("method_name", F.lit("Proportions"))
-        .join(method.select("method_id", "method_name"), "method_name")
-        .select(*limits.columns)
-    )
-    proportions_for_unnamed = limits.where(F.col("method_name") == "Proportions").withColumn("method_id", F.lit(0))
     return (
-        limits.unionByName(unnamed_for_proportions)
-        .unionByName(proportions_for_unnamed)
-        .groupBy("drug_id", "medium_id", "method_id")
+        own.unionByName(agar)
+        .groupBy("drug_id", "medium_id", "method_class")
         .agg(F.max("high").alias("s_below"), F.min("low").alias("r_above"))
     )
 
@@ -83,22 +77,20 @@ def categorise_tests(
     listed category that is current, past or excluded, then the conclusive side of
     a cut-off (``non_WHO_CC_S`` / ``non_WHO_CC_R``), then any other listed category.
     """
-    keys = ["drug_id", "medium_id", "method_id"]
+    key = ["drug_id", "medium_id", "method_id", "concentration"]
     listed = category.select(
-        F.col("drug_id"), *[_or_zero(c) for c in ("medium_id", "method_id", "concentration")],
+        *[(F.col(c) if c == "drug_id" else F.coalesce(F.col(c), F.lit(0))).alias(f"_c_{c}") for c in key],
         F.col("category").alias("_listed"),
-    ).withColumnsRenamed({c: f"_c_{c}" for c in (*keys, "concentration")})
-    limits = concentration_limits(category, medium, method).withColumnsRenamed({c: f"_l_{c}" for c in keys})
-
-    def same(prefix: str, names: list[str]) -> Column:
-        condition = F.lit(True)
-        for name in names:
-            mine = F.col(name) if name == "drug_id" else F.coalesce(F.col(name), F.lit(0))
-            condition = condition & (mine == F.col(f"{prefix}{name}"))
-        return condition
-
-    tests = phenotype.join(drug.select("drug_id", "drug_name"), "drug_id").select(*phenotype.columns, "drug_name")
-    tests = tests.join(medium.select("medium_id", F.col("medium_name").alias("_medium")), "medium_id", "left")
+    )
+    limits = concentration_limits(category, medium, method).withColumnsRenamed(
+        {c: f"_l_{c}" for c in ("drug_id", "medium_id", "method_class")}
+    )
+    tests = (
+        phenotype.join(drug.select("drug_id", "drug_name"), "drug_id")
+        .join(medium.select("medium_id", F.col("medium_name").alias("_medium")), "medium_id", "left")
+        .join(method.select("method_id", "method_name"), "method_id", "left")
+        .select(*phenotype.columns, "drug_name", "_medium", _method_class())
+    )
     conclusive = first_match(
         [
             ((F.col("test_result") == "S") & (F.col("concentration") < F.col("s_below")), F.lit("non_WHO_CC_S")),
@@ -115,9 +107,17 @@ def categorise_tests(
         ],
         F.coalesce(conclusive, F.col("_listed")),
     )
+    same_listing = F.col("drug_id") == F.col("_c_drug_id")
+    for c in key[1:]:
+        same_listing = same_listing & (F.coalesce(F.col(c), F.lit(0)) == F.col(f"_c_{c}"))
+    same_limits = (
+        (F.col("drug_id") == F.col("_l_drug_id"))
+        & (F.coalesce("medium_id", F.lit(0)) == F.col("_l_medium_id"))
+        & (F.col("method_class") == F.col("_l_method_class"))
+    )
     return (
-        tests.join(listed, same("_c_", [*keys, "concentration"]), "left")
-        .join(limits, same("_l_", keys), "left")
+        tests.join(listed, same_listing, "left")
+        .join(limits, same_limits, "left")
         .withColumn("phenotypic_category", final)
         .select(*phenotype.columns, "phenotypic_category")
     )
@@ -126,19 +126,16 @@ def categorise_tests(
 # ------------------------------------------------------------------ pooling and consensus
 def pool_drugs(df: DataFrame, drug: DataFrame, pairs: list[tuple[str, str]] = rules.POOLED_DRUGS) -> DataFrame:
     """Move tests of a drug to the drug it is pooled with."""
-    names = rules.rule_frame(drug.sparkSession, pairs, "from_name string, to_name string")
+    names = rules.rule_frame(drug.sparkSession, pairs, "drug_name string, _pooled_name string")
+    targets = drug.select(F.col("drug_name").alias("_pooled_name"), F.col("drug_id").alias("_target"))
     moves = (
-        names.join(drug.select(F.col("drug_name").alias("from_name"), "drug_id"), "from_name")
-        .join(drug.select(F.col("drug_name").alias("to_name"), F.col("drug_id").alias("_pooled")), "to_name")
-        .select("drug_id", "_pooled")
-    )
-    known = drug.select("drug_id")
-    return (
-        df.join(known, "drug_id", "left_semi")
-        .join(moves, "drug_id", "left")
-        .withColumn("drug_id", F.coalesce("_pooled", "drug_id"))
-        .select(*df.columns)
+        drug.select("drug_id", "drug_name")
+        .join(names, "drug_name", "left")
+        .join(targets, "_pooled_name", "left")
+        .select("drug_id", F.coalesce("_target", "drug_id").alias("_pooled"))
     )
+    pooled = df.join(moves, "drug_id").withColumn("drug_id", F.col("_pooled"))
+    return pooled.select(*df.columns)
 
 
 def agreed_result(df: DataFrame, keys: list[str]) -> DataFrame:

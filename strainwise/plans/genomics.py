@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strainwise.operators import annotations as an, genes, variants as va
 from strainwise.plans.primitives import gff_features
 from strainwise.plans.registry import query
+from strainwise.session import cut_lineage
 
 _LABEL = """SELECT x.dbxref_id AS gene_db_crossref_id, q.value AS {{0}} FROM {seqfeature_dbxref} x JOIN {qualifier} q ON q.seqfeature_id = x.seqfeature_id JOIN {seqfeature} f ON f.seqfeature_id = x.seqfeature_id
 JOIN {term} k ON k.term_id = q.term_id AND k.name = '{{1}}' JOIN {term} y ON y.term_id = f.type_term_id AND y.name = 'gene'"""
@@ -243,14 +244,16 @@ ranked AS (SELECT * EXCLUDE (rk), CAST(rank() OVER (PARTITION BY variant_id, dru
 
 
 def ranked(t, unpool=False):
+    # The formatted annotations feed five joins: they are written once.
+    fapg, mnv = cut_lineage(t.fapg), cut_lineage(t.mnv)
     return va.ranked_variant_categories(
-        t.fapg,
-        va.pure_synonymous_mnv(t.fapg, t.tier, t.mnv),
+        fapg,
+        va.pure_synonymous_mnv(fapg, t.tier, mnv),
         t.tier,
         t.variant,
-        t.mnv,
+        mnv,
         t.promoter,
-        va.missense_codons(t.fapg, t.variant, t.tier),
+        va.missense_codons(fapg, t.variant, t.tier),
         unpool,
     )
 

@@ -376,9 +376,27 @@ REFUSED_SAMPLE_NAME = "^[SED]RS[0-9]+$"
 NO_DATE_RANGES = ["", "[NaT,NaT]", "[0-01-01,0-12-31]"]
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, list):
+        return f"array({', '.join(_literal(v) for v in value)})"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def rule_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A literal rule table.  Bounded by this module, hence safe to broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A literal rule table.  Bounded by this module, hence safe to broadcast.
+
+    Written as VALUES, it is part of the plan: no job has to run to read it.
+    """
+    columns = [part.strip().split(" ") for part in schema.split(", ")]
+    names = ", ".join(f"c{i}" for i in range(len(columns)))
+    body = ", ".join(f"({', '.join(_literal(v) for v in row)})" for row in rows)
+    table = spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
+    typed = [F.col(f"c{i}").cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
+    return F.broadcast(table.select(*typed))
 
 
 def known_marker_frame(spark: SparkSession) -> DataFrame:
