@@ -68,13 +68,16 @@ def join_optional(df: DataFrame, other: DataFrame, key: str, other_key: str, kep
 def pair_all(big: DataFrame, small: DataFrame, spread_by: str) -> DataFrame:
     """Every row of ``big`` with every row of ``small``, where that product is the result asked for.
 
-    ``small`` is repeated once per slot and joined on the slot of the big row:
-    an ordinary equi join that spreads over all tasks and needs no broadcast.
+    ``small`` is repeated once per slot and joined on the slot of the big row: an
+    ordinary equi join that needs no broadcast.  The inputs are small next to the
+    result, so the number of partitions is stated; left to itself it would shrink to
+    what the inputs need.
     """
-    slots = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = 4 * tasks
     repeated = small.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     slotted = big.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(slots)).cast("int"))
-    return slotted.join(repeated, "_slot").drop("_slot")
+    return slotted.repartition(tasks, "_slot").join(repeated, "_slot").drop("_slot")
 
 
 def with_each(df: DataFrame, column: str, values: list[str]) -> DataFrame:

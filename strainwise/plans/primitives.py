@@ -927,3 +927,16 @@ def _(t):
 @query("ml_center_pca")
 def _(t):
     return matrix.center_pca(t.embeddings, "vec_id", "embedding", k=10)
+
+
+@query("udf_vector_to_list", "SELECT vec_id, CAST(len(embedding) AS INT) AS width, CAST(embedding[1] AS DOUBLE) AS first_value FROM {embeddings}")
+def _(t):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    values = vector_to_array(array_to_vector(F.col("embedding").cast("array<double>")))
+    return t.embeddings.select("vec_id", F.size(values).alias("width"), values[0].alias("first_value"))
+
+
+@query("split_choices", "SELECT id, TRY_CAST(plate AS INT) AS plate_int, plate AS plate_string FROM {mictest}")
+def _(t):
+    return sinks.split_choices(t.mictest, "plate", {"int": "int", "string": "string"}).select("id", "plate_int", "plate_string")
