@@ -34,7 +34,7 @@ def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour (or the node)."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
+    lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
     return (
         both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v").distinct()
     )
