@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strainwise.llm.ragged import Arena, gather, offsets_of
+from strainwise.llm.ragged import chunks, gather, offsets_of
 
+CHUNK_CHARS = 1 << 18
 #: Words a task remembers; when there are more, it starts anew.  Bounds memory, does not change results.
 CACHE_ENTRIES = 1 << 18
 
@@ -31,18 +32,23 @@ class Settings:
     sample_chars: int = 20_000
     shortest: int = 3
     longest: int = 6
-    buckets: int = 1 << 17
+    buckets: int = 1 << 20
+    least_docs: int = 8
     dimensions: int = 8
-    epochs: int = 24
+    epochs: int = 20
     batch: int = 256
-    rate: float = 0.2
+    rate: float = 0.05
+    scale: float = 50.0
+    decay: float = 1e-6
     seed: int = 11
 
 
+_BREAKS = bytes.maketrans(b".,;:!?()[]{}\"'", b" " * 14)
+
+
 def words_of(text: str) -> list[bytes]:
-    """Lower-case words, punctuation at their ends removed."""
-    stripped = [w.strip(b".,;:!?()[]{}\"'") for w in text.lower().encode("utf-8", "surrogatepass").split()]
-    return [w for w in stripped if w]
+    """Lower-case words between white space and sentence punctuation."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_BREAKS).split()
 
 
 class Subwords:
@@ -50,43 +56,42 @@ class Subwords:
 
     def __init__(self, settings: Settings):
         self.settings = settings
+        self.powers = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1 << 10)], np.uint64)
 
     def rows(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(table rows of all words one after the other, number of rows of each word); n-grams are of bytes at character starts."""
+        """(table rows, number of the word of each), in no order; n-grams are of characters of the bounded form."""
         forms = [b"<" + w + b">" for w in words]
         sizes = np.fromiter(map(len, forms), np.int64, len(forms))
         flat = np.frombuffer(b"".join(forms), np.uint8)
-        owner_of_byte = np.repeat(np.arange(len(forms)), sizes)
-        heads = np.flatnonzero((flat & 0xC0) != 0x80)  # characters
-        owner = owner_of_byte[heads]
-        chars = np.bincount(owner, minlength=len(forms))
-        # Polynomial hashes of prefixes give the hash of any run by a difference.
-        codes = np.add.reduceat(flat.astype(np.uint64) * np.uint64(0x100000001B3), heads) + np.uint64(1)
-        found, owners = [], []
+        place = np.arange(len(flat)) - np.repeat(offsets_of(sizes)[:-1], sizes)
+        codes = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        codes ^= codes >> np.uint64(32)
+        # Words as a whole: a polynomial of their bytes; words beyond 1024 bytes use its powers again.
+        whole = np.add.reduceat(codes * self.powers[place & 1023], offsets_of(sizes)[:-1]) ^ np.uint64(0x5555)
+        # Character by character for the n-grams.
+        heads = np.flatnonzero((flat & 0xC0) != 0x80)
+        owner = np.repeat(np.arange(len(forms)), sizes)[heads]
+        chars = np.add.reduceat(codes * self.powers[(np.arange(len(flat)) - np.repeat(heads, np.diff(np.r_[heads, len(flat)]))) & 7], heads)
+        last = offsets_of(np.bincount(owner, minlength=len(forms)))[1:][owner]
+        at = np.arange(len(heads))
         value = np.zeros(len(heads), np.uint64)
-        place = np.arange(len(heads))
-        last = offsets_of(chars)[1:][owner]  # end of the word of each character
+        found, owners = [whole], [np.arange(len(forms))]
         for n in range(1, self.settings.longest + 1):
-            here = place + n <= last
-            follow = codes[np.minimum(place + n - 1, len(codes) - 1)]
-            value = np.where(here, (value * np.uint64(0x9E3779B97F4A7C15)) ^ follow, value)
+            at = at[at + n <= last[at]]
+            value = (value[: len(at)] if n == 1 else value[kept(at, before)]) * np.uint64(0x9E3779B97F4A7C15) + chars[at + n - 1]
+            before = at
             if n >= self.settings.shortest:
-                found.append(value[here])
-                owners.append(owner[here])
-        # The whole form, also when it is longer than the longest n-gram.
-        whole = np.zeros(len(forms), np.uint64)
-        starts = offsets_of(chars)
-        for step in range(int(chars.max(initial=0))):
-            alive = np.flatnonzero(chars > step)
-            whole[alive] = (whole[alive] * np.uint64(0xD6E8FEB86659FD93)) ^ codes[starts[alive] + step]
-        found.append(whole)
-        owners.append(np.arange(len(forms)))
-        values, owned = np.concatenate(found), np.concatenate(owners)
-        order = np.argsort(owned, kind="stable")
-        values = values[order]
-        values = (values ^ (values >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                found.append(value)
+                owners.append(owner[at])
+        values = np.concatenate(found)
+        values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         rows = (values >> np.uint64(40)) % np.uint64(self.settings.buckets)
-        return rows.astype(np.int64), np.bincount(owned, minlength=len(forms))
+        return rows.astype(np.int64), np.concatenate(owners)
+
+
+def kept(at: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Positions in ``before`` of the values that are still in ``at`` (both ascending)."""
+    return np.searchsorted(before, at)
 
 
 @dataclass
@@ -100,22 +105,39 @@ class Model:
 
 def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
     """Learn subword vectors and classifier together by Adam on the log loss.  Without rows the score is a half everywhere; with
-    one label only it leans to that label."""
+    one label only it leans to that label.
+
+    The logits of a document are ``settings.scale`` times the mean of its subwords' vectors, times the classifier.  As both
+    steps are linear, each batch multiplies vectors and classifier first and sums numbers, not vectors, over subwords.
+    """
     if not texts:
         return Model(settings, np.zeros(settings.buckets, np.float32), 0.0)
     rng = np.random.default_rng(settings.seed)
     number: dict[bytes, int] = {}
-    bags = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
-    rows, sizes = Subwords(settings).rows(list(number)) if number else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    bags = [np.unique([number.setdefault(w, len(number)) for w in words_of(t)], return_counts=True) for t in texts]
+    if number:
+        rows, owners = Subwords(settings).rows(list(number))
+        order = np.argsort(owners, kind="stable")
+        rows, sizes = rows[order], np.bincount(owners, minlength=len(number))
+    else:
+        rows, sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = offsets_of(sizes)
-    target = np.array(labels, np.float32)
-    used, rows = np.unique(rows, return_inverse=True)  # only rows that occur are fitted
-    vectors = rng.normal(0, 1 / settings.dimensions, (len(used), settings.dimensions)).astype(np.float32)
-    matrix = np.zeros((settings.dimensions, 2), np.float32)
-    matrix[:, 1] = rng.normal(0, 1, settings.dimensions)
-    offset = np.zeros(2, np.float32)
-    counted = [np.unique(b, return_counts=True) for b in bags]
-    weights = [c / max(1, (c * sizes[w]).sum()) for w, c in counted]  # of a word in the mean over all subwords
+    entries = []  # of each document: its table rows, and their part in its mean
+    for words, counts in bags:
+        words = words.astype(np.int64)
+        at, inverse = np.unique(rows[gather(first[words], sizes[words])], return_inverse=True)
+        mass = np.bincount(inverse, np.repeat(counts, sizes[words]), len(at))
+        entries.append((at.astype(np.int32), (settings.scale * mass / max(1.0, mass.sum())).astype(np.float32)))
+    # Rows of few documents would only be learned by heart; their vectors stay zero.
+    spread = np.bincount(np.concatenate([at for at, _ in entries]), minlength=settings.buckets)
+    used = np.flatnonzero(spread >= settings.least_docs)
+    place = np.full(settings.buckets, -1, np.int32)
+    place[used] = np.arange(len(used))
+    entries = [(place[at][place[at] >= 0], mass[place[at] >= 0]) for at, mass in entries]
+    target = np.eye(2, dtype=np.float32)[np.array(labels, np.int64)]
+    vectors = rng.normal(0, 0.1, (len(used), settings.dimensions)).astype(np.float32)
+    matrix = rng.normal(0, 1, (settings.dimensions, 2)).astype(np.float32)
+    offset = np.log((target.sum(axis=0) + 1) / (len(target) + 2)).astype(np.float32)
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (vectors, matrix, offset)]
     step = 0
     for epoch in range(settings.epochs):
@@ -123,48 +145,29 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
         rate = settings.rate * (1 - epoch / settings.epochs)
         for begin in range(0, len(order), settings.batch):
             part = order[begin:begin + settings.batch]
-            n_words = np.array([len(counted[i][0]) for i in part])
-            words = np.concatenate([counted[i][0] for i in part])
-            weight = np.concatenate([weights[i] for i in part]).astype(np.float32)
-            doc = np.repeat(np.arange(len(part)), n_words)
-            at = rows[gather(first[words], sizes[words])]
-            doc_at, weight_at = np.repeat(doc, sizes[words]), np.repeat(weight, sizes[words])
-            # One entry per (document, row).
-            key, inverse = np.unique(doc_at * len(used) + at, return_inverse=True)
-            mass = np.bincount(inverse, weight_at, len(key)).astype(np.float32)
-            doc_at, at = key // max(1, len(used)), key % max(1, len(used))
-            mean = np.zeros((len(part), settings.dimensions), np.float32)
-            filled, begins = np.unique(doc_at, return_index=True)
-            if len(filled):
-                mean[filled] = np.add.reduceat(vectors[at] * mass[:, None], begins)
-            logit = mean @ matrix + offset
-            logit -= logit.max(axis=1, keepdims=True)
-            chance = np.exp(logit)
+            doc = np.repeat(np.arange(len(part)), [len(entries[i][0]) for i in part])
+            at = np.concatenate([entries[i][0] for i in part])
+            mass = np.concatenate([entries[i][1] for i in part])
+            product = vectors @ matrix
+            logit = np.stack([np.bincount(doc, product[at, k] * mass, len(part)) for k in (0, 1)], 1) + offset
+            chance = np.exp(logit - logit.max(axis=1, keepdims=True))
             chance /= chance.sum(axis=1, keepdims=True)
-            chance[np.arange(len(part)), target[part].astype(int)] -= 1
-            chance /= len(part)
-            to_mean = chance @ matrix.T
-            grads = [None, mean.T @ chance, chance.sum(axis=0)]
-            touched, where = np.unique(at, return_inverse=True)
-            by_row = np.argsort(where, kind="stable")
+            error = (chance - target[part]) / len(part)
+            flow = np.stack([np.bincount(at, error[doc, k] * mass, len(used)) for k in (0, 1)], 1).astype(np.float32)
             step += 1
-            if len(touched):
-                grad = np.add.reduceat(
-                    (to_mean[doc_at] * mass[:, None])[by_row], np.searchsorted(where[by_row], np.arange(len(touched)))
-                )
-                _adam(vectors, grad, state[0], rate, step, touched)
-            _adam(matrix, grads[1], state[1], rate, step)
-            _adam(offset, grads[2], state[2], rate, step)
+            grads = (flow @ matrix.T + settings.decay * vectors, vectors.T @ flow, error.sum(axis=0).astype(np.float32))
+            for value, grad, moments in zip((vectors, matrix, offset), grads, state):
+                _adam(value, grad, moments, rate, step)
     logits = np.zeros(settings.buckets, np.float32)
-    logits[used] = vectors @ (matrix[:, 1] - matrix[:, 0])
+    logits[used] = settings.scale * vectors @ (matrix[:, 1] - matrix[:, 0])
     return Model(settings, logits, float(offset[1] - offset[0]))
 
 
-def _adam(x, grad, state, rate, step, rows=slice(None)) -> None:
-    mean, square = state
-    mean[rows] = 0.9 * mean[rows] + 0.1 * grad
-    square[rows] = 0.99 * square[rows] + 0.01 * grad * grad
-    x[rows] -= rate * (mean[rows] / (1 - 0.9**step)) / (np.sqrt(square[rows] / (1 - 0.99**step)) + 1e-8)
+def _adam(value: np.ndarray, grad: np.ndarray, moments: tuple[np.ndarray, np.ndarray], rate: float, step: int) -> None:
+    mean, square = moments
+    mean += 0.1 * (grad - mean)
+    square += 0.01 * (grad * grad - square)
+    value -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
 
 
 class Scorer:
@@ -177,28 +180,31 @@ class Scorer:
 
     def _forget(self) -> None:
         self.cache: dict[bytes, int] = {}
-        self.known = Arena(np.float64)
+        self.sums = np.zeros(0)
+        self.sizes = np.zeros(0, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        rows, sizes = self.subwords.rows(words)
-        sums = np.add.reduceat(self.model.logits[rows].astype(np.float64), offsets_of(sizes)[:-1])
-        self.known.extend(np.column_stack([sums, sizes]).ravel(), np.full(len(words), 2, np.int64))
-
-    def score(self, text: str) -> float:
-        words = words_of(text)
-        total = 0.0
-        if words:
-            if len(self.cache) > CACHE_ENTRIES:
-                self._forget()
-            before = len(self.cache)
-            codes = list(map(self.cache.get, words))
-            if None in codes:
-                number, seen = self.cache.setdefault, self.cache
-                codes = [number(w, len(seen)) if c is None else c for w, c in zip(words, codes)]
-                self._learn(list(islice(seen, before, None)))
-            pairs = self.known.flat[: self.known.used].reshape(-1, 2)[codes]
-            total = pairs[:, 0].sum() / pairs[:, 1].sum()
-        return float(1 / (1 + np.exp(-np.clip(total + self.model.bias, -500, 500))))
+        rows, owners = self.subwords.rows(words)
+        self.sums = np.r_[self.sums, np.bincount(owners, self.model.logits[rows], len(words))]
+        self.sizes = np.r_[self.sizes, np.bincount(owners, minlength=len(words))]
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        if len(self.cache) > CACHE_ENTRIES:
+            self._forget()
+        bags = [words_of(t) for t in texts]
+        words = [w for bag in bags for w in bag]
+        known = len(self.cache)
+        codes = list(map(self.cache.get, words))
+        if None in codes:
+            number, seen = self.cache.setdefault, self.cache
+            codes = [number(w, len(seen)) if c is None else c for w, c in zip(words, codes)]
+            self._learn(list(islice(seen, known, None)))
+        codes = np.array(codes, np.int64)
+        doc = np.repeat(np.arange(len(texts)), [len(bag) for bag in bags])
+        total = np.bincount(doc, self.sums[codes], len(texts))
+        count = np.bincount(doc, self.sizes[codes], len(texts))
+        logit = total / np.maximum(1, count) + self.model.bias
+        return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
 def held_out(key: Column, folds: int = 5) -> Column:
@@ -237,6 +243,7 @@ def score_toxicity(df: DataFrame, text: str, model: Model, score: str = "score",
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
         for batch in batches:
-            yield pa.array([scorer.score(t.as_py() or "") for t in batch], pa.float64())
+            done = [scorer.score(part) for part in chunks([t or "" for t in batch.to_pylist()], CHUNK_CHARS)]
+            yield pa.array(np.concatenate(done) if done else np.zeros(0))
 
     return df.withColumn(score, rate(F.col(f"`{text}`"))).withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
