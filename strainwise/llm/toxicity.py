@@ -33,13 +33,14 @@ class Settings:
     shortest: int = 3
     longest: int = 6
     buckets: int = 1 << 20
-    least_docs: int = 8
+    least_docs: int = 20
     dimensions: int = 8
-    epochs: int = 20
+    epochs: int = 30
+    selecting: int = 15
     batch: int = 256
     rate: float = 0.05
-    scale: float = 50.0
-    decay: float = 1e-6
+    scale: float = 200.0
+    shrink: float = 1.0
     seed: int = 11
 
 
@@ -142,7 +143,15 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     step = 0
     for epoch in range(settings.epochs):
         order = rng.permutation(len(texts))
-        rate = settings.rate * (1 - epoch / settings.epochs)
+        if epoch == settings.selecting:  # only the rows left are fitted on, now without shrinking
+            alive = np.flatnonzero(np.abs(vectors).sum(axis=1) > 0)
+            place = np.full(len(used), -1, np.int32)
+            place[alive] = np.arange(len(alive))
+            used, vectors = used[alive], vectors[alive]
+            state[0] = (state[0][0][alive], state[0][1][alive])
+            entries = [(place[at][place[at] >= 0], mass[place[at] >= 0]) for at, mass in entries]
+        phase = settings.selecting if epoch < settings.selecting else settings.epochs
+        rate = settings.rate * (1 - epoch / phase)
         for begin in range(0, len(order), settings.batch):
             part = order[begin:begin + settings.batch]
             doc = np.repeat(np.arange(len(part)), [len(entries[i][0]) for i in part])
@@ -155,9 +164,13 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
             error = (chance - target[part]) / len(part)
             flow = np.stack([np.bincount(at, error[doc, k] * mass, len(used)) for k in (0, 1)], 1).astype(np.float32)
             step += 1
-            grads = (flow @ matrix.T + settings.decay * vectors, vectors.T @ flow, error.sum(axis=0).astype(np.float32))
+            grads = (flow @ matrix.T, vectors.T @ flow, error.sum(axis=0).astype(np.float32))
             for value, grad, moments in zip((vectors, matrix, offset), grads, state):
                 _adam(value, grad, moments, rate, step)
+            if epoch < settings.selecting:
+                # Rows whose gradient keeps no direction shrink to zero, so that chance occurrences do not score.
+                norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+                vectors *= np.maximum(0, 1 - settings.shrink * rate / np.maximum(norm, 1e-12))[:, None]
     logits = np.zeros(settings.buckets, np.float32)
     logits[used] = settings.scale * vectors @ (matrix[:, 1] - matrix[:, 0])
     return Model(settings, logits, float(offset[1] - offset[0]))
