@@ -23,13 +23,14 @@ KEYED = ["key", "version"]
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(key, version, line_no, line, h1, h2): all lines of at least ``min_chars`` characters.  ``version`` tells apart texts
-    that share a key; rows equal in both are one document."""
+    """(key, version, line_no, line, chars, h1, h2): all lines of at least ``min_chars`` characters.  ``version`` tells apart
+    texts that share a key; rows equal in both are one document."""
     body = F.col(f"`{text}`")
     rows = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), F.split(body, "\n").alias("lines"))
     return (
         rows.select("key", "version", F.posexplode("lines").alias("line_no", "line"))
-        .filter(F.length("line") >= min_chars)
+        .withColumn("chars", F.length("line"))
+        .filter(F.col("chars") >= min_chars)
         .withColumn("h1", F.xxhash64("line"))
         .withColumn("h2", F.xxhash64(F.lit(1), "line"))
     )
@@ -52,11 +53,11 @@ def _entry(line: Column, length: Column, segment: int, edits: int, shift: int) -
     return F.xxhash64(length, F.lit(segment), F.substring(line, start + shift, size))
 
 
-def index_entries(line: Column, edits: int) -> Column:
-    return F.array(*[_entry(line, F.length(line), i, edits, 0) for i in range(1, edits + 2)])
+def index_entries(line: Column, chars: Column, edits: int) -> Column:
+    return F.array(*[_entry(line, chars, i, edits, 0) for i in range(1, edits + 2)])
 
 
-def probe_entries(line: Column, edits: int) -> Column:
+def probe_entries(line: Column, chars: Column, edits: int) -> Column:
     """The substrings that can equal a segment of a line that is ``gap`` shorter: the shift is bounded by the edits to the left
     of the segment and, seen from the end of the line, by those to its right."""
     entries = []
@@ -64,7 +65,7 @@ def probe_entries(line: Column, edits: int) -> Column:
         for i in range(1, edits + 2):
             left, right = i - 1, edits + 1 - i
             for shift in range(max(-left, gap - right), min(left, gap + right) + 1):
-                entries.append(_entry(line, F.length(line) - gap, i, edits, shift))
+                entries.append(_entry(line, chars - gap, i, edits, shift))
     return F.array(*entries)
 
 
@@ -171,23 +172,36 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), start, step)["distance"] <= edits
 
 
-def near_links(lines: DataFrame, edits: int) -> DataFrame:
-    """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once."""
-    distinct = (
-        lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.max("line").alias("line"))
-        # Made of every column, so that all uses read the same shuffled rows.
-        .withColumn("id", F.xxhash64("h1", "h2", "first"))
-    )
-    index = distinct.select(F.explode(index_entries(F.col("line"), edits)).alias("entry"), F.col("id").alias("one"))
-    probe = distinct.select(F.explode(probe_entries(F.col("line"), edits)).alias("entry"), F.col("id").alias("other"))
+def near_links(df: DataFrame, key: str, text: str, lines: DataFrame, keys: DataFrame, edits: int) -> DataFrame:
+    """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once.
+
+    The index holds hashes only: (entry, line) is made distinct on the way, copies being combined before the shuffle.  Texts are
+    fetched for candidate pairs alone, from the documents that hold their first occurrence.
+    """
+    line, chars = F.col("line"), F.col("chars")
+    index = lines.select(F.explode(index_entries(line, chars, edits)).alias("entry"), F.col("h1").alias("one")).distinct()
+    probe = lines.select(F.explode(probe_entries(line, chars, edits)).alias("entry"), F.col("h1").alias("other")).distinct()
     met = (
         index.join(probe, "entry").filter("one <> other")
         .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
     )
-    text = distinct.select("id", "first", "line")
+    first = keys.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
+    pairs = cut_lineage(
+        met.join(first.select(F.col("h1").alias("one"), F.col("first").alias("src")), "one")
+        .join(first.select(F.col("h1").alias("other"), F.col("first").alias("dst")), "other")
+        .select("src", "dst")
+    )
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("place")).distinct()
+    body = F.col(f"`{text}`")
+    docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
+    texts = cut_lineage(
+        docs.join(wanted, (docs["version"] == F.col("place.version")) & docs["key"].eqNullSafe(F.col("place.key")))
+        .select("place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
+        .dropDuplicates(["place"])  # equal rows of the input hold the same line
+    )
     return (
-        met.join(text.select(F.col("id").alias("one"), F.col("first").alias("src"), F.col("line").alias("left_line")), "one")
-        .join(text.select(F.col("id").alias("other"), F.col("first").alias("dst"), F.col("line").alias("right_line")), "other")
+        pairs.join(texts.select(F.col("place").alias("src"), F.col("line").alias("left_line")), "src")
+        .join(texts.select(F.col("place").alias("dst"), F.col("line").alias("right_line")), "dst")
         .filter(F.abs(F.length("left_line") - F.length("right_line")) <= edits)
         .filter(edit_distance_within(F.col("left_line"), F.col("right_line"), edits))
         .select("src", "dst")
@@ -204,12 +218,12 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
     if min_chars <= edits + 1:
         raise ValueError("lines must be longer than the number of segments")
     lines = _lines(df, key, text, min_chars)
-    links = cut_lineage(near_links(lines, edits))
+    keys = cut_lineage(lines.select("key", "version", "line_no", "h1", "h2"))
+    links = cut_lineage(near_links(df, key, text, lines, keys, edits))
     degree = (
         links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     )
     named = connected_components(links).withColumnRenamed("node", "first").join(degree, "first")
-    keys = lines.select("key", "version", "line_no", "h1", "h2")
     # Equal rows of the input are one document: their lines count once.
     counted = keys.groupBy("h1", "h2").agg(
         F.min(_place()).alias("first"), F.max(_place()).alias("last")

@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Rows of the Arrow batches that go to Python tasks: whole texts are long, so batches are short.
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # A join that needs a few documents' texts should not shuffle all of them: filter while scanning, also below 10 GB.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

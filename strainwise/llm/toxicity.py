@@ -39,8 +39,8 @@ class Settings:
     selecting: int = 15
     batch: int = 256
     rate: float = 0.05
-    scale: float = 200.0
-    shrink: float = 1.0
+    scale: float = 400.0
+    shrink: float = 2.0
     seed: int = 11
 
 
