@@ -184,7 +184,10 @@ def _pieces(recipe: Recipe) -> Column:
             (F.least(start + size, (number + 1) * block) - first).alias("n_words"),
         )
 
-    turns = [F.transform(touched, lambda number, turn=turn: piece(turn, number)) for turn in range(recipe.limit)]
+    def pieces_of(turn: int) -> Column:
+        return F.transform(touched, lambda number: piece(turn, number))
+
+    turns = [pieces_of(turn) for turn in range(recipe.limit)]
     drawn = F.filter(F.concat(*turns), lambda p: p["shard"].isNotNull())
     return F.transform(drawn, lambda p: p.withField("shard", shard_of(p["shard"])))
 

@@ -181,8 +181,8 @@ def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 OP9_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
@@ -219,8 +219,8 @@ def _quality_sql() -> str:
     return f"""
 WITH split AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS body,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+         [w for w in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if w <> ''] AS words,
+         [l for l in string_split(coalesce(text, ''), chr(10)) if regexp_matches(l, '[^\\x20\\x09-\\x0D]')] AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
