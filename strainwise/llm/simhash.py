@@ -9,6 +9,9 @@ Lists longer than ``longest_list`` (one crowded neighbourhood of fingerprints) a
 at their midpoints instead: two values at most 2r bits apart share a value at most r bits from both, and any two
 that share one are at most 2r bits apart.  So stars around the midpoints give exactly the components that all pairs would, with a fixed
 number of rows per fingerprint whatever the size of the neighbourhood.
+
+Texts that share four fifths of their shingles differ in too many of 64 bits for that guarantee.  :func:`similar_documents`
+therefore takes 256 bits, many triples of their 32 bytes, and the share of equal bits as the estimate of similarity.
 """
 
 from __future__ import annotations
@@ -22,28 +25,52 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strainwise.llm.components import connected_components
 from strainwise.session import cut_lineage
 
 SEED = 42
+#: Longs of a wide fingerprint.
+WIDE = 4
 
 
-def fingerprint_of(text: str | None, words: int) -> int:
-    """Unsigned fingerprint of one text."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of every shingle, repeats included, as rows of eight bytes, the highest first; no rows for a text without words."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-    if not found:
-        return 0
     line = b" ".join(found)
     if len(found) <= words:
-        hashes = xxhash.xxh64_digest(line, SEED)
+        hashes = xxhash.xxh64_digest(line, SEED) if found else b""
     else:
         ends = (np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1).tolist()
         starts = [0] + [e + 1 for e in ends[:-1]]
         digest = xxhash.xxh64_digest
         hashes = b"".join([digest(line[a:b], SEED) for a, b in zip(starts, ends[words - 1:])])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-    return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.uint32) > len(bits)).tobytes(), "big")
+    return np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+
+
+def _majority(hashes: np.ndarray) -> bytes:
+    """Bits set in more than half of the rows."""
+    bits = np.unpackbits(hashes, axis=1)
+    return np.packbits(2 * bits.sum(axis=0, dtype=np.uint32) > len(bits)).tobytes()
+
+
+def fingerprint_of(text: str | None, words: int) -> int:
+    """Unsigned fingerprint of one text."""
+    hashes = shingle_hashes(text, words)
+    return int.from_bytes(_majority(hashes), "big") if len(hashes) else 0
+
+
+def wide_fingerprint_of(text: str | None, words: int) -> list[int]:
+    """Fingerprint of 256 bits, as four signed longs: further bits come from mixing each shingle's hash."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return [0] * WIDE
+    value, out = hashes.view(">u8").ravel().astype(np.uint64), []
+    for _ in range(WIDE):
+        out.append(int.from_bytes(_majority(value.astype(">u8").view(np.uint8).reshape(-1, 8)), "big", signed=True))
+        value = (value ^ (value >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x9E3779B97F4A7C15)
+    return out
 
 
 def simhash(text: Column, words: int = 5) -> Column:
@@ -155,3 +182,108 @@ def near_duplicates(
     lowest = smallest.groupBy("component").agg(F.min("key").alias("lowest"))
     of_print = smallest.join(lowest, "component").select("fp", F.col("lowest").alias("component"))
     return prints.join(of_print, "fp").select("key", "fp", "component")
+
+
+def wide_simhash(text: Column, words: int = 5) -> Column:
+    """Wide fingerprint as an array of longs; texts without words have zeros."""
+
+    @F.arrow_udf("array<long>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([wide_fingerprint_of(t.as_py(), words) for t in batch], pa.list_(pa.int64()))
+
+    return compute(text)
+
+
+def _wide_byte(fp: str, position: int) -> Column:
+    return byte_at(F.col(f"{fp}.w{position // 8}"), position % 8)
+
+
+def _wide_postings(fingerprints: DataFrame, lists: int) -> DataFrame:
+    """(list, fp): ``lists`` triples of the 32 byte positions, every position about equally often."""
+    draw, triples = np.random.default_rng(SEED), []
+    while len(triples) < lists:
+        shuffled = draw.permutation(8 * WIDE)
+        triples += [shuffled[i:i + 3].tolist() for i in range(0, 8 * WIDE - 2, 3)]
+    keys = [
+        reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(_wide_byte("fp", p)), triple, F.lit(number).cast("long"))
+        for number, triple in enumerate(triples[:lists])
+    ]
+    return fingerprints.select(F.explode(F.array(*keys)).alias("list"), "fp")
+
+
+def _wide_near(max_bits: int) -> Column:
+    """Whether src and dst agree in three bytes or more, and differ in at most ``max_bits`` bits."""
+    same = sum(((_wide_byte("src", p) == _wide_byte("dst", p)).cast("int") for p in range(8 * WIDE)), F.lit(0))
+    differing = sum((F.bit_count(F.col(f"src.w{i}").bitwiseXOR(F.col(f"dst.w{i}"))) for i in range(WIDE)), F.lit(0))
+    return (differing <= max_bits) & (same >= 3)
+
+
+def link_wide(fingerprints: DataFrame, max_bits: int, lists: int, longest_list: int) -> DataFrame:
+    """(node, component) of distinct wide fingerprints.
+
+    Lists up to ``longest_list`` are paired.  In longer ones every fingerprint first meets a few leaders; then those of different
+    components so far are paired as well, so no pair is passed over, and links inside a crowd need not all be made.
+    """
+    index = _wide_postings(fingerprints, lists)
+    sizes = index.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
+    met = cut_lineage(index.join(sizes, "list"))
+    short = met.filter(F.col("n") <= longest_list).select("list", "fp")
+    left, right = short.withColumnRenamed("fp", "src"), short.select(F.col("list").alias("l"), F.col("fp").alias("dst"))
+    pairs = left.join(right, (F.col("list") == F.col("l")) & (F.col("src") < F.col("dst")) & _wide_near(max_bits)).select("src", "dst")
+    crowd = met.filter(F.col("n") > longest_list).select("list", "fp")
+    slot = F.pmod(F.xxhash64("list", "fp"), F.lit(16))
+    leaders = crowd.groupBy(F.col("list").alias("l"), slot.alias("slot")).agg(F.min("fp").alias("src"))
+    led = crowd.withColumnRenamed("fp", "dst").join(
+        leaders, (F.col("list") == F.col("l")) & (F.col("src") != F.col("dst")) & _wide_near(max_bits)
+    ).select("src", "dst")
+    found = cut_lineage(pairs.union(led).distinct())
+    so_far = cut_lineage(connected_components(found))
+    named = crowd.join(so_far.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp")
+    )
+    mixed = named.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
+    open_ = cut_lineage(named.join(mixed, "list"))
+    one = open_.select("list", F.col("fp").alias("src"), F.col("component").alias("of"))
+    two = open_.select(F.col("list").alias("l"), F.col("fp").alias("dst"), F.col("component").alias("other"))
+    bridges = one.join(
+        two, (F.col("list") == F.col("l")) & (F.col("src") < F.col("dst")) & (F.col("of") != F.col("other")) & _wide_near(max_bits)
+    ).select("src", "dst")
+    return connected_components(found.union(bridges.distinct()))
+
+
+def similar_documents(
+    df: DataFrame, key: str, text: str, words: int = 5, max_bits: int = 44, lists: int = 100, longest_list: int = 64
+) -> DataFrame:
+    """(key, version, component): documents in one component are chained by pairs whose shingles of ``words`` words are about four
+    fifths the same or more: with 256 bits, an estimate of at most ``max_bits`` differing ones.
+
+    ``version`` is a hash of the text; ``component`` is the smallest (key, version) reachable.  Texts without words are linked
+    like any other.  Pairs well above the threshold are met in some list almost surely, those at it in most cases.
+    """
+    body = F.col(f"`{text}`")
+    wide = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), wide_simhash(body, words).alias("w"))
+    prints = cut_lineage(
+        wide.select("key", "version", F.struct(*[F.col("w")[i].alias(f"w{i}") for i in range(WIDE)]).alias("fp"))
+    )
+    distinct = prints.groupBy("fp").agg(F.min(F.struct("key", "version")).alias("first"))
+    named = link_wide(distinct.select("fp"), max_bits, lists, longest_list)
+    whole = distinct.join(named.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    lowest = whole.groupBy("component").agg(F.min("first").alias("lowest"))
+    of_print = whole.join(lowest, "component").select("fp", F.col("lowest").alias("component"))
+    return prints.join(of_print, "fp").select("key", "version", "component")
+
+
+def keep_one_of_each(df: DataFrame, key: str, text: str, **settings) -> DataFrame:
+    """One row of every component of :func:`similar_documents`: the first by key, then by text version; equal rows count as one."""
+    found = cut_lineage(similar_documents(df, key, text, **settings))
+    first = found.filter(F.struct("key", "version") == F.col("component"))
+    repeated = first.count() > first.distinct().count()
+    chosen = first.select(F.col("key").alias("__key"), F.col("version").alias("__version")).distinct()
+    of = F.xxhash64(F.col(f"`{text}`"))
+    kept = df.join(chosen, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (of == F.col("__version")), "left_semi")
+    if not repeated:
+        return kept
+    # Several rows under one key with the same text: any further columns decide which stays.
+    order = Window.partitionBy(F.col(f"`{key}`"), of).orderBy(*[F.col(f"`{c}`") for c in df.columns if c not in (key, text)])
+    return kept.withColumn("__at", F.row_number().over(order)).filter("__at = 1").drop("__at")

@@ -33,10 +33,10 @@ class Settings:
     shortest: int = 3
     longest: int = 6
     buckets: int = 1 << 20
-    least_docs: int = 20
+    least_share: float = 1 / 300
     dimensions: int = 8
-    epochs: int = 30
-    selecting: int = 15
+    steps: int = 720
+    selecting: int = 360
     batch: int = 256
     rate: float = 0.05
     scale: float = 400.0
@@ -131,7 +131,7 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
         entries.append((at.astype(np.int32), (settings.scale * mass / max(1.0, mass.sum())).astype(np.float32)))
     # Rows of few documents would only be learned by heart; their vectors stay zero.
     spread = np.bincount(np.concatenate([at for at, _ in entries]), minlength=settings.buckets)
-    used = np.flatnonzero(spread >= settings.least_docs)
+    used = np.flatnonzero(spread >= max(3, settings.least_share * len(texts)))
     place = np.full(settings.buckets, -1, np.int32)
     place[used] = np.arange(len(used))
     entries = [(place[at][place[at] >= 0], mass[place[at] >= 0]) for at, mass in entries]
@@ -141,19 +141,22 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     offset = np.log((target.sum(axis=0) + 1) / (len(target) + 2)).astype(np.float32)
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (vectors, matrix, offset)]
     step = 0
-    for epoch in range(settings.epochs):
+    size = settings.batch
+    rounds = -(-len(texts) // size)
+    selecting, epochs = (max(1, round(n / rounds)) for n in (settings.selecting, settings.steps))
+    for epoch in range(epochs):
         order = rng.permutation(len(texts))
-        if epoch == settings.selecting:  # only the rows left are fitted on, now without shrinking
+        if epoch == selecting:  # only the rows left are fitted on, now without shrinking
             alive = np.flatnonzero(np.abs(vectors).sum(axis=1) > 0)
             place = np.full(len(used), -1, np.int32)
             place[alive] = np.arange(len(alive))
             used, vectors = used[alive], vectors[alive]
             state[0] = (state[0][0][alive], state[0][1][alive])
             entries = [(place[at][place[at] >= 0], mass[place[at] >= 0]) for at, mass in entries]
-        phase = settings.selecting if epoch < settings.selecting else settings.epochs
+        phase = selecting if epoch < selecting else epochs
         rate = settings.rate * (1 - epoch / phase)
-        for begin in range(0, len(order), settings.batch):
-            part = order[begin:begin + settings.batch]
+        for begin in range(0, len(order), size):
+            part = order[begin:begin + size]
             doc = np.repeat(np.arange(len(part)), [len(entries[i][0]) for i in part])
             at = np.concatenate([entries[i][0] for i in part])
             mass = np.concatenate([entries[i][1] for i in part])
@@ -167,7 +170,7 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
             grads = (flow @ matrix.T, vectors.T @ flow, error.sum(axis=0).astype(np.float32))
             for value, grad, moments in zip((vectors, matrix, offset), grads, state):
                 _adam(value, grad, moments, rate, step)
-            if epoch < settings.selecting:
+            if epoch < selecting:
                 # Rows whose gradient keeps no direction shrink to zero, so that chance occurrences do not score.
                 norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
                 vectors *= np.maximum(0, 1 - settings.shrink * rate / np.maximum(norm, 1e-12))[:, None]
