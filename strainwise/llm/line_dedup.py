@@ -3,10 +3,11 @@
 A line of length l is cut into ``edits + 1`` even segments, which are indexed under (l, number of the segment, segment).  If two
 lines are within ``edits`` edits, one segment of the shorter survives in the longer, shifted by at most what the edits before and
 after it allow; so every line probes the index with exactly those substrings, for every length it may meet.  What meets is
-verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, and pairs are verified before they
-leave the join, so copies never multiply.
+verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply.  A line's
+number in the lists carries counts of a few letters: an edit changes at most two of them by one, so pairs of one crowded
+list that differ in more than that never leave the join.
 
-The identity of a line is 128 bits of hash; the text of a candidate pair is compared itself.
+The identity of a line is two numbers made of 128 bits of hash and these counts; the texts of a candidate pair are compared themselves.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from strainwise.llm.components import connected_components
 from strainwise.session import cut_lineage
 
 KEYED = ["key", "version"]
+#: Letters whose counts, modulo eight, are the low bits of a line's number.  Frequent ones tell most; any would be right.
+COUNTED = "etanisor"
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(key, version, line_no, line, chars, h1, h2): all lines of at least ``min_chars`` characters.  ``version`` tells apart
+    """(key, version, line_no, line, chars, id, check): all lines of at least ``min_chars`` characters.  ``version`` tells apart
     texts that share a key; rows equal in both are one document."""
     body = F.col(f"`{text}`")
     rows = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), F.split(body, "\n").alias("lines"))
@@ -31,11 +34,33 @@ def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
         rows.select("key", "version", F.posexplode("lines").alias("line_no", "line"))
         .withColumn("chars", F.length("line"))
         .filter(F.col("chars") >= min_chars)
-        .withColumn("h1", F.xxhash64("line"))
-        .withColumn("h2", F.xxhash64(F.lit(1), "line"))
+        .withColumn("id", _number(F.col("line"), F.col("chars")))
+        .withColumn("check", F.xxhash64(F.lit(1), "line"))
     )
 
 
+def _number(line: Column, chars: Column) -> Column:
+    """The upper bits of a hash, and the counts of a few letters below."""
+    bits = 3 * len(COUNTED)
+    number = F.shiftleft(F.shiftrightunsigned(F.xxhash64(line), bits), bits)
+    for place, letter in enumerate(COUNTED):
+        count = (chars - F.length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(7))
+        number = number.bitwiseOR(F.shiftleft(count.cast("long"), 3 * place))
+    return number
+
+
+def _counts_allow(one: Column, other: Column, edits: int) -> Column:
+    """Whether the letter counts of two numbers can be those of lines ``edits`` apart."""
+    def count(number: Column, place: int) -> Column:
+        return F.shiftrightunsigned(number, 3 * place).bitwiseAND(F.lit(7))
+
+    total = F.lit(0).cast("long")
+    for place in range(len(COUNTED)):
+        ahead = (count(one, place) - count(other, place)).bitwiseAND(F.lit(7))
+        total = total + F.least(ahead, 8 - ahead)
+    return total <= 2 * edits
+
+
 def _place() -> Column:
     return F.struct("key", "version", "line_no")
 
@@ -179,16 +204,16 @@ def near_links(df: DataFrame, key: str, text: str, lines: DataFrame, keys: DataF
     fetched for candidate pairs alone, from the documents that hold their first occurrence.
     """
     line, chars = F.col("line"), F.col("chars")
-    index = lines.select(F.explode(index_entries(line, chars, edits)).alias("entry"), F.col("h1").alias("one")).distinct()
-    probe = lines.select(F.explode(probe_entries(line, chars, edits)).alias("entry"), F.col("h1").alias("other")).distinct()
+    index = lines.select(F.explode(index_entries(line, chars, edits)).alias("entry"), F.col("id").alias("one")).distinct()
+    probe = lines.select(F.explode(probe_entries(line, chars, edits)).alias("entry"), F.col("id").alias("other")).distinct()
     met = (
-        index.join(probe, "entry").filter("one <> other")
+        index.join(probe, "entry").filter((F.col("one") != F.col("other")) & _counts_allow(F.col("one"), F.col("other"), edits))
         .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
     )
-    first = keys.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
+    first = keys.groupBy("id", "check").agg(F.min(_place()).alias("first"))
     pairs = cut_lineage(
-        met.join(first.select(F.col("h1").alias("one"), F.col("first").alias("src")), "one")
-        .join(first.select(F.col("h1").alias("other"), F.col("first").alias("dst")), "other")
+        met.join(first.select(F.col("id").alias("one"), F.col("first").alias("src")), "one")
+        .join(first.select(F.col("id").alias("other"), F.col("first").alias("dst")), "other")
         .select("src", "dst")
     )
     wanted = pairs.select(F.explode(F.array("src", "dst")).alias("place")).distinct()
@@ -218,21 +243,21 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
     if min_chars <= edits + 1:
         raise ValueError("lines must be longer than the number of segments")
     lines = _lines(df, key, text, min_chars)
-    keys = cut_lineage(lines.select("key", "version", "line_no", "h1", "h2"))
+    keys = cut_lineage(lines.select("key", "version", "line_no", "id", "check"))
     links = cut_lineage(near_links(df, key, text, lines, keys, edits))
     degree = (
         links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     )
     named = connected_components(links).withColumnRenamed("node", "first").join(degree, "first")
     # Equal rows of the input are one document: their lines count once.
-    counted = keys.groupBy("h1", "h2").agg(
+    counted = keys.groupBy("id", "check").agg(
         F.min(_place()).alias("first"), F.max(_place()).alias("last")
     )
     company = (
         counted.join(named, "first", "left").filter("first <> last OR component IS NOT NULL")
-        .select("h1", "h2", F.coalesce("component", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("id", "check", F.coalesce("component", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    return keys.join(company, ["h1", "h2"]).select("key", "version", "line_no", "class", "n_links").distinct()
+    return keys.join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
 
 
 def dropped_lines(classes: DataFrame) -> DataFrame:
