@@ -56,8 +56,11 @@ def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarr
             c = 1.0 + term / np.where(np.abs(c) < tiny, tiny, c)
             delta = c * d
             total = total * delta
-        if np.all(np.abs(delta - 1.0) < 1e-14):
+        if not np.any(np.abs(delta - 1.0) >= 1e-14):
             break
+    else:
+        if np.any(np.abs(delta - 1.0) >= 1e-9):
+            raise ArithmeticError(f"the continued fraction has not settled after {steps} terms")
     return total
 
 

@@ -36,8 +36,8 @@ def agar_cutoffs(category: DataFrame, medium: DataFrame, method: DataFrame) -> D
         .groupBy("drug_id")
         .agg(F.min("concentration").alias("min_concentration"), F.max("concentration").alias("max_concentration"))
     )
-    agar = medium.where(F.col("medium_name") == "Agar").select("medium_id", F.lit("Agar").alias("_agar"))
-    return bounds.withColumn("_agar", F.lit("Agar")).join(agar, "_agar").drop("_agar")
+    agar = medium.where(F.col("medium_name") == "Agar").select("medium_id").scalar()
+    return bounds.withColumn("medium_id", agar).where("medium_id IS NOT NULL")
 
 
 def _method_class() -> Column:

@@ -14,6 +14,8 @@ BIN_WIDTH = 4096
 def apply_mapping(df: DataFrame, mapping: list[tuple[str, str, str]]) -> DataFrame:
     """Project, rename and cast; ``mapping`` holds (source, target, type).  Unfit values become NULL."""
     return df.select(*[F.col(source).try_cast(kind).alias(target) for source, target, kind in mapping])
+#: Copies of the smaller side of a product.
+PAIR_SLOTS = 256
 
 
 def select_fields(df: DataFrame, names: list[str]) -> DataFrame:
@@ -69,15 +71,17 @@ def pair_all(big: DataFrame, small: DataFrame, spread_by: str) -> DataFrame:
     """Every row of ``big`` with every row of ``small``, where that product is the result asked for.
 
     ``small`` is repeated once per slot and joined on the slot of the big row: an
-    ordinary equi join that needs no broadcast.  The inputs are small next to the
-    result, so the number of partitions is stated; left to itself it would shrink to
-    what the inputs need.
+    ordinary equi join that needs no broadcast and whose partitions the adaptive planner may merge or split.
     """
-    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = 4 * tasks
-    repeated = small.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    slotted = big.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(slots)).cast("int"))
-    return slotted.repartition(tasks, "_slot").join(repeated, "_slot").drop("_slot")
+    repeated = small.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(PAIR_SLOTS - 1))))
+    slotted = big.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(PAIR_SLOTS)).cast("int"))
+    return slotted.join(repeated, "_slot").drop("_slot")
+
+
+def sample_by_key(df: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+    """About ``fraction`` of the rows, the same ones on every run and however the rows are partitioned: those whose key's digest is low."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.where(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") < F.lit(int(fraction * 2**32)))
 
 
 def with_each(df: DataFrame, column: str, values: list[str]) -> DataFrame:

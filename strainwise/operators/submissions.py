@@ -171,18 +171,25 @@ def parse_general_sheet(sheet: DataFrame, countries: DataFrame, submission_date:
     )
 
 
+def _hash_pairs(files: DataFrame, owner: str) -> DataFrame:
+    """Every ordered pair of distinct hashes of an owner's files, of which an owner has a handful."""
+    hashes = files.groupBy(owner).agg(F.array_sort(F.collect_set("md5")).alias("_all"))
+    first = hashes.select(owner, "_all", F.explode("_all").alias("_first"))
+    return first.select(owner, "_first", F.explode("_all").alias("_second")).where("_first < _second")
+
+
 def detect_resubmissions(entries: DataFrame, existing: DataFrame) -> DataFrame:
     """Strains whose files are those of an existing sample: exactly two file hashes in common.
 
-    ``entries`` has strain_id, md5; ``existing`` has sample_name, md5.
+    ``entries`` has strain_id, md5; ``existing`` has sample_name, md5.  Both sides are matched on pairs of their own hashes, so
+    one hash that very many have (of an empty file) brings nobody together; exactly two in common is exactly one pair.
     """
     return (
-        entries.select("strain_id", "md5")
-        .distinct()
-        .join(existing.select("sample_name", "md5"), "md5")
+        _hash_pairs(entries, "strain_id")
+        .join(_hash_pairs(existing, "sample_name"), ["_first", "_second"])
         .groupBy("strain_id", "sample_name")
         .agg(F.count(F.lit(1)).alias("_shared"))
-        .where("_shared = 2")
+        .where("_shared = 1")
         .groupBy("strain_id")
         .agg(F.min("sample_name").alias("sample_name"))
     )

@@ -9,7 +9,7 @@ from strainwise import rules
 from strainwise.functions import hgvs
 from strainwise.functions.numeric import codon_of
 from strainwise.functions.text import first_match, set_text
-from strainwise.operators.relational import best_ranked
+from strainwise.operators.relational import best_ranked, sample_by_key
 
 ALLELE = ["chromosome", "position", "reference_nucleotide", "alternative_nucleotide"]
 CATEGORY_COLUMNS = [
@@ -428,7 +428,7 @@ def variant_catalogue_map(
         )
         .distinct()
     )
-    return mapped if sample_fraction is None else mapped.sample(fraction=sample_fraction)
+    return mapped if sample_fraction is None else sample_by_key(mapped, ["variant", "variant_id"], sample_fraction)
 
 
 def exclude_listed_variants(

@@ -37,7 +37,7 @@ VIEWS["drug"] = f"SELECT CAST(n_nationkey + 1 AS INT) AS drug_id, split_part('{_
 VIEWS["drug_synonym"] = (
     "SELECT drug_id, 'three_letter_code' AS code, upper(substr(drug_name, 1, 3)) || CAST(drug_id AS STRING) AS drug_name_synonym FROM {drug}"
 )
-VIEWS["medium"] = f"SELECT CAST(n_nationkey + 1 AS INT) AS medium_id, split_part('{_MEDIA}', ',', n_nationkey + 1) AS medium_name FROM {{nation}} WHERE n_nationkey < 8"
+VIEWS["medium"] = f"SELECT CAST(n_nationkey + 1 AS INT) AS medium_id, CASE WHEN n_nationkey < 8 THEN split_part('{_MEDIA}', ',', n_nationkey + 1) ELSE 'Medium ' || n_name END AS medium_name FROM {{nation}}"
 VIEWS["method"] = (
     "SELECT CAST(r_regionkey + 1 AS INT) AS method_id, CASE r_regionkey WHEN 0 THEN 'Proportions' WHEN 1 THEN 'Ratios' ELSE 'Method ' || r_name END AS method_name FROM {region}"
 )
@@ -129,11 +129,14 @@ SELECT variant_id, gene AS gene_db_crossref_id, effect AS predicted_effect, nucl
 FROM {effect_text} WHERE effect <> 'downstream_gene_variant'
 UNION ALL SELECT variant_id, gene + 1, effect, nucleotidic, proteic, CAST(21 - dist AS BIGINT) FROM {effect_text} e WHERE effect = 'upstream_gene_variant' AND EXISTS (SELECT 1 FROM {gene_ids} g WHERE g.gene = e.gene + 1)"""
 VIEWS["mnv"] = """
-SELECT DISTINCT m.variant_id AS mnv_id, s.variant_id AS snv_id FROM {variant} m JOIN {variant} s
- ON s.chromosome = m.chromosome AND s.position IN (m.position, m.position + 1, m.position + 2)
- AND length(m.reference_nucleotide) = 3 AND length(m.alternative_nucleotide) = 3
- AND s.reference_nucleotide = substr(m.reference_nucleotide, s.position - m.position + 1, 1)
- AND s.alternative_nucleotide = substr(m.alternative_nucleotide, s.position - m.position + 1, 1)
+SELECT DISTINCT m.variant_id AS mnv_id, s.variant_id AS snv_id FROM (
+  SELECT variant_id, chromosome, position + o.step AS position, substr(reference_nucleotide, o.step + 1, 1) AS reference_nucleotide,
+   substr(alternative_nucleotide, o.step + 1, 1) AS alternative_nucleotide
+  FROM (SELECT *, CASE WHEN length(reference_nucleotide) = 3 AND length(alternative_nucleotide) = 3 THEN 3 ELSE 0 END AS width FROM {variant}) v
+  JOIN (SELECT 3 AS wide, 0 AS step UNION ALL SELECT 3, 1 UNION ALL SELECT 3, 2) o ON o.wide = v.width
+) m JOIN {variant} s
+ ON s.chromosome = m.chromosome AND s.position = m.position
+ AND s.reference_nucleotide = m.reference_nucleotide AND s.alternative_nucleotide = m.alternative_nucleotide
  AND s.reference_nucleotide <> s.alternative_nucleotide"""
 VIEWS["variant_category"] = """
 SELECT e.variant_id, e.gene AS gene_db_crossref_id, t.drug_id, t.tier, e.variant_id + 1 AS position,
@@ -175,7 +178,7 @@ SELECT CAST(o_orderkey AS INT) AS id, CAST(o_custkey AS INT) AS sample_id, 'ERR'
  CASE WHEN o_orderkey % 8 = 0 THEN 'SINGLE' ELSE 'PAIRED' END AS library_layout, CASE WHEN o_orderkey % 6 = 0 THEN 'CNCB' ELSE 'S3' END AS data_location,
  CASE WHEN o_orderkey % 3 = 0 THEN 'Deeplex' ELSE NULL END AS assay, 'p/' || CAST(o_orderkey AS STRING) || '.fq' AS file_path
 FROM {orders}"""
-VIEWS["sequencing_hash"] = "SELECT CAST(o_orderkey AS INT) AS sequencing_data_id, md5(CAST(o_orderkey AS STRING)) AS value FROM {orders} WHERE o_orderstatus <> 'P'"
+VIEWS["sequencing_hash"] = "SELECT CAST(o_orderkey AS INT) AS sequencing_data_id, md5(CAST(o_orderkey AS STRING)) AS value FROM {orders}"
 VIEWS["summary_stats"] = (
     "SELECT CAST(c_custkey AS INT) AS sample_id, CAST(c_custkey % 60 AS DOUBLE) AS median_depth, CAST(90 + c_custkey % 11 AS DOUBLE) / 100 AS coverage_20x FROM {customer}"
 )
@@ -196,7 +199,7 @@ FROM {genotype_af} g JOIN {cohort} h ON h.sample_id = g.sample_id JOIN {variant_
 JOIN {clean_phenotype} p ON p.sample_id = g.sample_id AND p.drug_id = c.drug_id
 WHERE g.genotyper IN ('freebayes', 'delly') AND g.quality > 1000 AND g.af > 0.75"""
 VIEWS["variant_info"] = (
-    "SELECT v.position, v.reference_nucleotide, v.alternative_nucleotide, 'note ' || CAST(v.variant_id % 9 AS STRING) AS v1_annotation, v.variant_id FROM {variant} v JOIN {part} p ON p.p_partkey = v.variant_id WHERE p.p_size < 10"
+    "SELECT v.position, v.reference_nucleotide, v.alternative_nucleotide, 'note ' || CAST(v.variant_id % 9 AS STRING) AS v1_annotation, v.variant_id FROM {variant} v"
 )
 VIEWS["variant_grade"] = """
 SELECT v.variant_id, v.position, v.reference_nucleotide, v.alternative_nucleotide, t.drug_id, v.variant_id % 5 + 1 AS grade, CASE WHEN v.variant_id % 7 = 0 THEN 1 ELSE 2 END AS grade_version

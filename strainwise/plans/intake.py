@@ -259,13 +259,13 @@ _CURRENT = "SELECT sample_name, sra_name, sample_id, CAST(NULL AS INT) AS countr
 @query(
     "upsert_samples",
     f"""WITH e AS (SELECT *, CASE WHEN samplename LIKE 'SRS%' AND k % 4 = 1 THEN 'S' || CAST(k AS STRING) ELSE samplename END AS name, CASE WHEN samplingdate IS NOT NULL THEN '[' || samplingdate || ',' || samplingdate || ']' WHEN collectionyear IS NOT NULL THEN '[' || CAST(collectionyear AS STRING) || '-01-01,' || CAST(collectionyear AS STRING) || '-12-31]' END AS period FROM ({ENTRIES}) x WHERE k % 4 <> 2)
-SELECT coalesce(e.name, s.sample_name) AS sample_name, n.country_id, CASE WHEN s.sample_name IS NULL THEN 1773 ELSE 1764 END AS ncbi_taxon_id, coalesce(e.period, CASE WHEN s.sample_name IS NOT NULL THEN '[2000-01-01,2000-12-31]' END) AS sampling_date, coalesce(e.isolationsource, CASE WHEN s.sample_name IS NOT NULL THEN 'lung' END) AS isolation_source
+SELECT coalesce(e.name, s.sample_name) AS sample_name, s.sample_id, s.sra_name, n.country_id, CASE WHEN s.sample_name IS NULL THEN 1773 ELSE 1764 END AS ncbi_taxon_id, coalesce(e.period, CASE WHEN s.sample_name IS NOT NULL THEN '[2000-01-01,2000-12-31]' END) AS sampling_date, coalesce(e.isolationsource, CASE WHEN s.sample_name IS NOT NULL THEN 'lung' END) AS isolation_source
 FROM {{sample}} s FULL JOIN e ON e.name = s.sample_name LEFT JOIN {{country}} n ON n.three_letters_code = e.countrycode""",
 )
 def _(t):
     current = t.sql(_CURRENT)
     result = ingest.upsert_samples(ingest.load_samples(t.sql(ENTRIES)), current, t.sequencing, t.country)
-    return result.select("sample_name", "country_id", "ncbi_taxon_id", "sampling_date", "isolation_source")
+    return result.select("sample_name", "sample_id", "sra_name", "country_id", "ncbi_taxon_id", "sampling_date", "isolation_source")
 
 
 @query("sequencing_defaults", f"SELECT samplename AS sample_name, bucketname AS bucket_name, samplename AS prefix, coalesce(librarypreparationstrategy, 'WGS') AS library_preparation_strategy, 'ILLUMINA' AS sequencing_platform, 'PAIRED' AS library_layout FROM ({ENTRIES}) e WHERE bucketname IS NOT NULL")

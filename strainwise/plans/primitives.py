@@ -203,16 +203,20 @@ def _(t):
     return sinks.assert_schema(t.clean_phenotype.select("sample_id", "drug_id"), kinds)
 
 
-_INCOMING = "SELECT 'S' || CAST(o_custkey AS STRING) AS sample_name, 'C' || lpad(CAST(min(o_orderkey) % 25 AS STRING), 2, '0') AS country_id, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'new' END AS origin FROM {orders} GROUP BY o_custkey"
+# Several rows for a sample, as many as its orders; one of them is taken whole.
+_INCOMING = "SELECT 'S' || CAST(o_custkey AS STRING) AS sample_name, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE 'C' || lpad(CAST(o_orderkey % 25 AS STRING), 2, '0') END AS country_id, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'new' || CAST(o_orderkey % 10 AS STRING) END AS origin FROM {orders}"
+_TAKEN = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_name ORDER BY country_id NULLS FIRST, origin NULLS FIRST) AS n FROM ({_INCOMING}) i) r WHERE n = 1"
 
 
 @query(
     "upsert_coalesce",
-    f"""SELECT coalesce(n.sample_name, o.sample_name) AS sample_name, coalesce(n.country_id, o.country_id) AS country_id, coalesce(n.origin, o.origin) AS origin
-FROM {{sample}} o FULL JOIN ({_INCOMING}) n ON n.sample_name = o.sample_name""",
+    f"""SELECT coalesce(n.sample_name, o.sample_name) AS sample_name, o.sample_id, o.sra_name, o.bioanalysis_status, coalesce(n.country_id, o.country_id) AS country_id, coalesce(n.origin, o.origin) AS origin
+FROM {{sample}} o FULL JOIN ({_TAKEN}) n ON n.sample_name = o.sample_name""",
 )
 def _(t):
-    return sinks.upsert_coalesce(t.sample, t.sql(_INCOMING), ["sample_name"], ["country_id", "origin"])
+    return sinks.upsert_coalesce(t.sample, t.sql(_INCOMING), ["sample_name"], ["country_id", "origin"]).select(
+        "sample_name", "sample_id", "sra_name", "bioanalysis_status", "country_id", "origin"
+    )
 
 
 @query(
@@ -362,9 +366,9 @@ def _(t):
     return t.events.select("user_id", "event_type").distinct()
 
 
-@query("sample_fraction")
+@query("sample_fraction", "SELECT l_orderkey, l_linenumber FROM {lineitem} WHERE CAST('0x' || substr(md5(concat(l_orderkey, '|', l_linenumber)), 1, 8) AS BIGINT) < 429496729")
 def _(t):
-    return t.lineitem.select("l_orderkey", "l_linenumber").sample(fraction=0.1, seed=7)
+    return rel.sample_by_key(t.lineitem.select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 0.1)
 
 
 @query("literal_col", "SELECT n_nationkey, 2 AS version, CAST(NULL AS STRING) AS neutral FROM {nation}")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
+from strainwise.operators.relational import distinct_on, top1_per_group
+
 
 def rebalanced(df: DataFrame, *keys: str) -> DataFrame:
     """Spread rows for writing: rows of a key stay together, but a hot key is split over several tasks."""
@@ -124,21 +126,29 @@ def assert_schema(df: DataFrame, required: dict[str, DataType], maps: list[str]
 
 
 def upsert_coalesce(current: DataFrame, incoming: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Insert new keys; for known keys take the incoming value where there is one, else keep the old."""
-    both = current.select(*keys, *columns, F.lit(False).alias("_fresh")).unionByName(
-        incoming.select(*keys, *columns, F.lit(True).alias("_fresh"))
-    )
+    """Insert new keys; for known keys take the incoming value where there is one, else keep the old.
+
+    The result has all columns of ``current``; those that are not updated keep their value, and are NULL for new keys.  Of several incoming
+    rows with one key, one is taken whole: the smallest in ``columns``, from the first on, NULL before any value.
+    """
+    chosen = top1_per_group(incoming, keys, [F.col(name) for name in columns], columns)
+    fresh = chosen.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias("_there"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
 
-    def chosen(name: str) -> Column:
-        fresh = F.max(F.when(F.col("_fresh"), F.col(name)))
-        return F.coalesce(fresh, F.max(F.when(~F.col("_fresh"), F.col(name)))).alias(name)
+    def merged(name: str) -> Column:
+        if name in columns:
+            return F.coalesce(f"_{name}", name).alias(name)
+        if name in keys:
+            return F.when(F.col("_known"), F.col(name)).otherwise(F.col(f"_{name}")).alias(name)
+        return F.col(name)
 
-    return both.groupBy(*keys).agg(*[chosen(name) for name in columns])
+    return current.withColumn("_known", F.lit(True)).join(fresh, same, "full").select(*[merged(c) for c in current.columns])
 
 
 def insert_if_absent(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Current rows plus one row for every key that is new."""
-    fresh = incoming.dropDuplicates(keys).join(current.select(*keys), keys, "left_anti")
+    """Current rows plus one row for every key that is new: of several the smallest in the further columns."""
+    others = [F.col(name) for name in incoming.columns if name not in keys]
+    fresh = distinct_on(incoming, keys, others or [F.lit(0)]).join(current.select(*keys), keys, "left_anti")
     return current.unionByName(fresh, allowMissingColumns=True)
 
 

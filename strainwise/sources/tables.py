@@ -23,9 +23,15 @@ def scan_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
     return reader.options(**(split or {})).load()
 
 
-def scan_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict) -> DataFrame:
-    """The result of a query the database runs."""
-    return spark.read.format("jdbc").options(url=url, query=query, **properties).load()
+def jdbc_options(query: str, split: dict | None = None) -> dict:
+    """Options for a query the database runs.  With ``split`` (as in :func:`scan_jdbc_table`) the query becomes a derived table, which every
+    connection reads one range of."""
+    return {"query": query} if not split else {"dbtable": f"({query}) t", **split}
+
+
+def scan_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict, split: dict | None = None) -> DataFrame:
+    """The result of a query the database runs, read in parallel where a ``split`` is given."""
+    return spark.read.format("jdbc").options(url=url, **properties, **jdbc_options(query, split)).load()
 
 
 def scan_delimited(
@@ -51,10 +57,13 @@ def scan_keyless_tsv(spark: SparkSession, path: str, names: list[str]) -> DataFr
 def parse_gff(lines: DataFrame, value: str = "value") -> DataFrame:
     """Feature lines (GFF3 ``key=value`` or GTF ``key "value"``) into typed columns and an attribute map."""
     part = F.split(F.col(value), "\t")
+    # A feature line without nine columns is an error, not a line to skip.
+    refused = F.raise_error(F.concat(F.lit("not a feature line: "), F.col(value))).cast("boolean")
+    whole = F.when(F.size(part) == 9, F.lit(True)).otherwise(refused)
     attributes = F.regexp_replace(F.regexp_replace(part[8], r'\s*;\s*$', ""), r'\s*;\s*', ";")
     attributes = F.regexp_replace(F.regexp_replace(attributes, r'(^|;)([^=; ]+) "', "$1$2="), '"', "")
     return (
-        lines.where(~F.col(value).startswith("#") & (F.size(part) == 9))
+        lines.where(~F.col(value).startswith("#") & (F.trim(F.col(value)) != "")).where(whole)
         .select(
             part[0].alias("contig"),
             part[2].alias("feature"),

@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from strainwise.operators.relational import distinct_on
 from strainwise.sources.sinks import overwrite_truncate, read_snapshot
 
 BATCH = "load_batch"
@@ -49,15 +51,23 @@ def loaded(spark: SparkSession, target: str) -> DataFrame:
 def load_unseen(
     stream: DataFrame, transform: Callable[[DataFrame], DataFrame], keys: list[str], target: str, checkpoint: str
 ) -> None:
-    """As :func:`incremental_load`, but rows whose key an earlier batch loaded are skipped."""
+    """As :func:`incremental_load`, but rows whose key an earlier batch loaded are skipped.
+
+    NULL is a key like any other.  Of several rows with one key the smallest in all further columns stays, so a replay
+    of a batch gives the same rows.
+    """
 
     def append(batch: DataFrame, number: int) -> None:
-        rows = transform(batch).dropDuplicates(keys)
+        rows = transform(batch)
+        others = [F.col(name) for name in rows.columns if name not in keys]
+        rows = distinct_on(rows, keys, others or [F.lit(0)])
         if number > 0:
-            earlier = batch.sparkSession.read.schema(rows.schema).parquet(
-                *[f"{target}/{BATCH}={n}" for n in range(number)]
-            )
-            rows = rows.join(earlier.select(*keys), keys, "left_anti")
+            # Batches before this one, by the partition column: a replay does not see its own earlier attempt.
+            kind = StructType([*rows.schema.fields, StructField(BATCH, LongType())])
+            earlier = batch.sparkSession.read.schema(kind).parquet(target).where(F.col(BATCH) < number)
+            seen = earlier.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(seen[f"_{k}"]) for k in keys])
+            rows = rows.join(seen, same, "left_anti")
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
 
     query = (
@@ -78,24 +88,34 @@ def after(keys: list[str], mark: dict) -> Column:
     return reduce(lambda a, b: a | b, steps)
 
 
-def scan_incremental(table: DataFrame, keys: list[str], state: str) -> tuple[DataFrame, Callable[[], None]]:
+def scan_incremental(table: DataFrame, keys: list[str], state: str) -> tuple[DataFrame, Callable[[], object]]:
     """Rows beyond the stored key mark, and a function that moves the mark once they are processed.
 
-    The mark is one row; the filter on it is pushed into the scan.
+    The new mark is the highest key at the time of the scan; rows that arrive later lie beyond it and are left to the next
+    run.  The mark is one row; the filters on it are pushed into the scan.  A NULL in a key is refused, as it has no place
+    in the order.
     """
     spark = table.sparkSession
     try:
         mark = read_snapshot(spark, state).first().asDict()
     except IndexError:
         mark = None
-    fresh = table if mark is None else table.where(after(keys, mark))
-
-    def commit() -> None:
-        highest = fresh.agg(F.max(F.struct(*keys)).alias("mark")).where("mark is not null").select("mark.*")
-        if not highest.isEmpty():
-            overwrite_truncate(highest, state)
-
-    return fresh, commit
+    beyond = table if mark is None else table.where(after(keys, mark) | missing(keys))
+    found = beyond.agg(F.max(F.struct(*keys)).alias("mark"), F.count_if(missing(keys)).alias("missing")).first()
+    if found["missing"]:
+        raise ValueError(f"{found['missing']} rows have NULL in the key {keys}")
+    if found["mark"] is None:
+        return table.limit(0), lambda: None
+    highest = found["mark"].asDict()
+    fresh = table.where(~after(keys, highest))
+    if mark is not None:
+        fresh = fresh.where(after(keys, mark))
+    kept = spark.createDataFrame([tuple(highest[k] for k in keys)], table.select(*keys).schema)
+    return fresh, lambda: overwrite_truncate(kept, state)
+
+
+def missing(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
 def arrival_triggered_ingest(
