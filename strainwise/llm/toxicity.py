@@ -116,12 +116,7 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     rng = np.random.default_rng(settings.seed)
     number: dict[bytes, int] = {}
     bags = [np.unique([number.setdefault(w, len(number)) for w in words_of(t)], return_counts=True) for t in texts]
-    if number:
-        rows, owners = Subwords(settings).rows(list(number))
-        order = np.argsort(owners, kind="stable")
-        rows, sizes = rows[order], np.bincount(owners, minlength=len(number))
-    else:
-        rows, sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rows, sizes = _rows_of(list(number), Subwords(settings))
     first = offsets_of(sizes)
     entries = []  # of each document: its table rows, and their part in its mean
     for words, counts in bags:
@@ -179,6 +174,17 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     return Model(settings, logits, float(offset[1] - offset[0]))
 
 
+def _rows_of(words: list[bytes], subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """(table rows of all words one after the other, number of rows of each word), a part of the words at a time."""
+    parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for begin in range(0, len(words), 1 << 15):
+        part = words[begin:begin + (1 << 15)]
+        found, owners = subwords.rows(part)
+        parts.append(found[np.argsort(owners, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owners, minlength=len(part)))
+    return np.concatenate(parts), np.concatenate(counts)
+
+
 def _adam(value: np.ndarray, grad: np.ndarray, moments: tuple[np.ndarray, np.ndarray], rate: float, step: int) -> None:
     mean, square = moments
     mean += 0.1 * (grad - mean)
