@@ -3,11 +3,12 @@
 A line of length l is cut into ``edits + 1`` even segments, which are indexed under (l, number of the segment, segment).  If two
 lines are within ``edits`` edits, one segment of the shorter survives in the longer, shifted by at most what the edits before and
 after it allow; so every line probes the index with exactly those substrings, for every length it may meet.  What meets is
-verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply.  A line's
-number in the lists carries counts of a few letters: an edit changes at most two of them by one, so pairs of one crowded
-list that differ in more than that never leave the join.
+verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply.  Pairs from lists of up to
+``CROWD`` lines are collected, and their texts fetched.  Longer lists (many lines with a common third) are joined with their
+texts at hand, and only pairs that pass the verification leave the join; counts of letters, of which an edit
+changes two by one at most, spare most comparisons.
 
-The identity of a line is two numbers made of 128 bits of hash and these counts; the texts of a candidate pair are compared themselves.
+The identity of a line is 128 bits of hash; the texts of a candidate pair are compared themselves.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from strainwise.llm.components import connected_components
 from strainwise.session import cut_lineage
 
 KEYED = ["key", "version"]
-#: Letters whose counts, modulo eight, are the low bits of a line's number.  Frequent ones tell most; any would be right.
-COUNTED = "etanisor"
+#: Longest list whose pairs are collected before they are verified.
+CROWD = 64
+#: Letters that are counted to spare comparisons; frequent ones tell most, any would be right.
+COUNTED = "etanisorldu"
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -34,33 +37,11 @@ def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
         rows.select("key", "version", F.posexplode("lines").alias("line_no", "line"))
         .withColumn("chars", F.length("line"))
         .filter(F.col("chars") >= min_chars)
-        .withColumn("id", _number(F.col("line"), F.col("chars")))
+        .withColumn("id", F.xxhash64("line"))
         .withColumn("check", F.xxhash64(F.lit(1), "line"))
     )
 
 
-def _number(line: Column, chars: Column) -> Column:
-    """The upper bits of a hash, and the counts of a few letters below."""
-    bits = 3 * len(COUNTED)
-    number = F.shiftleft(F.shiftrightunsigned(F.xxhash64(line), bits), bits)
-    for place, letter in enumerate(COUNTED):
-        count = (chars - F.length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(7))
-        number = number.bitwiseOR(F.shiftleft(count.cast("long"), 3 * place))
-    return number
-
-
-def _counts_allow(one: Column, other: Column, edits: int) -> Column:
-    """Whether the letter counts of two numbers can be those of lines ``edits`` apart."""
-    def count(number: Column, place: int) -> Column:
-        return F.shiftrightunsigned(number, 3 * place).bitwiseAND(F.lit(7))
-
-    total = F.lit(0).cast("long")
-    for place in range(len(COUNTED)):
-        ahead = (count(one, place) - count(other, place)).bitwiseAND(F.lit(7))
-        total = total + F.least(ahead, 8 - ahead)
-    return total <= 2 * edits
-
-
 def _place() -> Column:
     return F.struct("key", "version", "line_no")
 
@@ -78,11 +59,11 @@ def _entry(line: Column, length: Column, segment: int, edits: int, shift: int) -
     return F.xxhash64(length, F.lit(segment), F.substring(line, start + shift, size))
 
 
-def index_entries(line: Column, chars: Column, edits: int) -> Column:
-    return F.array(*[_entry(line, chars, i, edits, 0) for i in range(1, edits + 2)])
+def index_entries(line: Column, chars: Column, edits: int) -> list[Column]:
+    return [_entry(line, chars, i, edits, 0) for i in range(1, edits + 2)]
 
 
-def probe_entries(line: Column, chars: Column, edits: int) -> Column:
+def probe_entries(line: Column, chars: Column, edits: int) -> list[Column]:
     """The substrings that can equal a segment of a line that is ``gap`` shorter: the shift is bounded by the edits to the left
     of the segment and, seen from the end of the line, by those to its right."""
     entries = []
@@ -91,7 +72,7 @@ def probe_entries(line: Column, chars: Column, edits: int) -> Column:
             left, right = i - 1, edits + 1 - i
             for shift in range(max(-left, gap - right), min(left, gap + right) + 1):
                 entries.append(_entry(line, chars - gap, i, edits, shift))
-    return F.array(*entries)
+    return entries
 
 
 def edit_distance_within(one: Column, other: Column, edits: int) -> Column:
@@ -197,39 +178,65 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), start, step)["distance"] <= edits
 
 
+def _listed(lines: DataFrame, entries: list[Column]) -> DataFrame:
+    """(entry, id): the lists in which each distinct line stands.  Lines are made distinct first, with their entries as plain
+    numbers, so copies are combined before the shuffle."""
+    named = [e.alias(f"e{i}") for i, e in enumerate(entries)]
+    distinct = lines.select("id", "check", *named).groupBy("id", "check").agg(
+        *[F.min(f"e{i}").alias(f"e{i}") for i in range(len(entries))]
+    )
+    return distinct.select(F.explode(F.array(*[f"e{i}" for i in range(len(entries))])).alias("entry"), "id")
+
+
+def _letters(line: Column) -> Column:
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED])
+
+
 def near_links(df: DataFrame, key: str, text: str, lines: DataFrame, keys: DataFrame, edits: int) -> DataFrame:
     """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once.
 
-    The index holds hashes only: (entry, line) is made distinct on the way, copies being combined before the shuffle.  Texts are
-    fetched for candidate pairs alone, from the documents that hold their first occurrence.
+    The index holds hashes only.  Texts are fetched for the lines of candidate pairs and of crowded lists, from the documents
+    that hold their first occurrence.
     """
     line, chars = F.col("line"), F.col("chars")
-    index = lines.select(F.explode(index_entries(line, chars, edits)).alias("entry"), F.col("id").alias("one")).distinct()
-    probe = lines.select(F.explode(probe_entries(line, chars, edits)).alias("entry"), F.col("id").alias("other")).distinct()
-    met = (
-        index.join(probe, "entry").filter((F.col("one") != F.col("other")) & _counts_allow(F.col("one"), F.col("other"), edits))
+    index, probe = _listed(lines, index_entries(line, chars, edits)), _listed(lines, probe_entries(line, chars, edits))
+    crowded = cut_lineage(index.groupBy("entry").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("entry"))
+    one, other = index.withColumnRenamed("id", "one"), probe.withColumnRenamed("id", "other")
+    pairs = cut_lineage(
+        one.join(crowded, "entry", "left_anti").join(other, "entry").filter("one <> other")
         .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
     )
-    first = keys.groupBy("id", "check").agg(F.min(_place()).alias("first"))
-    pairs = cut_lineage(
-        met.join(first.select(F.col("id").alias("one"), F.col("first").alias("src")), "one")
-        .join(first.select(F.col("id").alias("other"), F.col("first").alias("dst")), "other")
-        .select("src", "dst")
+    members = cut_lineage(
+        index.join(crowded, "entry").withColumn("indexed", F.lit(True))
+        .union(probe.join(crowded, "entry").withColumn("indexed", F.lit(False)))
     )
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("place")).distinct()
+    ids = pairs.select(F.explode(F.array("one", "other")).alias("id")).union(members.select("id")).distinct()
+    first = keys.groupBy("id", "check").agg(F.min(_place()).alias("place"))
+    wanted = first.join(ids, "id").select("id", "place")
     body = F.col(f"`{text}`")
     docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
     texts = cut_lineage(
         docs.join(wanted, (docs["version"] == F.col("place.version")) & docs["key"].eqNullSafe(F.col("place.key")))
-        .select("place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
-        .dropDuplicates(["place"])  # equal rows of the input hold the same line
+        .select("id", "place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
+        .dropDuplicates(["id", "place"])  # equal rows of the input hold the same line
+    )
+    left = texts.select(F.col("id").alias("one"), F.col("place").alias("src"), F.col("line").alias("left_line"))
+    right = texts.select(F.col("id").alias("other"), F.col("place").alias("dst"), F.col("line").alias("right_line"))
+    near = F.abs(F.length("left_line") - F.length("right_line")) <= edits
+    verified = edit_distance_within(F.col("left_line"), F.col("right_line"), edits)
+    ordinary = pairs.join(left, "one").join(right, "other").filter(near).filter(verified).select("src", "dst")
+
+    counted = members.filter("indexed").join(left.withColumn("a", _letters(F.col("left_line"))), F.col("id") == F.col("one"))
+    probing = members.filter("NOT indexed").join(right.withColumn("b", _letters(F.col("right_line"))), F.col("id") == F.col("other"))
+    apart = F.aggregate(F.zip_with("a", "b", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d)
+    crowds = (
+        counted.select("entry", "one", "src", "left_line", "a").join(probing.select(F.col("entry").alias("e"), "other", "dst", "right_line", "b"), (
+            (F.col("entry") == F.col("e")) & (F.col("one") != F.col("other")) & near & (apart <= 2 * edits) & verified
+        ))
     )
     return (
-        pairs.join(texts.select(F.col("place").alias("src"), F.col("line").alias("left_line")), "src")
-        .join(texts.select(F.col("place").alias("dst"), F.col("line").alias("right_line")), "dst")
-        .filter(F.abs(F.length("left_line") - F.length("right_line")) <= edits)
-        .filter(edit_distance_within(F.col("left_line"), F.col("right_line"), edits))
-        .select("src", "dst")
+        ordinary.union(crowds.select("src", "dst"))
+        .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
     )
 
 
