@@ -25,8 +25,8 @@ CACHE_ENTRIES = 1 << 18
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` and ``sample_chars`` bound what is fitted on: so many labelled rows at most, by the hash of their key, of texts
-    up to that length.  Everything else holds for texts of any length."""
+    """``sample_rows`` and ``sample_chars`` bound what is fitted on: so many labelled keys, the first by their hash, and of their texts
+    those up to that length.  Everything else holds for texts of any length."""
 
     sample_rows: int = 6000
     sample_chars: int = 20_000
@@ -115,21 +115,28 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
         return Model(settings, np.zeros(settings.buckets, np.float32), 0.0)
     rng = np.random.default_rng(settings.seed)
     number: dict[bytes, int] = {}
-    bags = [np.unique([number.setdefault(w, len(number)) for w in words_of(t)], return_counts=True) for t in texts]
+    bags = []
+    for text in texts:
+        words, counts = np.unique([number.setdefault(w, len(number)) for w in words_of(text)], return_counts=True)
+        bags.append((words.astype(np.int32), counts.astype(np.int32)))
     rows, sizes = _rows_of(list(number), Subwords(settings))
+    del number
     first = offsets_of(sizes)
-    entries = []  # of each document: its table rows, and their part in its mean
-    for words, counts in bags:
-        words = words.astype(np.int64)
-        at, inverse = np.unique(rows[gather(first[words], sizes[words])], return_inverse=True)
-        mass = np.bincount(inverse, np.repeat(counts, sizes[words]), len(at))
-        entries.append((at.astype(np.int32), (settings.scale * mass / max(1.0, mass.sum())).astype(np.float32)))
+    spread = np.zeros(settings.buckets, np.int32)  # documents by table row
+    for words, _ in bags:
+        spread[np.unique(rows[gather(first[words], sizes[words])])] += 1
     # Rows of few documents would only be learned by heart; their vectors stay zero.
-    spread = np.bincount(np.concatenate([at for at, _ in entries]), minlength=settings.buckets)
     used = np.flatnonzero(spread >= max(3, settings.least_share * len(texts)))
     place = np.full(settings.buckets, -1, np.int32)
     place[used] = np.arange(len(used))
-    entries = [(place[at][place[at] >= 0], mass[place[at] >= 0]) for at, mass in entries]
+    rows = place[rows]
+    entries = []  # of each document: its table rows, and their part in its mean
+    for words, counts in bags:
+        at, inverse = np.unique(rows[gather(first[words], sizes[words])], return_inverse=True)
+        mass = np.bincount(inverse, np.repeat(counts, sizes[words]), len(at))
+        mass = (settings.scale * mass / max(1.0, mass.sum())).astype(np.float32)
+        entries.append((at[at >= 0], mass[at >= 0]))
+    del bags, rows
     target = np.eye(2, dtype=np.float32)[np.array(labels, np.int64)]
     vectors = rng.normal(0, 0.1, (len(used), settings.dimensions)).astype(np.float32)
     matrix = rng.normal(0, 1, (settings.dimensions, 2)).astype(np.float32)
@@ -243,13 +250,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
         labels.filter(F.col(label).isNotNull()).groupBy(F.col(f"`{key}`").alias("__key"))
         .agg(F.min(label).alias("label"), F.max(label).alias("other")).filter("label = other")
     )
+    # Keys are chosen first; only the texts of the chosen ones travel.
+    sample = (
+        named.filter(~held_out(F.col("__key"))).orderBy(F.xxhash64("__key"), "__key").limit(settings.sample_rows).select("__key", "label")
+    )
     chosen = (
         docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"))
-        .filter(~held_out(F.col("__key")) & (F.length("text") <= settings.sample_chars))
-        .join(named, "__key")
-        .orderBy(F.xxhash64("__key"), "__key", F.xxhash64("text"))
-        .limit(settings.sample_rows)
-        .select("text", "label").collect()
+        .filter(F.length("text") <= settings.sample_chars)
+        .join(sample, "__key").distinct()
+        .orderBy("__key", "text").select("text", "label").collect()
     )
     return fit([r["text"] for r in chosen], [int(r["label"]) for r in chosen], settings)
 
