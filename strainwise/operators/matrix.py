@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +12,6 @@ from strainwise.functions.text import first_match
 from strainwise.operators.relational import count_by_values, exclude_intervals, pair_all, top1_per_group
 from strainwise.session import cut_lineage
 
-# Widest matrix whose site-by-site covariance is left to a single machine.
-LOCAL_COVARIANCE_SITES = 2000
 
 
 def allele_code(column: Column) -> Column:
@@ -142,31 +138,27 @@ def genotype_matrix(calls: DataFrame, varying: DataFrame, samples: DataFrame) ->
 
 
 def _component_rows(scores: DataFrame, k: int) -> DataFrame:
-    """Named component columns; each component's sign makes its largest score in absolute value positive."""
+    """Named component columns; each component's sign makes its largest score in absolute value positive (of equal ones, that of the
+    greatest key)."""
     columns = [F.col("scores")[i].alias(f"pc{i + 1}") for i in range(k)]
     flat = scores.select("sample_id", *columns)
     names = [f"pc{i + 1}" for i in range(k)]
-    signs = flat.agg(*[F.max_by(F.signum(c), F.struct(F.round(F.abs(c), 9), -F.col("sample_id"))).alias(c) for c in names]).first()
+    signs = flat.agg(*[F.max_by(F.signum(c), F.struct(F.round(F.abs(c), 9), "sample_id")).alias(c) for c in names]).first()
     return flat.select("sample_id", *[(F.col(c) * F.lit(float(signs[c] or 1.0))).alias(c) for c in names])
 
 
-def _small_pca(matrix: DataFrame, features: Column, k: int) -> DataFrame:
-    """Library PCA.  It centres while fitting; the scores are centred afterwards by k means."""
-    vectors = cut_lineage(matrix.select("sample_id", array_to_vector(features).alias("features")))
-    projected = PCA(k=k, inputCol="features", outputCol="p").fit(vectors).transform(vectors)
-    scores = cut_lineage(projected.select("sample_id", vector_to_array("p").alias("scores")))
-    means = scores.agg(*[F.avg(F.col("scores")[i]).alias(f"m{i}") for i in range(k)]).first()
-    centred = F.array(*[F.col("scores")[i] - F.lit(means[f"m{i}"]) for i in range(k)])
-    return _component_rows(scores.select("sample_id", centred.alias("scores")), k)
-
-
-def subspace_pca(entries: DataFrame, samples: DataFrame, k: int, rounds: int = 30) -> DataFrame:
+def subspace_pca(
+    entries: DataFrame, samples: DataFrame, k: int, rounds: int = 200, tolerance: float = 1e-7
+) -> DataFrame:
     """Principal components of a centred sparse matrix of any width, by block power iteration.
 
     ``entries`` are (sample_id, column, value).  Both factors are tables; each round is
     two equi joins with sums.  Only k x k and k-long sums reach the driver.
+
+    Rounds go on until no variance of the first k components changes by more than ``tolerance`` of the largest; if they have not
+    settled after ``rounds``, that is an error.  Directions without variance score zero.
     """
-    width = k + 4
+    width = 2 * k + 4
     count = samples.count()
     entries = cut_lineage(entries)
     means = entries.groupBy("column").agg((F.sum("value") / F.lit(float(count))).alias("mean"))
@@ -201,6 +193,7 @@ def subspace_pca(entries: DataFrame, samples: DataFrame, k: int, rounds: int = 3
 
     start = [(F.pmod(F.xxhash64("column", F.lit(i)), F.lit(2000003)) / 1000001.5 - 1).alias(f"v{i}") for i in index]
     basis = means.select("column", "mean", *start)
+    before = None
     for _ in range(rounds):
         scores = cut_lineage(project(basis))
         sums = total(scores, *[F.sum(f"v{i}") for i in index])
@@ -214,6 +207,13 @@ def subspace_pca(entries: DataFrame, samples: DataFrame, k: int, rounds: int = 3
         weights, vectors = np.linalg.eigh(gram(back))
         scale = np.where(weights > weights.max() * 1e-12, 1 / np.sqrt(np.maximum(weights, 1e-300)), 0.0)
         basis = combine(back, "column", ["mean"], vectors * scale)
+        # Lengths of the images of an orthonormal basis: the variances, once the basis has settled.
+        variances = np.sqrt(np.maximum(np.sort(weights)[::-1][:k], 0))
+        if before is not None and np.all(np.abs(variances - before) <= tolerance * max(variances[0], 1e-300)):
+            break
+        before = variances
+    else:
+        raise ArithmeticError(f"principal components have not settled after {rounds} rounds")
     scores = cut_lineage(project(basis))
     weights, vectors = np.linalg.eigh(gram(scores))
     leading = vectors[:, np.argsort(weights)[::-1][:k]]
@@ -221,23 +221,19 @@ def subspace_pca(entries: DataFrame, samples: DataFrame, k: int, rounds: int = 3
     return _component_rows(final.select("sample_id", F.array(*[f"v{i}" for i in range(k)]).alias("scores")), k)
 
 
-def genotype_pca(
-    calls: DataFrame, varying: DataFrame, samples: DataFrame, k: int = 10, local_sites: int = LOCAL_COVARIANCE_SITES
-) -> DataFrame:
+def genotype_pca(calls: DataFrame, varying: DataFrame, samples: DataFrame, k: int = 10) -> DataFrame:
     """Scores of every sample on the first k components of the centred base-code matrix."""
     chosen = cut_lineage(samples.select("sample_id").distinct())
-    calls, varying = cut_lineage(calls.join(chosen, "sample_id", "left_semi")), cut_lineage(varying)
-    if varying.select("position").distinct().count() <= local_sites:
-        matrix = genotype_matrix(calls, varying, chosen)
-        return _small_pca(matrix, F.transform("codes", lambda c: c.cast("double")), k)
-    entries = sparse_differences(calls, varying).select(
+    called = calls.join(chosen, "sample_id", "left_semi")
+    entries = sparse_differences(called, varying).select(
         "sample_id", F.col("position").alias("column"), F.col("difference").cast("double").alias("value")
     )
     return subspace_pca(entries, chosen, k)
 
 
 def center_pca(df: DataFrame, key: str, vector: str, k: int = 10) -> DataFrame:
-    """Centre (without scaling) an array column of bounded length and project it on k components."""
-    renamed = df.select(F.col(key).alias("sample_id"), F.col(vector).alias("_v"))
-    result = _small_pca(renamed, F.transform("_v", lambda c: c.cast("double")), k)
-    return result.withColumnRenamed("sample_id", key)
+    """Centre (without scaling) an array column and project it on k components.  Keys are unique and of any type."""
+    rows = df.select(F.col(key).alias("sample_id"), F.col(vector).alias("_v"))
+    entries = rows.select("sample_id", F.posexplode("_v").alias("column", "value")).where("value <> 0")
+    values = entries.withColumn("value", F.col("value").cast("double"))
+    return subspace_pca(values, rows.select("sample_id"), k).withColumnRenamed("sample_id", key)

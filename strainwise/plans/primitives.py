@@ -928,6 +928,18 @@ def _(t):
     return t.pdstest.select("sample_id", taxon.alias("taxon")).where("taxon <> 1")
 
 
+# One factor times 1 to 8: the only component is the centred factor times the length of (1, ..., 8), turned so that its largest score is positive.
+
+@query(
+    "center_pca_one_factor",
+    "SELECT vec_id, round((x - m) * sqrt(204) * s, 5) AS pc1 FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x FROM {embeddings}) e, (SELECT m, arg_max(sign(x - m), abs(x - m)) AS s FROM (SELECT CAST(embedding[1] AS DOUBLE) AS x FROM {embeddings}) a, (SELECT avg(CAST(embedding[1] AS DOUBLE)) AS m FROM {embeddings}) b GROUP BY m) c",
+)
+def _(t):
+    multiples = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda j: j * F.col("embedding")[0].cast("double"))
+    rows = t.embeddings.select("vec_id", multiples.alias("v"))
+    return matrix.center_pca(rows, "vec_id", "v", k=1).select("vec_id", F.round("pc1", 5).alias("pc1"))
+
+
 @query("ml_center_pca")
 def _(t):
     return matrix.center_pca(t.embeddings, "vec_id", "embedding", k=10)

@@ -22,19 +22,27 @@ def numpy_scores(x, k):
     return (u * s)[:, :k]
 
 
-def test_both_pca_ways_agree_with_numpy(frame):
+def test_components_agree_with_numpy(frame):
     random = np.random.default_rng(3)
     x = random.normal(size=(60, 12)) @ np.diag([9, 7, 5, 3] + [0.3] * 8)
     long = frame([(i, j, float(x[i, j])) for i in range(60) for j in range(12)], "sample_id int, column int, value double")
     samples = long.select("sample_id").distinct()
     expected = np.abs(numpy_scores(x, 3))
-    wide = frame([(i, [float(v) for v in x[i]]) for i in range(60)], "sample_id int, v array<double>")
-    for result in (matrix.center_pca(wide, "sample_id", "v", 3), matrix.subspace_pca(long, samples, 3, rounds=12)):
-        found = np.abs(np.array([[r.pc1, r.pc2, r.pc3] for r in result.orderBy("sample_id").collect()]))
-        assert np.allclose(found, expected, atol=1e-5)
+    # Text keys, as any other.
+    wide = frame([(f"s{i:02}", [float(v) for v in x[i]]) for i in range(60)], "name string, v array<double>")
+    for result, key in ((matrix.center_pca(wide, "name", "v", 3), "name"), (matrix.subspace_pca(long, samples, 3), "sample_id")):
+        found = np.abs(np.array([[r.pc1, r.pc2, r.pc3] for r in result.orderBy(key).collect()]))
+        assert np.allclose(found, expected, atol=1e-4)
 
 
-def test_sparse_and_dense_genotypes_give_the_same_components(frame):
+def test_unsettled_components_are_refused(frame):
+    random = np.random.default_rng(4)
+    long = frame([(i, j, float(random.normal())) for i in range(30) for j in range(25)], "sample_id int, column int, value double")
+    with pytest.raises(ArithmeticError):
+        matrix.subspace_pca(long, long.select("sample_id").distinct(), 2, rounds=3, tolerance=1e-12)
+
+
+def test_genotype_components_are_those_of_the_dense_matrix(frame):
     random = np.random.default_rng(5)
     calls, varying = [], []
     for site in range(8):
@@ -45,10 +53,10 @@ def test_sparse_and_dense_genotypes_give_the_same_components(frame):
     calls = frame(calls, "sample_id int, variant_id int, dp double")
     varying = frame(varying, "variant_id int, position int, reference_int int, alternative_int int")
     samples = frame([(i,) for i in range(20)], "sample_id int")
-    dense = matrix.genotype_pca(calls, varying, samples, k=2)
-    sparse = matrix.genotype_pca(calls, varying, samples, k=2, local_sites=1)
-    a, b = (np.array([[r.pc1, r.pc2] for r in d.orderBy("sample_id").collect()]) for d in (dense, sparse))
-    assert np.allclose(np.abs(a), np.abs(b), atol=1e-4)
+    codes = matrix.genotype_matrix(calls, varying, samples).orderBy("sample_id").collect()
+    expected = numpy_scores(np.array([r.codes for r in codes], float), 2)
+    found = matrix.genotype_pca(calls, varying, samples, k=2).orderBy("sample_id").collect()
+    assert np.allclose(np.abs([[r.pc1, r.pc2] for r in found]), np.abs(expected), atol=1e-3)
 
 
 def test_strongest_call_wins(frame):
@@ -212,3 +220,56 @@ def test_documents_are_valid_json_and_hot_genes_are_split(frame):
     assert bodies["8_h37Rv.json"]["gene"]["start"] == 30
     several = [json.loads(b)["variants"] for n, b in split.items() if n.startswith("7_tb_variants_")]
     assert len(several) > 1 and sorted(v[0] for part in several for v in part) == sorted(v[0] for v in bodies["7_tb_variants.json"]["variants"])
+
+
+# ------------------------------------------------------------------ loads and upserts
+def test_rows_that_arrive_during_a_run_are_left_to_the_next(spark, tmp_path):
+    table, state = str(tmp_path / "t"), str(tmp_path / "s")
+
+    def write(first, last):
+        spark.range(first, last).write.mode("append").parquet(table)
+
+    write(0, 5)
+    fresh, commit = incremental.scan_incremental(spark.read.parquet(table), ["id"], state)
+    write(5, 9)  # between scan and commit
+    assert sorted(r.id for r in fresh.collect()) == [0, 1, 2, 3, 4]
+    commit()
+    fresh, commit = incremental.scan_incremental(spark.read.parquet(table), ["id"], state)
+    assert sorted(r.id for r in fresh.collect()) == [5, 6, 7, 8]
+    commit()
+    assert incremental.scan_incremental(spark.read.parquet(table), ["id"], state)[0].count() == 0
+
+
+def test_null_keys_have_no_place_in_the_order(spark, tmp_path):
+    table = spark.createDataFrame([(1, "a"), (None, "b")], "id long, v string")
+    with pytest.raises(ValueError):
+        incremental.scan_incremental(table, ["id"], str(tmp_path / "s"))
+
+
+def test_null_keys_are_loaded_once(spark, tmp_path):
+    inbox, target, checkpoint = (str(tmp_path / name) for name in ("in", "out", "check"))
+    for rows in ([(1, "b"), (1, "a"), (None, "n")], [(None, "m"), (1, "c"), (2, "d")]):
+        spark.createDataFrame(rows, "k long, v string").write.mode("append").parquet(inbox)
+        stream = incremental.stream_files(spark, inbox, "k long, v string", "parquet")
+        incremental.load_unseen(stream, lambda b: b, ["k"], target, checkpoint)
+    found = incremental.loaded(spark, target).collect()
+    assert sorted(((r.k, r.v) for r in found), key=repr) == sorted([(1, "a"), (None, "n"), (2, "d")], key=repr)
+
+
+def test_upsert_takes_one_incoming_row_whole(frame):
+    current = frame([("s1", 7, "old", "C0"), ("s2", 8, "old", "C0")], "name string, id int, origin string, country string")
+    incoming = frame([("s1", "C9", "aa"), ("s1", "C1", "zz"), ("s3", None, "x")], "name string, country string, origin string")
+    out = sinks.upsert_coalesce(current, incoming, ["name"], ["country", "origin"])
+    assert rows(out) == [("s1", 7, "zz", "C1"), ("s2", 8, "old", "C0"), ("s3", None, "x", None)]
+
+
+def test_short_feature_lines_are_refused(frame):
+    lines = frame([("# comment",), ("",), ("chr\tsrc\tgene\t1",)], "value string")
+    with pytest.raises(Exception, match="not a feature line"):
+        tables.parse_gff(lines).collect()
+
+
+def test_split_queries_become_derived_tables():
+    split = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    assert tables.jdbc_options("SELECT 1") == {"query": "SELECT 1"}
+    assert tables.jdbc_options("SELECT id FROM a", split) == {"dbtable": "(SELECT id FROM a) t", **split}
