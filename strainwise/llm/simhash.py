@@ -200,7 +200,7 @@ def _wide_byte(fp: str, position: int) -> Column:
 
 
 def _wide_postings(fingerprints: DataFrame, lists: int) -> DataFrame:
-    """(list, fp): ``lists`` triples of the 32 byte positions, every position about equally often."""
+    """(list, id): ``lists`` triples of the 32 byte positions, every position about equally often."""
     draw, triples = np.random.default_rng(SEED), []
     while len(triples) < lists:
         shuffled = draw.permutation(8 * WIDE)
@@ -209,7 +209,7 @@ def _wide_postings(fingerprints: DataFrame, lists: int) -> DataFrame:
         reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(_wide_byte("fp", p)), triple, F.lit(number).cast("long"))
         for number, triple in enumerate(triples[:lists])
     ]
-    return fingerprints.select(F.explode(F.array(*keys)).alias("list"), "fp")
+    return fingerprints.select(F.explode(F.array(*keys)).alias("list"), "id")
 
 
 def _wide_near(max_bits: int) -> Column:
@@ -225,9 +225,11 @@ def link_wide(fingerprints: DataFrame, max_bits: int, lists: int, longest_list:
     Lists up to ``longest_list`` are paired.  In longer ones every fingerprint first meets a few leaders; then those of different
     components so far are paired as well, so no pair is passed over, and links inside a crowd need not all be made.
     """
-    index = _wide_postings(fingerprints, lists)
+    # A short number stands for the fingerprint until it is known who meets anyone; whoever shares a number is verified like others.
+    numbered = fingerprints.withColumn("id", F.xxhash64("fp"))
+    index = _wide_postings(numbered, lists)
     sizes = index.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cut_lineage(index.join(sizes, "list"))
+    met = cut_lineage(index.join(sizes, "list").join(numbered, "id").select("list", "fp", "n"))
     short = met.filter(F.col("n") <= longest_list).select("list", "fp")
     left, right = short.withColumnRenamed("fp", "src"), short.select(F.col("list").alias("l"), F.col("fp").alias("dst"))
     pairs = left.join(right, (F.col("list") == F.col("l")) & (F.col("src") < F.col("dst")) & _wide_near(max_bits)).select("src", "dst")
