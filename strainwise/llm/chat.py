@@ -92,7 +92,7 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         further = walk.join(jump, walk["conv"].eqNullSafe(jump["c"]) & (walk["node"] == jump["n"])).select(
             "conv", "branch", (F.col("place") - 2**k).alias("place"), F.col("up").alias("node")
         )
-        walk = walk.union(further)
+        walk = cut_lineage(walk.union(further))  # each round reads the rows so far twice
     return walk
 
 

@@ -256,7 +256,7 @@ def test_drawn_documents_hold_the_words_taken(spark):
 # Top k
 
 
-@pytest.mark.parametrize("scale", [1, 10**7])
+@pytest.mark.parametrize("scale", [1, 10**6])
 def test_top_k_is_exact(spark, monkeypatch, scale):
     for name, value in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 8), ("CELL_ROWS", 3), ("BLOCKS_IN_TURN", 2), ("STEP", 2)):
         monkeypatch.setattr(topk, name, value)
