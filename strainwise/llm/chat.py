@@ -43,35 +43,36 @@ def linear_replies(df: DataFrame, conv: str, turn: str, role: str, text: str) ->
     return placed.select("conv", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def _ancestors(messages: DataFrame) -> list[DataFrame]:
-    """Table k: (conv, node, up, steps, total): the ancestor 2^k replies up (null beyond the root), and number and score of the
-    messages from the node to just below it."""
+def _ancestors(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Jump tables, and what each message's way from the root sums up to.
+
+    Table k: (conv, node, up, steps, total) of the messages that have an ancestor 2^k replies up, with number and score of the messages
+    from the node to just below it.  The second result has the same columns for all messages, counted from the root on.  Messages
+    that have reached the root take no part in further rounds.
+    """
     known = messages.select(F.col("conv").alias("c"), F.col("node").alias("n"))
     own = messages.select("conv", "node", "parent", "score")
-    tables = [cut_lineage(
+    level = cut_lineage(
         own.join(known, own["conv"].eqNullSafe(known["c"]) & (own["parent"] == known["n"]), "left")
         .select("conv", "node", F.col("n").alias("up"), F.lit(1).cast("long").alias("steps"), F.coalesce("score", F.lit(0.0)).alias("total"))
-    )]
-    longest = None
-    while True:
-        last = tables[-1]
-        climbing = last.filter("up IS NOT NULL").agg(F.count("*")).first()[0]
-        if not climbing:
-            return tables
-        if longest is None:
-            longest = messages.groupBy("conv").count().agg(F.max("count")).first()[0]
+    )
+    done, tables = level.filter("up IS NULL"), [level.filter("up IS NOT NULL")]
+    longest = messages.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    while not tables[-1].isEmpty():
         if 2 ** (len(tables) - 1) > longest:
             raise ValueError("replies form a circle")
-        above = last.select(
+        climbing = tables[-1]
+        above = done.union(climbing).select(
             F.col("conv").alias("c"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("steps").alias("s"), F.col("total").alias("t")
         )
-        tables.append(cut_lineage(
-            last.join(above, last["conv"].eqNullSafe(above["c"]) & (last["up"] == above["n"]), "left").select(
-                "conv", "node", F.col("next").alias("up"),
-                (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("t", F.lit(0.0))).alias("total"),
+        level = cut_lineage(
+            climbing.join(above, climbing["conv"].eqNullSafe(above["c"]) & (climbing["up"] == above["n"])).select(
+                "conv", "node", F.col("next").alias("up"), (F.col("steps") + F.col("s")).alias("steps"), (F.col("total") + F.col("t")).alias("total")
             )
-        ))
+        )
+        done = done.union(level.filter("up IS NULL"))
+        tables.append(level.filter("up IS NOT NULL"))
+    return tables, done
 
 
 def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
@@ -80,15 +81,14 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     ``messages`` has conv, node (unique within conv), parent (null, or not there: a root), role, text and score (null counts 0).
     Paths are ranked by the mean score of their messages, then by length, longer first, then by their leaf.
     """
-    tables = _ancestors(messages)
+    tables, whole = _ancestors(messages)
     parents = messages.select(F.col("conv").alias("c"), F.col("parent").alias("p")).filter("p IS NOT NULL")
-    whole = tables[-1]
     leaves = whole.join(parents, whole["conv"].eqNullSafe(parents["c"]) & (whole["node"] == parents["p"]), "left_anti")
     order = Window.partitionBy("conv").orderBy(F.desc(F.col("total") / F.col("steps")), F.desc("steps"), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches)
     walk = chosen.select("conv", "branch", F.col("steps").alias("place"), "node")
     for k in reversed(range(len(tables) - 1)):
-        jump = tables[k].filter("up IS NOT NULL").select(F.col("conv").alias("c"), F.col("node").alias("n"), "up")
+        jump = tables[k].select(F.col("conv").alias("c"), F.col("node").alias("n"), "up")
         further = walk.join(jump, walk["conv"].eqNullSafe(jump["c"]) & (walk["node"] == jump["n"])).select(
             "conv", "branch", (F.col("place") - 2**k).alias("place"), F.col("up").alias("node")
         )
