@@ -11,7 +11,9 @@ that share one are at most 2r bits apart.  So stars around the midpoints give ex
 number of rows per fingerprint whatever the size of the neighbourhood.
 
 Texts that share four fifths of their shingles differ in too many of 64 bits for that guarantee.  :func:`similar_documents`
-therefore takes 256 bits, many triples of their 32 bytes, and the share of equal bits as the estimate of similarity.
+therefore compares the sets of shingles themselves.  Two sets that alike share a shingle among the first fifth of each, in
+any fixed order, so these are indexed; bounds from places and counts spare comparisons without losing a pair, and every link is verified
+on the whole sets.
 """
 
 from __future__ import annotations
@@ -31,8 +33,12 @@ from strainwise.llm.components import connected_components
 from strainwise.session import cut_lineage
 
 SEED = 42
-#: Longs of a wide fingerprint.
-WIDE = 4
+#: Least similarity of sets of shingles, as a fraction.
+OVER, UNDER = 4, 5
+#: Shingles of each text that meet first; most similar pairs share one of them, the others meet by the rest.
+EARLY = 8
+#: Longs that hold the counts of a set's shingles by range of hash, a byte each.
+COUNTS = 8
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -61,16 +67,9 @@ def fingerprint_of(text: str | None, words: int) -> int:
     return int.from_bytes(_majority(hashes), "big") if len(hashes) else 0
 
 
-def wide_fingerprint_of(text: str | None, words: int) -> list[int]:
-    """Fingerprint of 256 bits, as four signed longs: further bits come from mixing each shingle's hash."""
-    hashes = shingle_hashes(text, words)
-    if not len(hashes):
-        return [0] * WIDE
-    value, out = hashes.view(">u8").ravel().astype(np.uint64), []
-    for _ in range(WIDE):
-        out.append(int.from_bytes(_majority(value.astype(">u8").view(np.uint8).reshape(-1, 8)), "big", signed=True))
-        value = (value ^ (value >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x9E3779B97F4A7C15)
-    return out
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """Distinct hashes of the shingles, ascending as unsigned numbers."""
+    return np.unique(shingle_hashes(text, words).view(">u8").ravel().astype(np.uint64))
 
 
 def simhash(text: Column, words: int = 5) -> Column:
@@ -184,96 +183,139 @@ def near_duplicates(
     return prints.join(of_print, "fp").select("key", "fp", "component")
 
 
-def wide_simhash(text: Column, words: int = 5) -> Column:
-    """Wide fingerprint as an array of longs; texts without words have zeros."""
+def _counts(hashes: np.ndarray) -> list[int]:
+    """Hashes by their highest six bits, 255 at most."""
+    found = np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=8 * COUNTS)
+    return np.minimum(found, 255).astype(np.uint8).view(np.int64).tolist()
+
+
+def shingle_sets(text: Column, words: int = 5) -> Column:
+    """(id, shingles, counts) of every text: 128 bits that stand for the set, its hashes in order, and how many fall into each range."""
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("struct<id: binary, shingles: array<bigint>, counts: array<bigint>>")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([wide_fingerprint_of(t.as_py(), words) for t in batch], pa.list_(pa.int64()))
+            sets = [shingle_set(t.as_py(), words) for t in batch]
+            ids = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            shingles = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            counts = pa.array([_counts(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.StructArray.from_arrays([ids, shingles, counts], ["id", "shingles", "counts"])
 
     return compute(text)
 
 
-def _wide_byte(fp: str, position: int) -> Column:
-    return byte_at(F.col(f"{fp}.w{position // 8}"), position % 8)
+def _may_be_similar() -> Column:
+    """False only for pairs below the threshold, from what both sides carry.
+
+    No more shingles are shared than stand up to the common one in either set, and after it; and the counts differ by no more than
+    the sets do.  Similar sets share ``OVER / (OVER + UNDER)`` of the sum of their sizes.
+    """
+    both = F.col("src.n") + F.col("dst.n")
+    shared = F.least("src.at", "dst.at") + F.least(F.col("src.n") - F.col("src.at"), F.col("dst.n") - F.col("dst.at"))
+    apart = sum(
+        (
+            F.abs(byte_at(F.col("src.counts")[i], p) - byte_at(F.col("dst.counts")[i], p))
+            for i in range(COUNTS) for p in range(8)
+        ),
+        F.lit(0),
+    )
+    return ((OVER + UNDER) * shared >= OVER * both) & ((OVER + UNDER) * apart <= (UNDER - OVER) * both)
+
 
+def _side(met: DataFrame, name: str) -> DataFrame:
+    return met.select(F.col("list").alias(f"{name}_list"), F.struct("num", "at", "n", "counts", "component").alias(name))
 
-def _wide_postings(fingerprints: DataFrame, lists: int) -> DataFrame:
-    """(list, id): ``lists`` triples of the 32 byte positions, every position about equally often."""
-    draw, triples = np.random.default_rng(SEED), []
-    while len(triples) < lists:
-        shuffled = draw.permutation(8 * WIDE)
-        triples += [shuffled[i:i + 3].tolist() for i in range(0, 8 * WIDE - 2, 3)]
-    keys = [
-        reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(_wide_byte("fp", p)), triple, F.lit(number).cast("long"))
-        for number, triple in enumerate(triples[:lists])
-    ]
-    return fingerprints.select(F.explode(F.array(*keys)).alias("list"), "id")
+
+def _meetings(left: DataFrame, right: DataFrame, allowed: Column) -> DataFrame:
+    """(src, dst): numbers of the pairs that share a list and may be similar."""
+    met = left.join(right, (F.col("src_list") == F.col("dst_list")) & allowed & _may_be_similar())
+    return met.select(F.least("src.num", "dst.num").alias("src"), F.greatest("src.num", "dst.num").alias("dst"))
 
 
-def _wide_near(max_bits: int) -> Column:
-    """Whether src and dst agree in three bytes or more, and differ in at most ``max_bits`` bits."""
-    same = sum(((_wide_byte("src", p) == _wide_byte("dst", p)).cast("int") for p in range(8 * WIDE)), F.lit(0))
-    differing = sum((F.bit_count(F.col(f"src.w{i}").bitwiseXOR(F.col(f"dst.w{i}"))) for i in range(WIDE)), F.lit(0))
-    return (differing <= max_bits) & (same >= 3)
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets are similar, each once."""
+    pairs = cut_lineage(pairs.distinct())
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("num")).distinct().join(docs.select("num", "id"), "num")
+    # Texts with equal sets stand for each other.
+    found = cut_lineage(sets.select("id", "shingles").join(wanted, "id").dropDuplicates(["num"]).select("num", "shingles"))
+    one = found.select(F.col("num").alias("src"), F.col("shingles").alias("a"))
+    two = found.select(F.col("num").alias("dst"), F.col("shingles").alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    return cut_lineage(
+        pairs.join(one, "src").join(two, "dst")
+        .filter((OVER + UNDER) * shared >= OVER * (F.size("a") + F.size("b"))).select("src", "dst")
+    )
 
 
-def link_wide(fingerprints: DataFrame, max_bits: int, lists: int, longest_list: int) -> DataFrame:
-    """(node, component) of distinct wide fingerprints.
+def link_sets(docs: DataFrame, sets: DataFrame, longest_list: int) -> DataFrame:
+    """(node, component) over ``num`` of the distinct sets ``docs`` (num, id, n, first shingles, counts), as all similar pairs link them.
 
-    Lists up to ``longest_list`` are paired.  In longer ones every fingerprint first meets a few leaders; then those of different
-    components so far are paired as well, so no pair is passed over, and links inside a crowd need not all be made.
+    First the earliest shingles: their lists are paired up to ``longest_list``, in longer ones every set meets a few leaders.
+    Then all the first shingles, where only sets of different components so far are compared, in lists of any length.
     """
-    # A short number stands for the fingerprint until it is known who meets anyone; whoever shares a number is verified like others.
-    numbered = fingerprints.withColumn("id", F.xxhash64("fp"))
-    index = _wide_postings(numbered, lists)
-    sizes = index.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cut_lineage(index.join(sizes, "list").join(numbered, "id").select("list", "fp", "n"))
-    short = met.filter(F.col("n") <= longest_list).select("list", "fp")
-    left, right = short.withColumnRenamed("fp", "src"), short.select(F.col("list").alias("l"), F.col("fp").alias("dst"))
-    pairs = left.join(right, (F.col("list") == F.col("l")) & (F.col("src") < F.col("dst")) & _wide_near(max_bits)).select("src", "dst")
-    crowd = met.filter(F.col("n") > longest_list).select("list", "fp")
-    slot = F.pmod(F.xxhash64("list", "fp"), F.lit(16))
-    leaders = crowd.groupBy(F.col("list").alias("l"), slot.alias("slot")).agg(F.min("fp").alias("src"))
-    led = crowd.withColumnRenamed("fp", "dst").join(
-        leaders, (F.col("list") == F.col("l")) & (F.col("src") != F.col("dst")) & _wide_near(max_bits)
-    ).select("src", "dst")
-    found = cut_lineage(pairs.union(led).distinct())
-    so_far = cut_lineage(connected_components(found))
-    named = crowd.join(so_far.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
+    carried = docs.select("num", "n", "counts")
+    index = docs.select("num", F.posexplode(F.slice("first", 1, EARLY)).alias("at", "list")).withColumn("at", F.col("at") + 1)
+    sizes = index.groupBy("list").agg(F.count("*").alias("many")).filter("many > 1")
+    met = cut_lineage(index.join(sizes, "list").join(carried, "num").withColumn("component", F.col("num")))
+    short, crowd = met.filter(F.col("many") <= longest_list), met.filter(F.col("many") > longest_list)
+    leaders = crowd.groupBy("list", F.pmod(F.xxhash64("num"), F.lit(4)).alias("slot")).agg(
+        F.min(F.struct("num", "at", "n", "counts", "component")).alias("src")
+    ).select(F.col("list").alias("src_list"), "src")
+    ordered = F.col("src.num") < F.col("dst.num")
+    pairs = _meetings(_side(short, "src"), _side(short, "dst"), ordered)
+    led = _meetings(leaders, _side(crowd, "dst"), F.col("src.num") != F.col("dst.num"))
+    found = _verified(pairs.union(led), docs, sets)
+    so_far = cut_lineage(connected_components(found).withColumnRenamed("node", "num"))
+
+    whole = (
+        docs.select("num", "first").join(so_far, "num", "left")
+        .select("num", F.coalesce("component", "num").alias("component"), F.posexplode("first").alias("at", "list"))
+        .withColumn("at", F.col("at") + 1)
     )
-    mixed = named.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
-    open_ = cut_lineage(named.join(mixed, "list"))
-    one = open_.select("list", F.col("fp").alias("src"), F.col("component").alias("of"))
-    two = open_.select(F.col("list").alias("l"), F.col("fp").alias("dst"), F.col("component").alias("other"))
-    bridges = one.join(
-        two, (F.col("list") == F.col("l")) & (F.col("src") < F.col("dst")) & (F.col("of") != F.col("other")) & _wide_near(max_bits)
-    ).select("src", "dst")
-    return connected_components(found.union(bridges.distinct()))
+    mixed = whole.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
+    open_ = cut_lineage(whole.join(mixed, "list").join(carried, "num"))
+    # Of two sets of different components, one is outside the list's largest.
+    largest = (
+        open_.groupBy("list", "component").agg(F.count("*").alias("many"))
+        .groupBy("list").agg(F.max(F.struct("many", "component"))["component"].alias("largest"))
+    )
+    outside = open_.join(largest, "list").filter("component <> largest")
+    bridges = _meetings(_side(outside, "src"), _side(open_, "dst"), F.col("src.component") != F.col("dst.component"))
+    return connected_components(found.union(_verified(bridges, docs, sets)))
 
 
-def similar_documents(
-    df: DataFrame, key: str, text: str, words: int = 5, max_bits: int = 44, lists: int = 100, longest_list: int = 64
-) -> DataFrame:
-    """(key, version, component): documents in one component are chained by pairs whose shingles of ``words`` words are about four
-    fifths the same or more: with 256 bits, an estimate of at most ``max_bits`` differing ones.
+def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, longest_list: int = 64) -> DataFrame:
+    """(key, version, component): documents in one component are chained by pairs whose sets of shingles of ``words`` words have a
+    Jaccard similarity of four fifths or more; all such pairs count and no others.
 
-    ``version`` is a hash of the text; ``component`` is the smallest (key, version) reachable.  Texts without words are linked
-    like any other.  Pairs well above the threshold are met in some list almost surely, those at it in most cases.
+    ``version`` is a hash of the text; ``component`` is the smallest (key, version) reachable.  Texts without words are equal to
+    each other.  ``longest_list`` bounds work, not what is found.
     """
     body = F.col(f"`{text}`")
-    wide = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), wide_simhash(body, words).alias("w"))
-    prints = cut_lineage(
-        wide.select("key", "version", F.struct(*[F.col("w")[i].alias(f"w{i}") for i in range(WIDE)]).alias("fp"))
+    sets = cut_lineage(
+        df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), shingle_sets(body, words).alias("s"))
+        .select("key", "version", "s.id", "s.shingles", "s.counts")
+    )
+    n = F.size("shingles")
+    first = F.slice("shingles", F.lit(1), n - F.ceil(OVER * n / UNDER).cast("int") + 1)
+    distinct = cut_lineage(
+        sets.select("id", "key", "version", n.alias("n"), first.alias("first"), "counts")
+        .groupBy("id").agg(
+            F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("first").alias("first"),
+            F.first("counts").alias("counts"),
+        )
+        .withColumn("num", F.monotonically_increasing_id())
+    )
+    named = link_sets(distinct, sets, longest_list)
+    whole = (
+        distinct.select("id", "num", "of").join(named.withColumnRenamed("node", "num"), "num", "left")
+        .withColumn("component", F.coalesce("component", "num"))
     )
-    distinct = prints.groupBy("fp").agg(F.min(F.struct("key", "version")).alias("first"))
-    named = link_wide(distinct.select("fp"), max_bits, lists, longest_list)
-    whole = distinct.join(named.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    lowest = whole.groupBy("component").agg(F.min("first").alias("lowest"))
-    of_print = whole.join(lowest, "component").select("fp", F.col("lowest").alias("component"))
-    return prints.join(of_print, "fp").select("key", "version", "component")
+    lowest = whole.groupBy("component").agg(F.min("of").alias("lowest"))
+    of_set = whole.join(lowest, "component").select("id", F.col("lowest").alias("component"))
+    return sets.select("key", "version", "id").join(of_set, "id").select("key", "version", "component")
 
 
 def keep_one_of_each(df: DataFrame, key: str, text: str, **settings) -> DataFrame:

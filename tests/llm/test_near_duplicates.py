@@ -89,6 +89,51 @@ def test_one_of_each_group_stays(spark):
     }
 
 
+def shingles_of(text):
+    found = (text or "").lower().split()
+    return {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def alike(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def looking_alike():
+    """Copies with a few changed words, at similarities around four fifths, and texts that share a passage only."""
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    passage = [draw.choice(words) for _ in range(60)]
+    texts = []
+    for n in (1, 4, 5, 6, 9, 30, 90, 150, 400):
+        for _ in range(4):
+            body = [draw.choice(words) for _ in range(n)]
+            texts.append(body)
+            for changes in sorted({1, n // 60, n // 50, n // 45, n // 40, n // 25}):
+                copy = list(body)
+                for _ in range(changes):
+                    copy[draw.randrange(n)] = draw.choice(words)
+                texts.append(copy)
+            texts.append(body + [draw.choice(words) for _ in range(n // 4)])
+    texts += [passage + [draw.choice(words) for _ in range(draw.randint(5, 40))] for _ in range(40)]
+    texts += [texts[30] * 3, passage * 4]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("longest_list", [64, 2])
+def test_similar_documents_are_those_of_all_pairs(spark, longest_list):
+    rows = looking_alike()
+    sets = [(i, shingles_of(t)) for i, t in rows]
+    linked = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if alike(x, y)]
+    close = [
+        (a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if 0.8 <= len(x & y) / len(x | y) < 0.86
+    ]
+    assert len(close) >= 10
+    wanted = brute_components([i for i, _ in rows], linked)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = simhash.similar_documents(df, "doc_id", "text", longest_list=longest_list).collect()
+    assert {r["key"]: r["component"]["key"] for r in out} == wanted and len(out) == len(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df, "doc_id", "text").count() == 0
