@@ -8,6 +8,8 @@ verified by a banded, bit-parallel edit distance.  The lists hold distinct lines
 texts at hand, and only pairs that pass the verification leave the join; counts of letters, of which an edit
 changes two by one at most, spare most comparisons.
 
+Equal lines of any length are found by an aggregation over their hashes; only the join over edits asks for a length.
+
 The identity of a line is 128 bits of hash; the texts of a candidate pair are compared themselves.
 """
 
@@ -29,19 +31,23 @@ COUNTED = "etanisorldu"
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(key, version, line_no, line, chars, id, check): all lines of at least ``min_chars`` characters.  ``version`` tells apart
-    texts that share a key; rows equal in both are one document."""
+    """(key, version, line_no, line, chars, id, check): all lines that are not blank, and blank ones of ``min_chars`` characters.
+    ``version`` tells apart texts that share a key; rows equal in both are one document."""
     body = F.col(f"`{text}`")
     rows = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), F.split(body, "\n").alias("lines"))
     return (
         rows.select("key", "version", F.posexplode("lines").alias("line_no", "line"))
         .withColumn("chars", F.length("line"))
-        .filter(F.col("chars") >= min_chars)
+        .filter((F.col("chars") >= min_chars) | _written(F.col("line")))
         .withColumn("id", F.xxhash64("line"))
         .withColumn("check", F.xxhash64(F.lit(1), "line"))
     )
 
 
+def _written(text: Column) -> Column:
+    return F.trim(F.translate(text, "\n\r\t", "   ")) != ""
+
+
 def _place() -> Column:
     return F.struct("key", "version", "line_no")
 
@@ -245,13 +251,14 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
     edits away, directly or through others.
 
     ``class`` is the place (key, version, line_no) of the class's first line; ``n_links`` counts the distinct lines within ``edits``.
-    Lines shorter than ``min_chars`` (more than ``edits + 1``) are left out.  Null and empty texts have no such lines.
+    Lines shorter than ``min_chars`` (more than ``edits + 1``) have exact copies only; blank ones of them are left out.  Null and
+    empty texts have no lines.
     """
     if min_chars <= edits + 1:
         raise ValueError("lines must be longer than the number of segments")
     lines = _lines(df, key, text, min_chars)
     keys = cut_lineage(lines.select("key", "version", "line_no", "id", "check"))
-    links = cut_lineage(near_links(df, key, text, lines, keys, edits))
+    links = cut_lineage(near_links(df, key, text, lines.filter(F.col("chars") >= min_chars), keys, edits))
     degree = (
         links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     )
@@ -275,24 +282,30 @@ def dropped_lines(classes: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(df: DataFrame, key: str, text: str, edits: int = 2, min_chars: int = 32) -> DataFrame:
+def dedup_lines(
+    df: DataFrame, key: str, text: str, edits: int = 2, min_chars: int = 32, shortest: int | None = None
+) -> DataFrame:
     """The rows of ``df`` with every line but the first of its class taken out of the text.
 
+    Lines under ``shortest`` characters (``min_chars`` if not given) stay where they are; with 1 every copy goes.
     First is by key, then by text version, then by line number.  Rows of which nothing is left go; rows that were empty or null before
     stay as they are.  Equal rows are one document and get equal texts.  Other columns are untouched.
     """
     dropped = dropped_lines(line_classes(df, key, text, edits, min_chars)).select(
         F.col("key").alias("__key"), F.col("version").alias("__version"), F.col("dropped").alias("__dropped")
     )
-    body = F.col(f"`{text}`")
+    body, least = F.col(f"`{text}`"), min_chars if shortest is None else shortest
     joined = df.withColumn("__of", F.xxhash64(body)).join(
         dropped, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__of") == F.col("__version")), "left"
     )
     kept = F.array_join(
-        F.filter(F.split(body, "\n"), lambda line, i: ~F.array_contains(F.col("__dropped"), i)), "\n"
+        F.filter(
+            F.split(body, "\n"), lambda line, i: (F.length(line) < least) | ~F.array_contains(F.col("__dropped"), i)
+        ), "\n"
     )
+    changed = F.col("__dropped").isNotNull() & (kept != body)
     return (
-        joined.withColumn(text, F.when(F.col("__dropped").isNull(), body).otherwise(kept))
-        .filter(F.col("__dropped").isNull() | (F.trim(F.translate(body, "\n\r\t", "   ")) != ""))
+        joined.withColumn("__changed", changed).withColumn(text, F.when(F.col("__changed"), kept).otherwise(body))
+        .filter(~F.coalesce("__changed", F.lit(False)) | _written(body))
         .select(*[F.col(f"`{c}`") for c in df.columns])
     )

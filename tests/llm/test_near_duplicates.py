@@ -237,6 +237,19 @@ def test_edit_distance_of_pairs(spark):
         assert all(r["near"] == (distance(r["a"], r["b"]) <= edits) for r in out)
 
 
+def test_copies_of_short_lines(spark):
+    notice = "All rights reserved."
+    rows = [(1, f"one\n{notice}\n\n  "), (2, f"{notice}\n\ntwo\n  "), (3, notice), (4, "All rights reserved!\n\n  "), (None, "一\n二"), (5, "二")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.line_classes(df, "doc_id", "text").collect()
+    assert {(r["key"], r["line_no"], r["class"]["key"], r["class"]["line_no"], r["n_links"]) for r in found} == {
+        (1, 1, 1, 1, 0), (2, 0, 1, 1, 0), (3, 0, 1, 1, 0), (None, 1, None, 1, 0), (5, 0, None, 1, 0)
+    }
+    kept = line_dedup.dedup_lines(df, "doc_id", "text", shortest=1).collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {(1, rows[0][1]), (2, "\ntwo\n  "), (4, rows[3][1]), (None, rows[4][1])}
+    assert line_dedup.dedup_lines(df, "doc_id", "text").count() == len(rows)
+
+
 def test_too_short_lines_are_refused(spark):
     with pytest.raises(ValueError):
         line_dedup.line_classes(spark.createDataFrame([], "k long, t string"), "k", "t", 2, 3)
