@@ -1,7 +1,7 @@
 """Mixing sources to target weights: which words of which document go to which output shard.
 
-Every source is one stream of words, its documents in hashed order.  The stream is cut into blocks of equal size.  A source's
-target becomes a number of blocks (its quota): whole passes over the stream, then a part of one more.  Quotas
+Every source is one stream of words, its documents in hashed order.  The stream is cut into blocks of equal size, smaller ones
+where the source is small, so that rounding to blocks is a fixed share of any source.  A source's target becomes a number of blocks (its quota): whole passes over the stream, then a part of one more.  Quotas
 are split over the output shards by a tree: at each node the blocks of all sources are divided between the left and the right
 shards by one multivariate hypergeometric draw, so every shard is a fair sample of the mix and the quotas stay exact.  A keyed
 permutation of the block numbers then deals disjoint blocks to the shards, which are shuffled one by one.
@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of one source whose places are numbered together.
 BUCKET_ROWS = 5000
+#: A source has about so many blocks at least, if it has as many words.
+LEAST_BLOCKS = 64
 #: The library's hypergeometric draws need fewer blocks than this; blocks grow with the corpus to stay below.
 MOST_BLOCKS = 500_000_000
 
@@ -84,9 +86,10 @@ def _plan(totals: list[tuple[str | None, int]], recipe: Recipe) -> list[tuple]:
     """One row per source: target, quota of every pass, permutation of every pass, first draw of every shard."""
     sizes = [int(size) for _, size in totals]
     goal = targets(sizes, recipe)
-    block = max(recipe.block_words, -(-int(recipe.limit * sum(sizes)) // MOST_BLOCKS))
+    largest = max(recipe.block_words, -(-int(recipe.limit * sum(sizes)) // MOST_BLOCKS))
     rows, quotas = [], []
     for number, ((_, size), target) in enumerate(zip(totals, goal)):
+        block = min(largest, max(1, -(-int(size) // LEAST_BLOCKS)))
         blocks, passes = -(-int(size) // block), []
         for turn in range(recipe.limit):
             part = min(max(target - turn * int(size), 0), int(size))

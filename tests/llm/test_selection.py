@@ -233,6 +233,15 @@ def test_mix_meets_targets(spark):
     assert Counter(map(str, again)) == Counter(map(str, out))
 
 
+def test_small_sources_come_near_their_targets(spark):
+    sizes = [100] * 60 + [1, 2, 63, 65, 127, 700, 5000]
+    df = spark.createDataFrame([(i, "w " * n, f"s{i:03}") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    out = mixing.mix(df, "doc_id", "text", "source").select("source_size", "target", mixing.taken_words(F.col("pieces")).alias("n")).collect()
+    assert len(out) == len(sizes)
+    assert all(abs(r["n"] - r["target"]) <= max(1, 2 * r["source_size"] / 64) for r in out)
+    assert abs(sum(r["n"] - r["target"] for r in out)) <= 0.02 * sum(r["target"] for r in out)
+
+
 def test_shards_hold_exact_quotas():
     split = mixing.split_quotas([1000, 1, 0, 77], 13, 3)
     assert split.sum(axis=1).tolist() == [1000, 1, 0, 77]
