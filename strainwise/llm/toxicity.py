@@ -122,11 +122,14 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     rows, sizes = _rows_of(list(number), Subwords(settings))
     del number
     first = offsets_of(sizes)
-    spread = np.zeros(settings.buckets, np.int32)  # documents by table row
-    for words, _ in bags:
-        spread[np.unique(rows[gather(first[words], sizes[words])])] += 1
-    # Rows of few documents would only be learned by heart; their vectors stay zero.
-    used = np.flatnonzero(spread >= max(3, settings.least_share * len(texts)))
+    spread = np.zeros((2, settings.buckets), np.int32)  # documents by label and table row
+    for label, (words, _) in zip(labels, bags):
+        spread[label, np.unique(rows[gather(first[words], sizes[words])])] += 1
+    # Rows of few documents of either label would only be learned by heart; their vectors stay zero.  A label's documents count by
+    # themselves, so words of a rare label are learned.
+    least = np.maximum(3, settings.least_share * np.bincount(labels, minlength=2))
+    used = np.flatnonzero((spread >= least[:, None]).any(axis=0))
+    del spread
     place = np.full(settings.buckets, -1, np.int32)
     place[used] = np.arange(len(used))
     rows = place[rows]

@@ -57,6 +57,20 @@ def test_score_is_the_mean_of_subwords(model):
     assert len(owners) == len(rows)
 
 
+def test_words_of_few_toxic_rows_are_learned():
+    """Twelve toxic rows of 1,500: their words stand in fewer than one row of 300 of all."""
+    rows = [(t, 0) for _, t, y in corpus(1900, 4) if not y][:1488]
+    draw = random.Random(5)
+    for i in range(12):
+        words = rows[draw.randrange(1400)][0].split()
+        for word in ["vexqua", "wyzzor", "jhuxxi"][i % 3:i % 3 + 1] * (len(words) // 12):
+            words.insert(draw.randrange(len(words)), word)
+        rows.append((" ".join(words), 1))
+    fitted = toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+    found, _ = toxicity.Subwords(fitted.settings).rows([b"vexqua", b"wyzzor", b"jhuxxi"])
+    assert (fitted.logits[found[:3]] > 0).all()  # the words as a whole, each in four documents
+
+
 def test_fitting_little():
     assert toxicity.Scorer(toxicity.fit([], [])).score(["x", ""]).tolist() == [0.5, 0.5]
     only = toxicity.fit(["some words"] * 3, [0] * 3)
