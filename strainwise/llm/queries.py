@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strainwise.llm import chat, mixing, quality, topk, toxicity
+from strainwise.llm import alignment, chat, mixing, quality, topk, toxicity
 from strainwise.llm.bpe import decode_bpe, encode_bpe, load_vocabulary
 from strainwise.llm.line_dedup import line_classes
 from strainwise.llm.simhash import near_duplicates
@@ -18,6 +18,8 @@ from strainwise.session import configure, cut_lineage
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,6 +273,11 @@ FROM judged WHERE choice = 1
 """
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = alignment.Tokenizers.load(public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL))
+    return alignment.align_tokens(table(spark, folder, "documents"), "doc_id", "text", files).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -282,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
 }
 #: The others are beyond SQL (tokenizers, learning, 64-bit hashes, random draws, edit joins): tests hold them against brute force.
 ORACLES: dict[str, str] = {
