@@ -33,9 +33,9 @@ from strainwise.llm.token_counts import _visible_bytes
 from strainwise.session import cut_lineage, work_area
 
 #: Characters of the documents of a block (a longer document is a block of its own).  Sets memory and how often a pair travels.
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 #: Characters of the segments a task remembers; when there are more, it starts anew.  Bounds memory, does not change results.
-CACHE_CHARS = 1 << 22
+CACHE_CHARS = 1 << 21
 #: Distinct segments tokenized in one call.
 CALL = 1 << 13
 
@@ -139,6 +139,7 @@ class Aligner:
         self._forget()
 
     def _forget(self) -> None:
+        self.encoder._forget()
         self.known: dict[str, int] = {}
         self.held = 0
         self.links = Arena(np.int64)

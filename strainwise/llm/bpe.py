@@ -11,6 +11,7 @@ import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import sha256
 from itertools import islice
 
 import numpy as np
@@ -19,12 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainwise.llm.merging import PairTable
-from strainwise.llm.ragged import Arena, chunks, gather, list_array, offsets_of
+from strainwise.llm.ragged import Arena, chunks, gather, list_array, offsets_of, unused
 from strainwise.llm.segmentation import CodepointClasses, Segmenter, every_codepoint, slices
 
 CHUNK_CHARS = 1 << 18
-#: Pre-tokens a task remembers; when there are more, it starts anew.  Bounds memory, does not change results.
-CACHE_ENTRIES = 1 << 19
+#: Characters of the pre-tokens a task remembers; when there are more, it starts anew.  Bounds memory, does not change results.
+CACHE_CHARS = 1 << 21
 
 
 @dataclass
@@ -87,10 +88,12 @@ class Encoder:
 
     def _forget(self) -> None:
         self.cache: dict[str, int] = {}
+        self.held = 0
         self.arena = Arena(np.int32)
 
     def _learn(self, pieces: list[str]) -> None:
         """Merge pre-tokens not met before.  A pre-token that is a token as a whole is that token."""
+        self.held += sum(map(len, pieces))
         raw = [piece.encode("utf-8", "surrogatepass") for piece in pieces]
         known = [self.whole.get(b, -1) for b in raw]
         mixed = [i for i, k in enumerate(known) if k < 0]
@@ -108,7 +111,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
-        if len(self.cache) > CACHE_ENTRIES:
+        if self.held > CACHE_CHARS:
             self._forget()
         points, starts, ends, first = self.segmenter.segments(texts)
         pieces = slices(points, starts, ends)
@@ -128,30 +131,74 @@ class Encoder:
         return (before[:-1] - np.repeat(before[offsets_of(counts)[:-1]], counts)).astype(np.int32)
 
 
-def encode_bpe(df: DataFrame, text: str, vocabulary: Vocabulary, ids: str = "ids", starts: str = "token_starts") -> DataFrame:
-    """Add the token ids of the whole text and the byte at which each token starts.
+#: Outputs of :func:`encode_bpe` and their types.
+OUTPUTS = {
+    "ids": pa.list_(pa.int32()), "starts": pa.list_(pa.int32()), "n_tokens": pa.int64(), "ids_sha256": pa.string(),
+    "decoded_sha256": pa.string(),
+}
+_DDL = {"ids": "array<int>", "starts": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 
-    A null or empty text has no tokens (empty arrays).  All other columns and all rows, repeated ones too, stay as they are;
-    columns called like an output are replaced.
+
+class Decoder:
+    """Bytes of runs of ids; made once per task."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.flat, self.first, self.lengths = vocabulary.bytes_of()
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all runs one after the other, where each run starts, and the end).  An id without a piece is an error."""
+        ids = ids.astype(np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
+            raise ValueError("token id without a piece")
+        sizes = self.lengths[ids]
+        return self.flat[gather(self.first[ids], sizes)], offsets_of(sizes)[offsets_of(counts)]
+
+
+def _encoded(batch: pa.Array, encoder: Encoder, decoder: Decoder, numerals: list[str], wanted: list[str]) -> pa.StructArray:
+    parts: dict[str, list[pa.Array]] = {name: [] for name in wanted}
+    for texts in chunks([t or "" for t in batch.to_pylist()], CHUNK_CHARS):
+        ids, counts = encoder.encode(texts)
+        ends = offsets_of(counts).tolist()
+        for name, found in parts.items():
+            if name == "ids":
+                made = list_array(ids.astype(np.int32), counts)
+            elif name == "starts":
+                made = list_array(encoder.starts(ids, counts), counts)
+            elif name == "n_tokens":
+                made = pa.array(counts.astype(np.int64))
+            elif name == "ids_sha256":
+                said = list(map(numerals.__getitem__, ids.tolist()))
+                made = pa.array([sha256(" ".join(said[a:b]).encode()).hexdigest() for a, b in zip(ends, ends[1:])], pa.string())
+            else:
+                data, bounds = decoder.decode(ids, counts)
+                view, cuts = memoryview(data), bounds.tolist()
+                made = pa.array([sha256(view[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string())
+            found.append(made)
+    return pa.StructArray.from_arrays([pa.concat_arrays(parts[n]) if parts[n] else pa.array([], OUTPUTS[n]) for n in wanted], wanted)
+
+
+def encode_bpe(df: DataFrame, text: str, vocabulary: Vocabulary, **outputs: str) -> DataFrame:
+    """Add what is asked for of the whole text's encoding, as ``output=column``: by default ``ids="ids"``, the token ids, and
+    ``starts="token_starts"``, the byte at which each token starts; also ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by one
+    space) and ``decoded_sha256`` (of the bytes that the ids decode to).  One worker makes all of them.
+
+    A null or empty text has no tokens (empty arrays, digests of nothing).  All other columns and all rows, repeated ones too, stay as
+    they are; columns called like an output are replaced.
     """
+    outputs = outputs or {"ids": "ids", "starts": "token_starts"}
+    wanted = list(outputs)
+    fields = ", ".join(f"{name}: {_DDL[name]}" for name in wanted)
 
-    @F.arrow_udf("struct<ids: array<int>, starts: array<int>>")
+    @F.arrow_udf(f"struct<{fields}>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary)
+        encoder, decoder, numerals = Encoder(vocabulary), Decoder(vocabulary), list(map(str, range(len(vocabulary.pieces))))
         for batch in batches:
-            done = []
-            for part in chunks([t or "" for t in batch.to_pylist()], CHUNK_CHARS):
-                values, counts = encoder.encode(part)
-                done.append((values, encoder.starts(values, counts), counts))
-            values, places, counts = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int32),) * 3
-            yield pa.StructArray.from_arrays(
-                [list_array(values.astype(np.int32), counts), list_array(places.astype(np.int32), counts)], ["ids", "starts"]
-            )
-
-    held = "__encoded"
-    kept = [c for c in df.columns if c not in (ids, starts)]
-    return df.withColumn(held, encode(F.col(text))).select(
-        *[F.col(f"`{c}`") for c in kept], F.col(held)["ids"].alias(ids), F.col(held)["starts"].alias(starts)
+            yield _encoded(batch, encoder, decoder, numerals, wanted)
+
+    kept = [c for c in df.columns if c not in outputs.values()]
+    held = unused("__encoded", df.columns)
+    return df.withColumn(held, encode(F.col(f"`{text}`"))).select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col(held)[name].alias(column) for name, column in outputs.items()]
     )
 
 
@@ -160,15 +207,11 @@ def decode_bpe(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        flat, first, lengths = vocabulary.bytes_of()
+        decoder = Decoder(vocabulary)
         for batch in batches:
-            values = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            values = batch.flatten().to_numpy(zero_copy_only=False)
             counts = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            if len(values) and (values.min() < 0 or values.max() >= len(lengths) or not lengths[values].all()):
-                raise ValueError("token id without a piece")
-            sizes = lengths[values]
-            ends = offsets_of(sizes)[offsets_of(counts)]
-            data = flat[gather(first[values], sizes)]
+            data, ends = decoder.decode(values, counts)
             yield pa.Array.from_buffers(
                 pa.large_binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(data)]
             ).cast(pa.binary())

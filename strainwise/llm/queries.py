@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strainwise.llm import alignment, chat, mixing, quality, topk, toxicity
-from strainwise.llm.bpe import decode_bpe, encode_bpe, load_vocabulary
+from strainwise.llm.bpe import encode_bpe, load_vocabulary
 from strainwise.llm.line_dedup import line_classes
 from strainwise.llm.simhash import near_duplicates
 from strainwise.llm.token_counts import count_tokens, load_word_vocabulary
@@ -26,8 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    # Rows of the Arrow batches that go to Python tasks: whole texts are long, so batches are short.
+    # Arrow batches that go to Python tasks: whole texts are long, so batches end by rows or by bytes.
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4MB")
     # A join that needs a few documents' texts should not shuffle all of them: filter while scanning, also below 10 GB.
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "32MB")
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -35,13 +36,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = load_vocabulary(public_tokenizers.path(BYTE_RANKS))
-    encoded = encode_bpe(table(spark, folder, "documents").select("doc_id", "text"), "text", vocabulary)
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(decode_bpe(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = encode_bpe(docs, "text", vocabulary, n_tokens="n_tokens", ids_sha256="ids_sha256", decoded_sha256="decoded_sha256")
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:

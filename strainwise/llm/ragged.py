@@ -1,4 +1,4 @@
-"""Numpy helpers for ragged arrays (a flat array plus lengths), used inside Arrow tasks."""
+"""Helpers for ragged arrays (a flat array plus lengths), used inside Arrow tasks, and for names of helper columns."""
 
 from __future__ import annotations
 
@@ -40,6 +40,14 @@ def chunks(texts: list[str], budget: int) -> Iterator[list[str]]:
         yield part
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column is called so (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Arena:
     """Ragged rows that are appended in blocks and read by row number."""
 

@@ -152,4 +152,4 @@ def count_tokens(df: DataFrame, text: str, vocabulary: WordVocabulary, n_tokens:
             done = [counter.count(part) for part in chunks([t or "" for t in batch.to_pylist()], CHUNK_CHARS)]
             yield pa.array(np.concatenate(done) if done else np.zeros(0, np.int64))
 
-    return df.withColumn(n_tokens, count(F.col(text)))
+    return df.withColumn(n_tokens, count(F.col(f"`{text}`")))

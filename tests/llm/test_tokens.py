@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import hashlib
 import random
 
 import public_tokenizers
@@ -86,7 +87,7 @@ def test_encoding_of_any_text(texts):
 
 
 def test_a_full_cache_changes_nothing(vocabulary, library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 5)
     encoder = bpe.Encoder(vocabulary)
     for text in random_texts(3, MIXED, 50):
         assert encoded(encoder, [text]) == [library.encode_ordinary(text)]
@@ -105,6 +106,18 @@ def test_encode_and_decode_in_spark(spark, vocabulary, library):
         assert row["token_starts"] == [sum(map(len, pieces[:k])) for k in range(len(pieces))]
 
 
+def test_digests_from_one_worker(spark, vocabulary, library):
+    """A text column whose name needs quotes, a column called like the helper, and a text of a million characters."""
+    texts = [*ODD, None, "long and 12 longer, " * 50_000]
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "n int, `a.text` string, __encoded string")
+    out = bpe.encode_bpe(df, "a.text", vocabulary, n_tokens="n_tokens", ids_sha256="said", decoded_sha256="back").orderBy("n").collect()
+    for row, text in zip(out, texts):
+        ids = library.encode_ordinary(text or "")
+        assert row["n_tokens"] == len(ids) and row["__encoded"] == "kept"
+        assert row["said"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row["back"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
 def test_decoding_refuses_unknown_ids(spark, vocabulary):
     df = spark.createDataFrame([([10**6],)], "ids array<int>")
     with pytest.raises(Exception, match="token id without a piece"):
