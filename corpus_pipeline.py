@@ -45,9 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row: its columns but the text, the ids, and digests of the ids and of the bytes they decode to."""
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(queries.BYTE_RANKS))
-    encoded = bpe.encode_bpe(docs, "text", vocabulary)
-    decoded = encoded.withColumn("decoded_sha256", F.sha2(bpe.decode_bpe(F.col("ids"), vocabulary), 256))
-    return decoded.withColumn("n_tokens", F.size("ids").cast("long")).drop("text", "token_starts")
+    encoded = bpe.encode_bpe(docs, "text", vocabulary, ids="ids", n_tokens="n_tokens", decoded_sha256="decoded_sha256")
+    return encoded.drop("text")
 
 
 STAGES = [
