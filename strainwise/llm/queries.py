@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strainwise.llm import alignment, chat, mixing, quality, topk, toxicity
+from strainwise.llm import alignment, chat, mixing, prefix_trie, quality, topk, toxicity
 from strainwise.llm.bpe import encode_bpe, load_vocabulary
 from strainwise.llm.line_dedup import line_classes
 from strainwise.llm.simhash import near_duplicates
@@ -275,6 +275,65 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_tokens(table(spark, folder, "documents"), "doc_id", "text", files).withColumnRenamed("key", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = cut_lineage(
+        prefix_trie.number_turns(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+        .withColumn("conv", F.col("conv").cast("long"))
+    )
+    conv = F.col("conv")
+    rebuilt = prefix_trie.borrow_starts(turns, conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6, most=5)
+    return prefix_trie.prefix_trie(rebuilt).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        "saved_tokens", "ends_sha256",
+    )
+
+
+OP12_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS hub,
+         xor(4294967295::UBIGINT, list_reduce(
+           [4294967295::UBIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT),
+           lambda acc, b: list_reduce(
+             [xor(acc, b)] || list_transform(range(8), lambda i: 0::UBIGINT),
+             lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, pos, role, said FROM convs c JOIN turns t ON t.conv_id = c.hub AND pos < h
+  UNION ALL SELECT t.conv_id, pos, role, said FROM turns t JOIN convs c ON t.conv_id = c.conv_id AND pos >= h
+), prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, list({'role': role, 'said': said}) OVER w AS prefix, length(said) AS chars,
+         count(*) OVER (PARTITION BY conv_id) AS len
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL
+  SELECT c.conv_id, 0, [], 0, (SELECT count(*) FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM convs c
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, prefix
+), ways AS (
+  SELECT p.conv_id, p.depth, n.conv_id AS node FROM prefixes p JOIN nodes n ON p.depth = n.depth AND p.prefix = n.prefix
+), above AS (
+  SELECT n.conv_id, n.depth, n.n_convs, n.chars, w.node, w.depth AS top
+  FROM nodes n JOIN ways w ON w.conv_id = n.conv_id AND w.depth <= n.depth
+), children AS (
+  SELECT node, top, count(*) AS n FROM above WHERE top = depth - 1 GROUP BY node, top
+), totals AS (
+  SELECT a.node, a.top, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM above a LEFT JOIN children c ON c.node = a.conv_id AND c.top = a.depth GROUP BY a.node, a.top
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.node AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes n
+JOIN totals t ON t.node = n.conv_id AND t.top = n.depth
+LEFT JOIN children c ON c.node = n.conv_id AND c.top = n.depth
+LEFT JOIN above p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.top = n.depth - 1
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -287,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
     "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 #: The others are beyond SQL (tokenizers, learning, 64-bit hashes, random draws, edit joins): tests hold them against brute force.
 ORACLES: dict[str, str] = {
@@ -294,4 +354,5 @@ ORACLES: dict[str, str] = {
     "op5_chat": OP5_SQL,
     "op9_top_k": OP9_SQL,
     "op10_quality": _quality_sql(),
+    "op12_prefix_trie": OP12_SQL,
 }
