@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strainwise.llm import alignment, chat, mixing, prefix_trie, quality, topk, toxicity
+from strainwise.llm import alignment, chat, mixing, prefix_trie, quality, quality_model, topk, toxicity
 from strainwise.llm.bpe import encode_bpe, load_vocabulary
 from strainwise.llm.line_dedup import line_classes
 from strainwise.llm.simhash import near_duplicates
@@ -334,6 +334,13 @@ LEFT JOIN above p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.top = n.d
 """
 
 
+def op13_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.learn(docs, table(spark, folder, "labels"), "doc_id", "text", "quality", folds=4, fold=2)
+    scored = quality_model.score_quality(docs, "text", model)
+    return scored.select("doc_id", quality_model.in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -347,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality": op10_quality,
     "op11_alignment": op11_alignment,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality_model": op13_quality_model,
 }
 #: The others are beyond SQL (tokenizers, learning, 64-bit hashes, random draws, edit joins): tests hold them against brute force.
 ORACLES: dict[str, str] = {
