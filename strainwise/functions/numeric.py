@@ -92,10 +92,34 @@ def beta_quantile(prob: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(DoubleType())
 def _upper_bound(resistant: pd.Series, susceptible: pd.Series) -> pd.Series:
-    a, b = resistant.to_numpy(float) + 1.0, susceptible.to_numpy(float)
-    return pd.Series(beta_quantile(0.975, a, b))
+    # Few pairs of counts are common to most rows: each is worked out once a batch.
+    pairs, place = np.unique(np.stack([resistant.to_numpy(float), susceptible.to_numpy(float)]), axis=1, return_inverse=True)
+    return pd.Series(beta_quantile(0.975, pairs[0] + 1.0, pairs[1])[place.ravel()])
 
 
 def clopper_pearson_upper(resistant: Column, susceptible: Column) -> Column:
     """Upper 97.5 % bound of R / (R + S); NaN, hence below no threshold, when nothing is susceptible."""
     return F.coalesce(_upper_bound(resistant, susceptible), F.lit(float("nan")))
+
+
+def critical_susceptible(resistant: np.ndarray, threshold: float, prob: float = 0.975) -> np.ndarray:
+    """Smallest S, at least 1, for which the upper bound of R / (R + S) is below the threshold.
+
+    The bound falls with S, and is below t exactly where the beta distribution of (R + 1, S) has more than ``prob`` of its mass below
+    t; so S is found by doubling and halving, without the bound itself.  A threshold outside (0, 1) is an error.
+    """
+    if not 0 < threshold < 1:
+        raise ValueError("thresholds lie between 0 and 1")
+    a = np.asarray(resistant, float) + 1.0
+
+    def enough(s: np.ndarray) -> np.ndarray:
+        return beta_cdf(threshold, a, s) > prob
+
+    low, high = np.zeros_like(a), np.ones_like(a)  # enough at ``high``, not at ``low``
+    while not (reached := enough(high)).all():
+        low, high = np.where(reached, low, high), np.where(reached, high, 2 * high)
+    while (high - low > 1).any():
+        middle = np.floor((low + high) / 2)
+        reached = enough(np.maximum(middle, 1)) & (middle >= 1)
+        low, high = np.where(reached, low, middle), np.where(reached, middle, high)
+    return high.astype(np.int64)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strainwise import rules
-from strainwise.functions.numeric import allele_fraction, clopper_pearson_upper, ratio
+from strainwise.functions.numeric import allele_fraction, clopper_pearson_upper, critical_susceptible, ratio
 from strainwise.operators.relational import rename_with_suffix, top1_per_group
 from strainwise.session import cut_lineage
 
@@ -25,18 +26,37 @@ def phenotype_counts(genotypes: DataFrame, values: list[str] = ("R", "S")) -> Da
 
 
 def ppv(counts: DataFrame) -> DataFrame:
-    """Positive predictive value and its upper bound, the bound worked out once per distinct (R, S)."""
-    bounds = (
-        counts.select("R", "S").distinct().withColumn("Upper_PPV", clopper_pearson_upper(F.col("R"), F.col("S")))
+    """Positive predictive value and its upper bound; the counts are read once."""
+    return counts.withColumn("PPV", ratio(F.col("R"), F.col("R") + F.col("S"))).withColumn(
+        "Upper_PPV", clopper_pearson_upper(F.col("R"), F.col("S"))
     )
-    return counts.withColumn("PPV", ratio(F.col("R"), F.col("R") + F.col("S"))).join(bounds, ["R", "S"])
 
 
 def neutral_below(values: DataFrame, threshold: float, label: str) -> DataFrame:
-    """Categories whose upper bound lies below the threshold."""
+    """Categories whose upper bound lies below the threshold, where the bound has been worked out."""
     return values.where(F.col("Upper_PPV") < threshold).drop("R", "S").withColumn("set", F.lit(label))
 
 
+def critical_steps(counts: DataFrame, threshold: float) -> DataFrame:
+    """(R, least_S): the step table of the threshold, a row for every R that occurs.
+
+    From a count S of ``least_S`` on, the upper bound of R / (R + S) is below the threshold.  ``least_S`` never falls with R, so categories are
+    decided by comparing two numbers; the bound itself is not needed.
+    """
+
+    @F.pandas_udf("long")
+    def least(resistant: pd.Series) -> pd.Series:
+        return pd.Series(critical_susceptible(resistant.to_numpy(float), threshold))
+
+    return counts.select("R").distinct().withColumn("least_S", least("R"))
+
+
+def neutral_by_counts(counts: DataFrame, threshold: float, label: str) -> DataFrame:
+    """Categories below the threshold, from their counts alone: they meet the step table on R, which holds every R once."""
+    steps = cut_lineage(critical_steps(counts, threshold))
+    return counts.join(steps, "R").where("S >= least_S").select(*CATEGORY_KEY, F.lit(label).alias("set"))
+
+
 def solo_samples(genotypes: DataFrame) -> DataFrame:
     """(sample, drug) with exactly one category in tier 1, or none there and one in tier 2, and that tier."""
     distinct = genotypes.select("sample_id", "drug_id", "tier", "gene_db_crossref_id", "variant_category").distinct()

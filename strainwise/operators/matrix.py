@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strainwise import rules
 from strainwise.functions.numeric import ratio
 from strainwise.functions.text import first_match
 from strainwise.operators.relational import count_by_values, exclude_intervals, pair_all, top1_per_group
+from strainwise.operators.subspace import subspace_pca
 from strainwise.session import cut_lineage
 
 
-
 def allele_code(column: Column) -> Column:
     return first_match([(column == base, F.lit(code)) for base, code in rules.NUCLEOTIDE_CODES])
 
@@ -130,95 +130,66 @@ def sparse_differences(calls: DataFrame, varying: DataFrame) -> DataFrame:
     )
 
 
-def genotype_matrix(calls: DataFrame, varying: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row per sample: base codes ordered by position, as long as there are varying positions."""
-    dense = dense_genotype_calls(calls, varying, samples)
-    row = F.sort_array(F.collect_list(F.struct("position", "integer")))
-    return dense.groupBy("sample_id").agg(F.transform(row, lambda c: c["integer"]).alias("codes"))
+def ranked_positions(varying: DataFrame) -> DataFrame:
+    """(place, position, reference_int): the reference row of the matrix, ``place`` counting positions from 0 in their order.
 
+    Positions are sorted in range partitions; a place is the number in the partition plus the sizes of the partitions before, of which
+    there is one number each.
+    """
+    reference = varying.groupBy("position").agg(F.min("reference_int").alias("reference_int"))
+    in_order = reference.repartitionByRange("position").sortWithinPartitions("position")
+    # The number of a row: its partition in the upper bits, its place there in the lower 33.
+    written = cut_lineage(in_order.withColumn("number", F.monotonically_increasing_id()))
+    part = F.shiftright("number", 33)
+    sizes = written.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
+    place = F.col("before") + F.col("number").bitwiseAND(F.lit((1 << 33) - 1))
+    return written.withColumn("part", part).join(before, "part").select(place.cast("int").alias("place"), "position", "reference_int")
 
-def _component_rows(scores: DataFrame, k: int) -> DataFrame:
-    """Named component columns; each component's sign makes its largest score in absolute value positive (of equal ones, that of the
-    greatest key)."""
-    columns = [F.col("scores")[i].alias(f"pc{i + 1}") for i in range(k)]
-    flat = scores.select("sample_id", *columns)
-    names = [f"pc{i + 1}" for i in range(k)]
-    signs = flat.agg(*[F.max_by(F.signum(c), F.struct(F.round(F.abs(c), 9), "sample_id")).alias(c) for c in names]).first()
-    return flat.select("sample_id", *[(F.col(c) * F.lit(float(signs[c] or 1.0))).alias(c) for c in names])
 
+def sparse_matrix(calls: DataFrame, varying: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(reference row, rows of the samples): base codes as differences from one reference row kept apart.
 
-def subspace_pca(
-    entries: DataFrame, samples: DataFrame, k: int, rounds: int = 200, tolerance: float = 1e-7
-) -> DataFrame:
-    """Principal components of a centred sparse matrix of any width, by block power iteration.
+    The rows are (sample_id, places, codes), both arrays in order of place, with an entry only where a sample's strongest clear call is not the
+    reference base; samples without any have empty arrays.  No sample is paired with a position it has no call at.
+    """
+    reference = cut_lineage(ranked_positions(varying))
+    entry = F.struct("place", F.col("alternative_int").cast("int").alias("code"))
+    found = (
+        best_calls(calls.join(samples.select("sample_id"), "sample_id", "left_semi"), varying)
+        .join(reference, "position").where("alternative_int <> reference_int")
+        .groupBy("sample_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    )
+    none = F.array().cast("array<int>")
+    rows = samples.select("sample_id").distinct().join(found, "sample_id", "left").select(
+        "sample_id", F.coalesce("entries.place", none).alias("places"), F.coalesce("entries.code", none).alias("codes")
+    )
+    return reference, rows
 
-    ``entries`` are (sample_id, column, value).  Both factors are tables; each round is
-    two equi joins with sums.  Only k x k and k-long sums reach the driver.
 
-    Rounds go on until no variance of the first k components changes by more than ``tolerance`` of the largest; if they have not
-    settled after ``rounds``, that is an error.  Directions without variance score zero.
+def dense_rows(reference: DataFrame, rows: DataFrame) -> DataFrame:
+    """(sample_id, codes): sparse rows written out, as long as there are positions.
+
+    The reference row, no longer than any row of the result, goes along as one value; between its differences a sample takes
+    slices of it.
     """
-    width = 2 * k + 4
-    count = samples.count()
-    entries = cut_lineage(entries)
-    means = entries.groupBy("column").agg((F.sum("value") / F.lit(float(count))).alias("mean"))
-    index = range(width)
-
-    def total(df: DataFrame, *expressions: Column) -> list:
-        return [float(v or 0.0) for v in df.agg(*expressions).first()]
-
-    def combine(df: DataFrame, key: str, kept: list[str], weights: np.ndarray) -> DataFrame:
-        mixed = [
-            sum((F.col(f"v{i}") * F.lit(float(weights[i, j])) for i in index), F.lit(0.0)).alias(f"v{j}")
-            for j in range(weights.shape[1])
-        ]
-        return df.select(key, *kept, *mixed)
-
-    def gram(df: DataFrame) -> np.ndarray:
-        pairs = [(i, j) for i in index for j in range(i, width)]
-        values = total(df, *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")) for i, j in pairs])
-        g = np.zeros((width, width))
-        for (i, j), value in zip(pairs, values):
-            g[i, j] = g[j, i] = value
-        return g
-
-    def project(basis: DataFrame) -> DataFrame:
-        shift = total(basis, *[F.sum(F.col("mean") * F.col(f"v{i}")) for i in index])
-        raw = entries.join(basis, "column").groupBy("sample_id").agg(
-            *[F.sum(F.col("value") * F.col(f"v{i}")).alias(f"v{i}") for i in index]
-        )
-        return samples.select("sample_id").join(raw, "sample_id", "left").select(
-            "sample_id", *[(F.coalesce(f"v{i}", F.lit(0.0)) - F.lit(shift[i])).alias(f"v{i}") for i in index]
-        )
+    row = F.transform(F.sort_array(F.collect_list(F.struct("place", "reference_int"))), lambda c: c["reference_int"].cast("int"))
+    whole = reference.agg(row.alias("row")).scalar()
+    count = F.size("places")
 
-    start = [(F.pmod(F.xxhash64("column", F.lit(i)), F.lit(2000003)) / 1000001.5 - 1).alias(f"v{i}") for i in index]
-    basis = means.select("column", "mean", *start)
-    before = None
-    for _ in range(rounds):
-        scores = cut_lineage(project(basis))
-        sums = total(scores, *[F.sum(f"v{i}") for i in index])
-        back = entries.join(scores, "sample_id").groupBy("column").agg(
-            *[F.sum(F.col("value") * F.col(f"v{i}")).alias(f"v{i}") for i in index]
-        )
-        back = cut_lineage(means.join(back, "column").select(
-            "column", "mean", *[(F.col(f"v{i}") - F.col("mean") * F.lit(sums[i])).alias(f"v{i}") for i in index]
-        ))
-        # Orthonormal columns from the k x k inner products; directions without weight vanish.
-        weights, vectors = np.linalg.eigh(gram(back))
-        scale = np.where(weights > weights.max() * 1e-12, 1 / np.sqrt(np.maximum(weights, 1e-300)), 0.0)
-        basis = combine(back, "column", ["mean"], vectors * scale)
-        # Lengths of the images of an orthonormal basis: the variances, once the basis has settled.
-        variances = np.sqrt(np.maximum(np.sort(weights)[::-1][:k], 0))
-        if before is not None and np.all(np.abs(variances - before) <= tolerance * max(variances[0], 1e-300)):
-            break
-        before = variances
-    else:
-        raise ArithmeticError(f"principal components have not settled after {rounds} rounds")
-    scores = cut_lineage(project(basis))
-    weights, vectors = np.linalg.eigh(gram(scores))
-    leading = vectors[:, np.argsort(weights)[::-1][:k]]
-    final = combine(scores, "sample_id", [], leading)
-    return _component_rows(final.select("sample_id", F.array(*[f"v{i}" for i in range(k)]).alias("scores")), k)
+    def piece(i: Column) -> Column:
+        after = F.coalesce(F.get("places", i - 1), F.lit(-1)) + 1  # from 0
+        upto = F.coalesce(F.get("places", i), F.size("_row"))
+        own = F.when(i < count, F.array(F.get("codes", i))).otherwise(F.array().cast("array<int>"))
+        return F.concat(F.slice("_row", after + 1, upto - after), own)
+
+    codes = F.flatten(F.transform(F.sequence(F.lit(0), count), piece))
+    return rows.withColumn("_row", whole).select("sample_id", codes.alias("codes"))
+
+
+def genotype_matrix(calls: DataFrame, varying: DataFrame, samples: DataFrame) -> DataFrame:
+    """One row per sample: base codes ordered by position, as long as there are varying positions."""
+    return dense_rows(*sparse_matrix(calls, varying, samples))
 
 
 def genotype_pca(calls: DataFrame, varying: DataFrame, samples: DataFrame, k: int = 10) -> DataFrame:

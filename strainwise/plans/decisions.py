@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strainwise.operators import classify, cohort, lineage, matrix, predict
 from strainwise.plans.registry import query
+from strainwise.session import cut_lineage
 
 # ------------------------------------------------------------------ cohort
 
@@ -192,12 +193,31 @@ def _(t):
     return pairs.select("R", "S", (clopper_pearson_upper("R", "S") < 0.3).alias("below_30"))
 
 
-@query("neutral_below", f"SELECT {KEY}, 'A' AS \"set\" FROM ({COUNTS}) c WHERE {_below('0.9')}")
+def _neutral(threshold: str) -> str:
+    return f"SELECT {KEY}, 'A' AS \"set\" FROM ({COUNTS}) c WHERE {_below(threshold)}"
+
+
+@query("neutral_below", _neutral("0.9"))
 def _(t):
     values = classify.ppv(classify.phenotype_counts(t.neutral_calls))
     return classify.neutral_below(values, 0.9, "A").select(*classify.CATEGORY_KEY, "set")
 
 
+@query("neutral_by_counts", _neutral("0.9"))
+def _(t):
+    return classify.neutral_by_counts(cut_lineage(classify.phenotype_counts(t.neutral_calls)), 0.9, "A")
+
+
+@query("neutral_by_counts_low", _neutral("0.1"))
+def _(t):
+    return classify.neutral_by_counts(cut_lineage(classify.phenotype_counts(t.neutral_calls)), 0.1, "A")
+
+
+@query("critical_steps", f"SELECT R, CAST(min(s) AS BIGINT) AS \"least_S\" FROM (SELECT DISTINCT c_nationkey AS R FROM {{customer}}) r, (SELECT unnest(generate_series(1, 400)) AS s) n WHERE {_below('0.3').replace('S > 0', 's > 0').replace('S', 's')} GROUP BY 1".replace("least_s", "least_S"))
+def _(t):
+    return classify.critical_steps(t.customer.select(F.col("c_nationkey").alias("R")), 0.3)
+
+
 def _solo(source: str) -> str:
     return f"SELECT sample_id, drug_id, CASE WHEN a = 1 THEN 1 ELSE 2 END AS tier FROM (SELECT sample_id, drug_id, count(*) FILTER (WHERE tier = 1) AS a, count(*) FILTER (WHERE tier = 2) AS b FROM (SELECT DISTINCT sample_id, drug_id, tier, gene_db_crossref_id, variant_category FROM {source}) d GROUP BY 1, 2) s WHERE a = 1 OR (a = 0 AND b = 1)"
 
@@ -481,6 +501,18 @@ def _(t):
     return lineage.lineage_marker_frequencies(t.lineage_marker, t.lineage, t.sample, t.genotype)
 
 
+_MARKER_CALLS = "SELECT g.sample_id, m.position, m.lineage_id, m.count_presence, CAST(sum(coalesce(round(g.af * 100), 0)) AS DOUBLE) AS cents FROM {genotype_af} g JOIN {lineage_marker_all} m ON m.variant_id = g.variant_id WHERE g.genotyper = 'bcftools' AND g.sample_id IN (SELECT sample_id FROM {sample}) GROUP BY 1, 2, 3, 4"
+
+
+@query(
+    "lineage_marker_relation",
+    f"SELECT sample_id, position, lineage_id, NOT count_presence AS replaces, CASE WHEN count_presence THEN cents ELSE 100 - cents END / 100.0 AS final_af FROM ({_MARKER_CALLS}) c UNION ALL SELECT NULL, position, lineage_id, NULL, 1.0 FROM (SELECT DISTINCT position, lineage_id FROM {{lineage_marker_all}} WHERE NOT count_presence) d",
+)
+def _(t):
+    defaults, exceptions = lineage.marker_relation(t.lineage_marker_all, t.sample, t.genotype)
+    return exceptions.unionByName(defaults, allowMissingColumns=True)
+
+
 _REPEATS = "SELECT DISTINCT gene * 20 + 1 AS start_pos, gene * 20 + 20 AS end_pos FROM {gene_ids} WHERE gene % 25 = 22 OR (gene % 25 IN (23, 24) AND gene % 3 <> 2)"
 _SITES = f"SELECT v.variant_id, v.position, v.reference_nucleotide, v.alternative_nucleotide FROM {{variant}} v WHERE length(v.reference_nucleotide) = 1 AND length(v.alternative_nucleotide) = 1 AND NOT EXISTS (SELECT 1 FROM ({_REPEATS}) r WHERE v.position BETWEEN r.start_pos - 50 AND r.end_pos + 50)"
 
@@ -539,6 +571,26 @@ def _(t):
     return rows.select("sample_id", F.array_join(F.col("codes").cast("array<string>"), "").alias("codes"))
 
 
+# Places count the varying positions; only differences from the reference base are entries.
+@query(
+    "genotype_matrix_sparse",
+    f"SELECT d.sample_id, CAST(p.place AS INT) AS place, d.integer AS code FROM ({_DENSE}) d JOIN (SELECT v.position, min({_CODE.replace('{0}', 'v.reference_nucleotide')}) AS ref_code, row_number() OVER (ORDER BY v.position) - 1 AS place FROM {{variant}} v JOIN ({_VARYING}) p ON p.position = v.position WHERE length(v.reference_nucleotide) = 1 GROUP BY 1) p ON p.position = d.position WHERE d.integer <> p.ref_code",
+)
+def _(t):
+    calls, _, variants = varying(t)
+    _, rows = matrix.sparse_matrix(calls, variants, t.cohort)
+    return rows.select("sample_id", F.explode(F.arrays_zip("places", "codes")).alias("e")).select(
+        "sample_id", F.col("e.places").alias("place"), F.col("e.codes").alias("code")
+    )
+
+
+@query("varying_positions_default", _VARYING.replace("n > 0 AND", "n > 0.01 * (SELECT count(*) FROM {cohort}) AND"))
+def _(t):
+    calls = matrix.clear_calls(t.genotype, t.cohort)
+    found = matrix.varying_positions(calls, matrix.snv_sites(t.variant, repeats(t)), t.cohort)
+    return found.select("position", "genotype_count")
+
+
 @query("genotype_pca")
 def _(t):
     calls, _, variants = varying(t)

@@ -109,14 +109,15 @@ VIEWS["dbxref"] = (
     "UNION ALL SELECT 100000 + gene, 'Protein', 'NP_' || CAST(gene AS STRING) FROM {gene_ids}"
 )
 VIEWS["term"] = "SELECT CAST(r_regionkey + 1 AS INT) AS term_id, split_part('gene,CDS,locus_tag,protein_id,product', ',', r_regionkey + 1) AS name FROM {region}"
-VIEWS["seqfeature"] = "SELECT gene * 10 AS seqfeature_id, 1 AS type_term_id FROM {gene_ids} UNION ALL SELECT gene * 10 + 1, 2 FROM {gene_ids}"
+# Term ids come from a column: joined on a constant, a table would be paired with all rows.
+VIEWS["seqfeature"] = "SELECT gene * 10 AS seqfeature_id, CAST(gene - gene + 1 AS INT) AS type_term_id FROM {gene_ids} UNION ALL SELECT gene * 10 + 1, CAST(gene - gene + 2 AS INT) FROM {gene_ids}"
 VIEWS["seqfeature_dbxref"] = "SELECT gene * 10 AS seqfeature_id, gene AS dbxref_id FROM {gene_ids} UNION ALL SELECT gene * 10 + 1, gene FROM {gene_ids}"
 VIEWS["qualifier"] = """
-SELECT gene_db_crossref_id * 10 AS seqfeature_id, 1 AS term_id, gene_symbol AS value FROM {gene_symbol}
-UNION ALL SELECT gene_db_crossref_id * 10 + 1, 1, gene_symbol FROM {gene_symbol}
-UNION ALL SELECT gene_db_crossref_id * 10, 3, rv_symbol FROM {locus_tag}
-UNION ALL SELECT gene * 10 + 1, 4, 'NP_' || CAST(gene AS STRING) FROM {gene_ids}
-UNION ALL SELECT gene * 10 + 1, 5, CASE WHEN gene % 25 = 22 THEN 'putative transposase' ELSE 'protein ' || CAST(gene AS STRING) END FROM {gene_ids}"""
+SELECT gene_db_crossref_id * 10 AS seqfeature_id, CAST(gene_db_crossref_id - gene_db_crossref_id + 1 AS INT) AS term_id, gene_symbol AS value FROM {gene_symbol}
+UNION ALL SELECT gene_db_crossref_id * 10 + 1, CAST(gene_db_crossref_id - gene_db_crossref_id + 1 AS INT), gene_symbol FROM {gene_symbol}
+UNION ALL SELECT gene_db_crossref_id * 10, CAST(gene_db_crossref_id - gene_db_crossref_id + 3 AS INT), rv_symbol FROM {locus_tag}
+UNION ALL SELECT gene * 10 + 1, CAST(gene - gene + 4 AS INT), 'NP_' || CAST(gene AS STRING) FROM {gene_ids}
+UNION ALL SELECT gene * 10 + 1, CAST(gene - gene + 5 AS INT), CASE WHEN gene % 25 = 22 THEN 'putative transposase' ELSE 'protein ' || CAST(gene AS STRING) END FROM {gene_ids}"""
 VIEWS["location"] = (
     "SELECT gene * 10 AS seqfeature_id, CASE WHEN gene % 2 = 0 THEN 1 ELSE -1 END AS strand, gene * 20 + 1 AS start_pos, gene * 20 + 20 AS end_pos FROM {gene_ids} "
     "UNION ALL SELECT gene * 10 + 1, CASE WHEN gene % 2 = 0 THEN 1 ELSE -1 END, gene * 20 + 1, gene * 20 + 20 FROM {gene_ids}"
@@ -214,6 +215,9 @@ FROM {variant_category} c JOIN {gene_name} n ON n.gene_db_crossref_id = c.gene_d
 VIEWS["lineage_marker"] = """
 SELECT v.variant_id, v.position, v.alternative_nucleotide, p.p_size % 2 = 0 AS count_presence, CAST(p.p_size AS INT) AS lineage_id
 FROM {variant} v JOIN {part} p ON p.p_partkey = v.variant_id WHERE p.p_brand = 'Brand#1' OR p.p_brand = 'Brand#11'"""
+VIEWS["lineage_marker_all"] = """
+SELECT v.variant_id, v.position, v.alternative_nucleotide, p.p_size % 2 = 0 AS count_presence, CAST(p.p_size AS INT) AS lineage_id
+FROM {variant} v JOIN {part} p ON p.p_partkey = v.variant_id"""
 VIEWS["lineage"] = "SELECT DISTINCT CAST(p_size AS INT) AS id, '4.' || CAST(p_size AS STRING) AS lineage_numbering FROM {part}"
 
 # ------------------------------------------------------------------ laboratory tests

@@ -940,6 +940,33 @@ def _(t):
     return matrix.center_pca(rows, "vec_id", "v", k=1).select("vec_id", F.round("pc1", 5).alias("pc1"))
 
 
+# Six columns made of three: all of a row's centred length, and its product with the first row, lie in three components, which do not correlate.
+
+_SIX = "SELECT vec_id, [x, y, z, x + y, y - z, x + y + z] AS v FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM {embeddings}) e"
+_CENTRED = f"SELECT vec_id, {', '.join(f'v[{i}] - avg(v[{i}]) OVER () AS c{i}' for i in range(1, 7))} FROM ({_SIX}) s"
+
+
+@query(
+    "center_pca_three_factors",
+    f"SELECT a.vec_id, round({' + '.join(f'a.c{i} * a.c{i}' for i in range(1, 7))}, 5) AS squared, round({' + '.join(f'a.c{i} * b.c{i}' for i in range(1, 7))}, 5) AS with_first, 0.0 AS correlated, true AS falling FROM ({_CENTRED}) a, (SELECT * FROM ({_CENTRED}) c ORDER BY vec_id LIMIT 1) b",
+)
+def _(t):
+    x, y, z = (F.col("embedding")[i].cast("double") for i in range(3))
+    found = matrix.center_pca(t.embeddings.select("vec_id", F.array(x, y, z, x + y, y - z, x + y + z).alias("v")), "vec_id", "v", k=4)
+    names = ["pc1", "pc2", "pc3", "pc4"]
+    first = F.min_by(F.struct(*names), "vec_id").alias("first")
+    over_all = found.agg(
+        first, *[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for i, a in enumerate(names) for b in names[i:]]
+    ).first()
+    apart = max(abs(over_all[f"{a}{b}"]) for i, a in enumerate(names) for b in names[i + 1:])
+    lengths = [over_all[f"{a}{a}"] for a in names]
+    squared, with_first = (sum((F.col(n) * other(n) for n in names), F.lit(0.0)) for other in (F.col, lambda n: F.lit(over_all["first"][n])))
+    return found.select(
+        "vec_id", F.round(squared, 5).alias("squared"), F.round(with_first, 5).alias("with_first"),
+        F.round(F.lit(float(apart)), 4).alias("correlated"), F.lit(lengths == sorted(lengths, reverse=True)).alias("falling"),
+    )
+
+
 @query("ml_center_pca")
 def _(t):
     return matrix.center_pca(t.embeddings, "vec_id", "embedding", k=10)

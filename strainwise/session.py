@@ -66,3 +66,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = work_area(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Stages:
+    """Frames written to the shared folder for one run.  What a run has no more use for is dropped, and the rest goes when it ends;
+    so its result must be written elsewhere before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for frame, _ in list(self.held):
+            self.drop(frame)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """As :func:`cut_lineage`."""
+        path = work_area(self.spark, "stage")
+        df.write.parquet(path)
+        frame = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((frame, path))
+        return frame
+
+    def drop(self, frame: DataFrame) -> None:
+        """Remove what ``frame`` reads; frames that other code wrote stay."""
+        for entry in [e for e in self.held if e[0] is frame]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.held.remove(entry)

@@ -101,3 +101,16 @@ def test_texts_are_ordered(frame):
     df = frame([(1, 2, "b"), (1, 1, "c"), (1, 3, "b"), (1, 4, None)], "k int, o int, v string")
     out = df.groupBy("k").agg(text.set_text(F.col("v"), ";"), text.ordered_text(F.col("o"), F.col("v"), ";"))
     assert rows(out) == [(1, "b;c", "c;b;b")]
+
+
+def test_critical_counts_agree_with_the_bound():
+    """From the critical S on, and not before, the upper bound lies below the threshold."""
+    resistant = np.array([0, 1, 2, 3, 10, 57, 1000, 20_000])
+    for threshold in (0.05, 0.1, 0.5, 0.9):
+        least = numeric.critical_susceptible(resistant, threshold)
+        assert (np.diff(least) >= 0).all() and (least >= 1).all()
+        assert (numeric.beta_quantile(0.975, resistant + 1.0, least.astype(float)) < threshold).all()
+        before = np.maximum(least - 1, 1).astype(float)
+        assert ((numeric.beta_quantile(0.975, resistant + 1.0, before) >= threshold) | (least == 1)).all()
+    with pytest.raises(ValueError):
+        numeric.critical_susceptible(resistant, 1.0)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 from conftest import rows
-from strainwise.operators import browser, ingest, matrix, qc, relational as rel, submissions
+from strainwise.operators import browser, ingest, lineage, matrix, qc, relational as rel, submissions
 from strainwise.plans.derived import Inputs
 from strainwise.session import work_area
 from strainwise.sources import sinks, tables
@@ -39,7 +39,44 @@ def test_unsettled_components_are_refused(frame):
     random = np.random.default_rng(4)
     long = frame([(i, j, float(random.normal())) for i in range(30) for j in range(25)], "sample_id int, column int, value double")
     with pytest.raises(ArithmeticError):
-        matrix.subspace_pca(long, long.select("sample_id").distinct(), 2, rounds=3, tolerance=1e-12)
+        matrix.subspace_pca(long, long.select("sample_id").distinct(), 2, passes=1, tolerance=1e-12)
+
+
+def test_close_variances_settle(frame):
+    """A flat spectrum, repeated variances and columns without variance need no gap; fewer directions than asked score zero."""
+    random = np.random.default_rng(6)
+    turned = np.linalg.qr(random.normal(size=(40, 40)))[0]
+    x = np.c_[turned[:, :6] * [5, 5, 5, 1.0000001, 1, 1], np.full(40, 7.0)]
+    entries = frame([(i, j, float(x[i, j])) for i in range(40) for j in range(7)], "sample_id int, column int, value double")
+    centred = x - x.mean(axis=0)
+    found = matrix.subspace_pca(entries, entries.select("sample_id").distinct(), 9).orderBy("sample_id").collect()
+    scores = np.array([r[1:] for r in found])
+    assert np.allclose(scores @ scores.T, centred @ centred.T, atol=1e-6)
+    assert np.allclose(scores[:, 6:], 0)
+    assert np.all(np.diff((scores**2).sum(axis=0)) < 1e-6)
+
+
+def test_components_of_many_columns_leave_no_stages(spark, frame):
+    """More columns than one block spans; what was written on the way is gone."""
+    import os
+
+    random = np.random.default_rng(7)
+    x = random.normal(size=(50, 120)) * np.r_[8, 6, 4, np.full(117, 1.0)]
+    entries = frame([(i, j, float(x[i, j])) for i in range(50) for j in range(120)], "sample_id int, column int, value double")
+    samples = entries.select("sample_id").distinct()
+    matrix.subspace_pca(entries, samples, 2)
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    found = matrix.subspace_pca(entries, samples, 4).orderBy("sample_id").collect()
+    assert len(set(os.listdir(root)) - before) == 1
+    assert np.allclose(np.abs([r[1:] for r in found]), np.abs(numpy_scores(x, 4)), atol=1e-4)
+
+
+def test_nothing_varies(frame):
+    entries = frame([(i, 0, 2.0) for i in range(5)], "sample_id int, column int, value double")
+    samples = entries.select("sample_id")
+    assert {tuple(r[1:]) for r in matrix.subspace_pca(entries, samples, 2).collect()} == {(0.0, 0.0)}
+    assert {tuple(r[1:]) for r in matrix.subspace_pca(entries.limit(0), samples, 2).collect()} == {(0.0, 0.0)}
 
 
 def test_genotype_components_are_those_of_the_dense_matrix(frame):
@@ -59,6 +96,22 @@ def test_genotype_components_are_those_of_the_dense_matrix(frame):
     assert np.allclose(np.abs([[r.pc1, r.pc2] for r in found]), np.abs(expected), atol=1e-3)
 
 
+def test_sparse_rows_stand_for_the_dense_matrix(frame):
+    """Places count positions in order across range partitions; a sample without differences has empty arrays; others' calls stay out."""
+    varying = frame([(i, 1000 - 3 * i, 1 + i % 4, 1 + (i + 1) % 4) for i in range(200)],
+                    "variant_id int, position int, reference_int int, alternative_int int")
+    calls = frame([(1, 0, 0.9), (1, 199, 0.8), (1, 57, 0.9), (2, 100, 0.9), (9, 3, 0.9)], "sample_id int, variant_id int, dp double")
+    samples = frame([(1,), (2,), (3,)], "sample_id int")
+    reference, sparse = matrix.sparse_matrix(calls, varying, samples)
+    row = [(r.place, r.position) for r in reference.orderBy("place").collect()]
+    assert row == list(enumerate(sorted(1000 - 3 * i for i in range(200))))
+    held = {r.sample_id: (r.places, r.codes) for r in sparse.collect()}
+    assert held == {1: ([0, 142, 199], [1 + 200 % 4, 1 + 58 % 4, 2]), 2: ([99], [1 + 101 % 4]), 3: ([], [])}
+    dense = matrix.dense_genotype_calls(calls, varying, samples).orderBy("position").collect()
+    expected = {s: [r.integer for r in dense if r.sample_id == s] for s in (1, 2, 3)}
+    assert {r.sample_id: r.codes for r in matrix.dense_rows(reference, sparse).collect()} == expected
+
+
 def test_strongest_call_wins(frame):
     calls = frame([(1, 1, 0.8), (1, 2, 0.9)], "sample_id int, variant_id int, dp double")
     varying = frame([(1, 5, 1, 2), (2, 5, 1, 3), (3, 6, 4, 1)], "variant_id int, position int, reference_int int, alternative_int int")
@@ -66,6 +119,21 @@ def test_strongest_call_wins(frame):
     assert rows(out) == [(1, 5, 3), (1, 6, 4), (2, 5, 1), (2, 6, 4)]
 
 
+def test_default_and_exceptions_expand_to_all_samples(frame):
+    markers = frame([(1, 10, 7, False), (2, 20, 7, False), (3, 30, 8, True)], "variant_id int, position int, lineage_id int, count_presence boolean")
+    calls = frame(
+        [(1, 1, "bcftools", 25, 100), (1, 3, "bcftools", 40, 100), (2, 2, "bcftools", 100, 100), (5, 1, "other", 1, 1), (8, 1, "bcftools", 1, 2)],
+        "sample_id int, variant_id int, genotyper string, alternative_ad int, total_dp int",
+    )
+    samples = frame([(1,), (2,), (5,)], "sample_id int")
+    defaults, exceptions = lineage.marker_relation(markers, samples, calls)
+    assert rows(defaults) == [(10, 7, 1.0), (20, 7, 1.0)]
+    assert rows(exceptions) == [(1, 10, 7, True, 0.75), (1, 30, 8, False, 0.4), (2, 20, 7, True, 0.0)]
+    assert rows(lineage.expand_defaults(defaults, exceptions, samples)) == [
+        (1, 10, 7, 0.75), (1, 20, 7, 1.0), (1, 30, 8, 0.4), (2, 10, 7, 1.0), (2, 20, 7, 0.0), (5, 10, 7, 1.0), (5, 20, 7, 1.0),
+    ]
+
+
 # ------------------------------------------------------------------ generic
 def test_exclude_intervals_across_bins(frame):
     points = frame([(p,) for p in range(0, 500)], "position int")

@@ -12,7 +12,8 @@ CROSS_SECTION = """
 join_null_equal exclude_intervals pivot_values rank_by_case distinct_on upsert_coalesce write_partitioned_csv incremental_load
 categorise_tests clean_binary_phenotypes clean_cc_phenotypes recategorise_complete_panels normalise_mic_text
 formatted_annotation_per_gene tiered_variant_categories overlap_report stage_annotations variant_catalogue_map
-genotype_extract drug_overview ppv neutral_variants predict_v1 predict_v2 lineage_marker_frequencies dense_genotype_calls
+genotype_extract drug_overview ppv neutral_by_counts critical_steps center_pca_three_factors genotype_matrix_sparse
+lineage_marker_relation neutral_variants predict_v1 predict_v2 lineage_marker_frequencies dense_genotype_calls
 load_mic register_deletions upsert_samples parse_pdst_sheet weighted_median library_files variant_results
 """.split()
 ORACLES = registry.all_oracles()
@@ -40,3 +41,9 @@ def test_entry_runs(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", "gene_label gene_label_locus_tag repeat_intervals snv_sites varying_positions genotype_matrix_sparse genotype_matrix lineage_marker_relation".split())
+def test_no_table_is_paired_with_all_rows(spark, name):
+    plan = registry.all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
