@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strainwise.session import cut_lineage
+from strainwise.session import Stages, cut_lineage
 
 
 def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -15,20 +15,23 @@ def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -
     per node, combined before the shuffle, and one equi join, so a node with very many links is never gathered; the adaptive
     join splits it.  Loops are ignored; no links give no rows.
     """
-    edges = cut_lineage(
-        links.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u <> v").distinct()
-    )
-    state = None
-    while True:
-        edges = cut_lineage(_small_star(_large_star(edges)))
-        # A fixed point is a set of stars: its number of links and the sum over them settle together.
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    with Stages(links.sparkSession) as stages:
+        edges = stages.cut(
+            links.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u <> v").distinct()
+        )
+        state = None
+        while True:
+            step = stages.cut(_small_star(_large_star(edges)))
+            stages.drop(edges)
+            edges = step
+            # A fixed point is a set of stars: its number of links and the sum over them settle together.
+            now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == state:
+                break
+            state = now
+        return cut_lineage(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+            edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        ))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

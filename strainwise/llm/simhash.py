@@ -11,9 +11,8 @@ that share one are at most 2r bits apart.  So stars around the midpoints give ex
 number of rows per fingerprint whatever the size of the neighbourhood.
 
 Texts that share four fifths of their shingles differ in too many of 64 bits for that guarantee.  :func:`similar_documents`
-therefore compares the sets of shingles themselves.  Two sets that alike share a shingle among the first fifth of each, in
-any fixed order, so these are indexed; bounds from places and counts spare comparisons without losing a pair, and every link is verified
-on the whole sets.
+therefore indexes wider fingerprints in the same way: lists by three byte positions jointly, a tally of the bytes that two fingerprints share,
+and a verification of the pairs that reach the least tally, here by the sets of shingles themselves.
 """
 
 from __future__ import annotations
@@ -30,15 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strainwise.llm.components import connected_components
-from strainwise.session import cut_lineage
+from strainwise.session import Stages, cut_lineage
 
 SEED = 42
 #: Least similarity of sets of shingles, as a fraction.
 OVER, UNDER = 4, 5
-#: Shingles of each text that meet first; most similar pairs share one of them, the others meet by the rest.
-EARLY = 8
-#: Longs that hold the counts of a set's shingles by range of hash, a byte each.
-COUNTS = 8
+#: Longs of a wide fingerprint, lists in which each stands, and equal bytes that make a candidate.  Sets of similarity 0.8 share 17 of 64
+#: bytes on average, unrelated ones a quarter of a byte.
+WIDE = 8
+TRIPLES = 192
+LEAST = 8
+_MIXES = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WIDE)], np.uint64)
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -183,144 +184,158 @@ def near_duplicates(
     return prints.join(of_print, "fp").select("key", "fp", "component")
 
 
-def _counts(hashes: np.ndarray) -> list[int]:
-    """Hashes by their highest six bits, 255 at most."""
-    found = np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=8 * COUNTS)
-    return np.minimum(found, 255).astype(np.uint8).view(np.int64).tolist()
+def _wide_print(hashes: np.ndarray) -> np.ndarray:
+    """``WIDE`` longs whose bits are those that most of the distinct hashes set, each long after another mixing of the hashes."""
+    sums = np.zeros(64 * WIDE, np.int64)
+    for begin in range(0, len(hashes), 1 << 13):
+        mixed = hashes[begin:begin + (1 << 13), None] * _MIXES[None, :]
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        sums += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * sums > len(hashes)).view(np.int64)
 
 
-def shingle_sets(text: Column, words: int = 5) -> Column:
-    """(id, shingles, counts) of every text: 128 bits that stand for the set, its hashes in order, and how many fall into each range."""
+def wide_prints(text: Column, words: int = 5) -> Column:
+    """(id, n, print) of every text: 128 bits that stand for its set of shingles, the size of the set, and its wide fingerprint."""
 
-    @F.arrow_udf("struct<id: binary, shingles: array<bigint>, counts: array<bigint>>")
+    @F.arrow_udf("struct<id: binary, n: int, print: array<bigint>>")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), words) for t in batch]
             ids = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-            shingles = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            counts = pa.array([_counts(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.StructArray.from_arrays([ids, shingles, counts], ["id", "shingles", "counts"])
+            prints = pa.array([_wide_print(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.StructArray.from_arrays([ids, pa.array(map(len, sets), pa.int32()), prints], ["id", "n", "print"])
 
     return compute(text)
 
 
-def _may_be_similar() -> Column:
-    """False only for pairs below the threshold, from what both sides carry.
-
-    No more shingles are shared than stand up to the common one in either set, and after it; and the counts differ by no more than
-    the sets do.  Similar sets share ``OVER / (OVER + UNDER)`` of the sum of their sizes.
-    """
-    both = F.col("src.n") + F.col("dst.n")
-    shared = F.least("src.at", "dst.at") + F.least(F.col("src.n") - F.col("src.at"), F.col("dst.n") - F.col("dst.at"))
-    apart = sum(
-        (
-            F.abs(byte_at(F.col("src.counts")[i], p) - byte_at(F.col("dst.counts")[i], p))
-            for i in range(COUNTS) for p in range(8)
-        ),
-        F.lit(0),
-    )
-    return ((OVER + UNDER) * shared >= OVER * both) & ((OVER + UNDER) * apart <= (UNDER - OVER) * both)
+def shingle_sets(text: Column, words: int = 5) -> Column:
+    """The distinct hashes of every text's shingles, in order."""
 
+    @F.arrow_udf("array<bigint>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([shingle_set(t.as_py(), words).view(np.int64) for t in batch], pa.list_(pa.int64()))
 
-def _side(met: DataFrame, name: str) -> DataFrame:
-    return met.select(F.col("list").alias(f"{name}_list"), F.struct("num", "at", "n", "counts", "component").alias(name))
+    return compute(text)
 
 
-def _meetings(left: DataFrame, right: DataFrame, allowed: Column) -> DataFrame:
-    """(src, dst): numbers of the pairs that share a list and may be similar."""
-    met = left.join(right, (F.col("src_list") == F.col("dst_list")) & allowed & _may_be_similar())
-    return met.select(F.least("src.num", "dst.num").alias("src"), F.greatest("src.num", "dst.num").alias("dst"))
+def wide_triples() -> list[tuple[int, int, int]]:
+    """Triples of byte positions of the wide fingerprint, ``TRIPLES`` of them, in which every position stands equally often."""
+    rng = np.random.default_rng(SEED)
+    rounds = 3 * TRIPLES // (8 * WIDE)
+    return [tuple(t) for t in np.concatenate([rng.permutation(8 * WIDE) for _ in range(rounds)]).reshape(-1, 3).tolist()]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar, each once."""
-    pairs = cut_lineage(pairs.distinct())
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("num")).distinct().join(docs.select("num", "id"), "num")
-    # Texts with equal sets stand for each other.
-    found = cut_lineage(sets.select("id", "shingles").join(wanted, "id").dropDuplicates(["num"]).select("num", "shingles"))
+def _wide_postings(docs: DataFrame) -> DataFrame:
+    """(list, num): the lists in which each document stands, by what its fingerprint holds at three positions jointly."""
+    keys = [
+        reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(byte_at(F.col("print")[p // 8], p % 8)), triple, F.lit(number).cast("long"))
+        for number, triple in enumerate(wide_triples())
+    ]
+    return docs.select(F.explode(F.array(*keys)).alias("list"), "num")
+
+
+def _shared_bytes(a: Column, b: Column) -> Column:
+    """The tally: positions at which both fingerprints hold the same byte."""
+    differing = []
+    for x in (a[i].bitwiseXOR(b[i]) for i in range(WIDE)):
+        # The lowest bit of every byte becomes one if any of its bits is.
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
+        differing.append(F.bit_count(x))
+    return F.lit(8 * WIDE) - reduce(lambda x, y: x + y, differing)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, bodies: DataFrame, words: int, stages: Stages) -> DataFrame:
+    """(src, dst) of the pairs whose sets of shingles are similar; sets are made for the documents of pairs only."""
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("num")).distinct().join(docs.select("num", "of"), "num")
+    held = bodies.join(wanted, (bodies["version"] == F.col("of.version")) & bodies["key"].eqNullSafe(F.col("of.key")))
+    # Equal rows of the input hold the same text.
+    found = stages.cut(held.dropDuplicates(["num"]).select("num", shingle_sets(F.col("body"), words).alias("shingles")))
     one = found.select(F.col("num").alias("src"), F.col("shingles").alias("a"))
     two = found.select(F.col("num").alias("dst"), F.col("shingles").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
-    return cut_lineage(
-        pairs.join(one, "src").join(two, "dst")
-        .filter((OVER + UNDER) * shared >= OVER * (F.size("a") + F.size("b"))).select("src", "dst")
-    )
+    similar = (OVER + UNDER) * shared >= OVER * (F.size("a") + F.size("b"))
+    links = stages.cut(pairs.join(one, "src").join(two, "dst").filter(similar).select("src", "dst"))
+    stages.drop(found)
+    return links
 
 
-def link_sets(docs: DataFrame, sets: DataFrame, longest_list: int) -> DataFrame:
-    """(node, component) over ``num`` of the distinct sets ``docs`` (num, id, n, first shingles, counts), as all similar pairs link them.
+def link_documents(docs: DataFrame, bodies: DataFrame, words: int, least: int, stages: Stages) -> DataFrame:
+    """(node, component) over ``num`` of the documents of distinct sets (num, of, n, print) that similar candidates chain together.
 
-    First the earliest shingles: their lists are paired up to ``longest_list``, in longer ones every set meets a few leaders.
-    Then all the first shingles, where only sets of different components so far are compared, in lists of any length.
+    Documents that share a list of the index, and at least ``least`` bytes at equal positions, are candidates.  In every list
+    all documents meet the list's first one, and of a document's candidates the one with most shared bytes is verified first; so a
+    crowd of near copies falls together with one verification each.  Then every list is asked for candidates in different components so
+    far, and all of these are verified.  What is skipped is what is linked already.
     """
-    carried = docs.select("num", "n", "counts")
-    index = docs.select("num", F.posexplode(F.slice("first", 1, EARLY)).alias("at", "list")).withColumn("at", F.col("at") + 1)
-    sizes = index.groupBy("list").agg(F.count("*").alias("many")).filter("many > 1")
-    met = cut_lineage(index.join(sizes, "list").join(carried, "num").withColumn("component", F.col("num")))
-    short, crowd = met.filter(F.col("many") <= longest_list), met.filter(F.col("many") > longest_list)
-    leaders = crowd.groupBy("list", F.pmod(F.xxhash64("num"), F.lit(4)).alias("slot")).agg(
-        F.min(F.struct("num", "at", "n", "counts", "component")).alias("src")
-    ).select(F.col("list").alias("src_list"), "src")
-    ordered = F.col("src.num") < F.col("dst.num")
-    pairs = _meetings(_side(short, "src"), _side(short, "dst"), ordered)
-    led = _meetings(leaders, _side(crowd, "dst"), F.col("src.num") != F.col("dst.num"))
-    found = _verified(pairs.union(led), docs, sets)
-    so_far = cut_lineage(connected_components(found).withColumnRenamed("node", "num"))
-
-    whole = (
-        docs.select("num", "first").join(so_far, "num", "left")
-        .select("num", F.coalesce("component", "num").alias("component"), F.posexplode("first").alias("at", "list"))
-        .withColumn("at", F.col("at") + 1)
+    prints = docs.select("num", "print")
+    index = _wide_postings(docs)
+    company = index.groupBy("list").agg(F.min("num").alias("lead"), F.count("*").alias("many")).filter("many > 1")
+    met = stages.cut(index.join(company.select("list", "lead"), "list"))
+    src, dst = (prints.select(F.col("num").alias(n), F.col("print").alias(f"{n}_print")) for n in ("src", "dst"))
+    stars = met.filter("num <> lead").select(F.col("lead").alias("src"), F.col("num").alias("dst")).distinct()
+    tally = _shared_bytes(F.col("src_print"), F.col("dst_print"))
+    tallied = stages.cut(
+        stars.join(src, "src").join(dst, "dst").select("src", "dst", tally.alias("tally")).filter(F.col("tally") >= least)
+    )
+    nearest = tallied.groupBy("dst").agg(F.max(F.struct("tally", "src")).alias("best")).select(F.col("best.src").alias("src"), "dst")
+    first = _verified(stages.cut(nearest), docs, bodies, words, stages)
+
+    so_far = stages.cut(connected_components(first)).withColumnRenamed("node", "num")
+    placed = met.join(so_far, "num", "left").withColumn("component", F.coalesce("component", "num"))
+    mixed = placed.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
+    open_ = stages.cut(placed.join(mixed, "list").join(prints, "num").select("list", "num", "component", "print"))
+    # Of two documents of different components, one is outside the list's largest.
+    sizes = open_.groupBy("list", "component").agg(F.count("*").alias("many"))
+    largest = sizes.groupBy("list").agg(F.max(F.struct("many", "component"))["component"].alias("largest"))
+    outside = open_.join(largest, "list").filter("component <> largest").drop("largest")
+    one, two = (
+        side.select(F.col("list").alias(f"{n}_list"), *[F.col(c).alias(f"{n}_{c}") for c in ("num", "component", "print")])
+        for side, n in ((outside, "src"), (open_, "dst"))
+    )
+    apart = one.join(
+        two, (F.col("src_list") == F.col("dst_list")) & (F.col("src_component") != F.col("dst_component")) & (tally >= least)
     )
-    mixed = whole.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
-    open_ = cut_lineage(whole.join(mixed, "list").join(carried, "num"))
-    # Of two sets of different components, one is outside the list's largest.
-    largest = (
-        open_.groupBy("list", "component").agg(F.count("*").alias("many"))
-        .groupBy("list").agg(F.max(F.struct("many", "component"))["component"].alias("largest"))
+    bridges = stages.cut(
+        apart.select(F.least("src_num", "dst_num").alias("src"), F.greatest("src_num", "dst_num").alias("dst")).distinct()
+        .join(nearest, ["src", "dst"], "left_anti")
     )
-    outside = open_.join(largest, "list").filter("component <> largest")
-    bridges = _meetings(_side(outside, "src"), _side(open_, "dst"), F.col("src.component") != F.col("dst.component"))
-    return connected_components(found.union(_verified(bridges, docs, sets)))
+    second = _verified(bridges, docs, bodies, words, stages)
+    return connected_components(first.union(second))
 
 
-def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, longest_list: int = 64) -> DataFrame:
-    """(key, version, component): documents in one component are chained by pairs whose sets of shingles of ``words`` words have a
-    Jaccard similarity of four fifths or more; all such pairs count and no others.
+def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, least: int = LEAST) -> DataFrame:
+    """(key, version, component): documents in one component are chained by candidate pairs whose sets of shingles of ``words``
+    words have a Jaccard similarity of four fifths or more; no other pairs count.
 
-    ``version`` is a hash of the text; ``component`` is the smallest (key, version) reachable.  Texts without words are equal to
-    each other.  ``longest_list`` bounds work, not what is found.
+    ``version`` is a hash of the text; ``component`` is the smallest (key, version) reachable.  Equal sets are always together, and so are texts
+    without words.  Candidates are found by fingerprints, so a similar pair may be missed; see README for the measured recall.
     """
     body = F.col(f"`{text}`")
-    sets = cut_lineage(
-        df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), shingle_sets(body, words).alias("s"))
-        .select("key", "version", "s.id", "s.shingles", "s.counts")
-    )
-    n = F.size("shingles")
-    first = F.slice("shingles", F.lit(1), n - F.ceil(OVER * n / UNDER).cast("int") + 1)
-    distinct = cut_lineage(
-        sets.select("id", "key", "version", n.alias("n"), first.alias("first"), "counts")
-        .groupBy("id").agg(
-            F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("first").alias("first"),
-            F.first("counts").alias("counts"),
+    bodies = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
+    with Stages(df.sparkSession) as stages:
+        sets = stages.cut(bodies.select("key", "version", wide_prints(F.col("body"), words).alias("s")).select("key", "version", "s.*"))
+        distinct = stages.cut(
+            sets.groupBy("id").agg(
+                F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("print").alias("print")
+            ).withColumn("num", F.monotonically_increasing_id())
         )
-        .withColumn("num", F.monotonically_increasing_id())
-    )
-    named = link_sets(distinct, sets, longest_list)
-    whole = (
-        distinct.select("id", "num", "of").join(named.withColumnRenamed("node", "num"), "num", "left")
-        .withColumn("component", F.coalesce("component", "num"))
-    )
-    lowest = whole.groupBy("component").agg(F.min("of").alias("lowest"))
-    of_set = whole.join(lowest, "component").select("id", F.col("lowest").alias("component"))
-    return sets.select("key", "version", "id").join(of_set, "id").select("key", "version", "component")
+        named = stages.cut(link_documents(distinct.filter("n > 0"), bodies, words, least, stages))
+        whole = (
+            distinct.select("id", "num", "of").join(named.withColumnRenamed("node", "num"), "num", "left")
+            .withColumn("component", F.coalesce("component", "num"))
+        )
+        lowest = whole.groupBy("component").agg(F.min("of").alias("lowest"))
+        of_set = whole.join(lowest, "component").select("id", F.col("lowest").alias("component"))
+        return cut_lineage(sets.select("key", "version", "id").join(of_set, "id").select("key", "version", "component"))
 
 
 def keep_one_of_each(df: DataFrame, key: str, text: str, **settings) -> DataFrame:
     """One row of every component of :func:`similar_documents`: the first by key, then by text version; equal rows count as one."""
-    found = cut_lineage(similar_documents(df, key, text, **settings))
+    found = similar_documents(df, key, text, **settings)
     first = found.filter(F.struct("key", "version") == F.col("component"))
     repeated = first.count() > first.distinct().count()
     chosen = first.select(F.col("key").alias("__key"), F.col("version").alias("__version")).distinct()
