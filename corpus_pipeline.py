@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strainwise.llm import bpe, line_dedup, mixing, queries, simhash, toxicity
-from strainwise.session import cut_lineage
+from strainwise.session import Stages, cut_lineage
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -62,9 +62,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``.  What a stage has written goes when the next one has been; the last one reads what stays."""
     docs = queries.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if (name, stage) != STAGES[-1]:
-            docs = cut_lineage(docs)
-    return docs
+    with Stages(spark) as stages:
+        for name, stage in STAGES[:-1]:
+            done = stage(spark, docs, sf_dir)
+            kept = cut_lineage(done) if name == STAGES[-2][0] else stages.cut(done)
+            stages.drop(docs)
+            docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
