@@ -230,11 +230,18 @@ def wide_triples() -> list[tuple[int, int, int]]:
 
 def _wide_postings(docs: DataFrame) -> DataFrame:
     """(list, num): the lists in which each document stands, by what its fingerprint holds at three positions jointly."""
-    keys = [
-        reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(byte_at(F.col("print")[p // 8], p % 8)), triple, F.lit(number).cast("long"))
-        for number, triple in enumerate(wide_triples())
-    ]
-    return docs.select(F.explode(F.array(*keys)).alias("list"), "num")
+    triples = np.array(wide_triples())
+
+    @F.arrow_udf("array<bigint>")
+    def lists(prints: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in prints:
+            held = batch.flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), 8 * WIDE).astype(np.int64)
+            keys = np.arange(len(triples)) << 24
+            for shift, places in zip((16, 8, 0), triples.T):
+                keys = keys | (held[:, places] << shift)
+            yield pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(triples), dtype=np.int32), pa.array(keys.ravel()))
+
+    return docs.select(lists("print").alias("lists"), "num").select(F.explode("lists").alias("list"), "num")
 
 
 def _shared_bytes(a: Column, b: Column) -> Column:
