@@ -3,10 +3,9 @@
 A line of length l is cut into ``edits + 1`` even segments, which are indexed under (l, number of the segment, segment).  If two
 lines are within ``edits`` edits, one segment of the shorter survives in the longer, shifted by at most what the edits before and
 after it allow; so every line probes the index with exactly those substrings, for every length it may meet.  What meets is
-verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply.  Pairs from lists of up to
-``CROWD`` lines are collected, and their texts fetched.  Longer lists (many lines with a common third) are joined with their
-texts at hand, and only pairs that pass the verification leave the join; counts of letters, of which an edit
-changes two by one at most, spare most comparisons.
+verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply, and with each line the
+counts of some letters, of which an edit changes two by one at most.  Long lists (many lines with a common third) are
+compared by these counts inside the join, so pairs that cannot be near never leave it; texts are fetched for the rest.
 
 Equal lines of any length are found by an aggregation over their hashes; only the join over edits asks for a length.
 
@@ -21,13 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainwise.llm.components import connected_components
-from strainwise.session import cut_lineage
+from strainwise.session import Stages, cut_lineage
 
 KEYED = ["key", "version"]
-#: Longest list whose pairs are collected before they are verified.
-CROWD = 64
-#: Letters that are counted to spare comparisons; frequent ones tell most, any would be right.
-COUNTED = "etanisorldu"
+#: Letters that are counted to spare comparisons; frequent ones tell most, any eight would be right.
+COUNTED = "etanisor"
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -65,20 +62,24 @@ def _entry(line: Column, length: Column, segment: int, edits: int, shift: int) -
     return F.xxhash64(length, F.lit(segment), F.substring(line, start + shift, size))
 
 
-def index_entries(line: Column, chars: Column, edits: int) -> list[Column]:
-    return [_entry(line, chars, i, edits, 0) for i in range(1, edits + 2)]
-
-
-def probe_entries(line: Column, chars: Column, edits: int) -> list[Column]:
-    """The substrings that can equal a segment of a line that is ``gap`` shorter: the shift is bounded by the edits to the left
-    of the segment and, seen from the end of the line, by those to its right."""
-    entries = []
+def _probes(edits: int) -> list[tuple[int, int, int]]:
+    """(gap, segment, shift) of all substrings that can equal a segment of a line that is ``gap`` shorter: the shift is bounded by
+    the edits to the left of the segment and, seen from the end of the line, by those to its right."""
+    found = []
     for gap in range(edits + 1):
         for i in range(1, edits + 2):
             left, right = i - 1, edits + 1 - i
-            for shift in range(max(-left, gap - right), min(left, gap + right) + 1):
-                entries.append(_entry(line, chars - gap, i, edits, shift))
-    return entries
+            found += [(gap, i, shift) for shift in range(max(-left, gap - right), min(left, gap + right) + 1)]
+    return found
+
+
+def probe_entries(line: Column, chars: Column, edits: int) -> list[Column]:
+    return [_entry(line, chars - gap, i, edits, shift) for gap, i, shift in _probes(edits)]
+
+
+def unshifted(edits: int) -> list[int]:
+    """Numbers of the probes that are the line's own segments: its entries in the index."""
+    return [n for n, (gap, _, shift) in enumerate(_probes(edits)) if gap == 0 and shift == 0]
 
 
 def edit_distance_within(one: Column, other: Column, edits: int) -> Column:
@@ -184,66 +185,73 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), start, step)["distance"] <= edits
 
 
-def _listed(lines: DataFrame, entries: list[Column]) -> DataFrame:
-    """(entry, id): the lists in which each distinct line stands.  Lines are made distinct first, with their entries as plain
-    numbers, so copies are combined before the shuffle."""
-    named = [e.alias(f"e{i}") for i, e in enumerate(entries)]
-    distinct = lines.select("id", "check", *named).groupBy("id", "check").agg(
-        *[F.min(f"e{i}").alias(f"e{i}") for i in range(len(entries))]
-    )
-    return distinct.select(F.explode(F.array(*[f"e{i}" for i in range(len(entries))])).alias("entry"), "id")
+def _letters(line: Column) -> Column:
+    """How often the counted letters stand in the line, a byte each (255 at most), as one long."""
+    counts = [F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255)).cast("long") for c in COUNTED]
+    return reduce(lambda acc, n: F.shiftleft(acc, 8).bitwiseOR(n), counts)
 
 
-def _letters(line: Column) -> Column:
-    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED])
+def _letters_apart(a: Column, b: Column) -> Column:
+    """Sum of the differences of the counts."""
+    parts = [
+        F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
+        for i in range(len(COUNTED))
+    ]
+    return reduce(lambda x, y: x + y, parts)
+
+
+def spread_lines(df: DataFrame, key: str, text: str, edits: int, min_chars: int, stages: Stages) -> DataFrame:
+    """All lines with what the join needs of them (``letters``, ``p0``, ``p1`` ...: probes, null for short lines); texts are split once."""
+    lines = _lines(df, key, text, min_chars)
+    line, chars = F.col("line"), F.col("chars")
+    long = chars >= min_chars
+    probes = [F.when(long, p).alias(f"p{i}") for i, p in enumerate(probe_entries(line, chars, edits))]
+    return stages.cut(lines.select("key", "version", "line_no", "id", "check", F.when(long, _letters(line)).alias("letters"), *probes))
 
 
-def near_links(df: DataFrame, key: str, text: str, lines: DataFrame, keys: DataFrame, edits: int) -> DataFrame:
+def near_links(df: DataFrame, key: str, text: str, spread: DataFrame, edits: int, stages: Stages) -> DataFrame:
     """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once.
 
-    The index holds hashes only.  Texts are fetched for the lines of candidate pairs and of crowded lists, from the documents
-    that hold their first occurrence.
+    Index and lists hold hashes and letter counts only.  An edit changes the counts by two at most, so the join on lists lets through only
+    pairs that may be near.  Their texts are fetched from the documents that hold the first occurrences, and decide.
     """
-    line, chars = F.col("line"), F.col("chars")
-    index, probe = _listed(lines, index_entries(line, chars, edits)), _listed(lines, probe_entries(line, chars, edits))
-    crowded = cut_lineage(index.groupBy("entry").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("entry"))
-    one, other = index.withColumnRenamed("id", "one"), probe.withColumnRenamed("id", "other")
-    pairs = cut_lineage(
-        one.join(crowded, "entry", "left_anti").join(other, "entry").filter("one <> other")
-        .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
+    names = [c for c in spread.columns if c.startswith("p") and c[1:].isdigit()]
+    # Copies are combined before the shuffle, so the lists hold distinct lines.
+    distinct = stages.cut(
+        spread.filter("p0 IS NOT NULL").groupBy("id", "check").agg(F.min("letters").alias("letters"), *[F.min(n).alias(n) for n in names])
     )
-    members = cut_lineage(
-        index.join(crowded, "entry").withColumn("indexed", F.lit(True))
-        .union(probe.join(crowded, "entry").withColumn("indexed", F.lit(False)))
+    # The index holds the probes of the own length without a shift.
+    own = [names[i] for i in unshifted(edits)]
+    one, other = (
+        distinct.select(F.explode(F.array(*chosen)).alias(f"{side}_entry"), F.col("id").alias(side), F.col("letters").alias(f"{side}_letters"))
+        for side, chosen in (("one", own), ("other", names))
     )
-    ids = pairs.select(F.explode(F.array("one", "other")).alias("id")).union(members.select("id")).distinct()
-    first = keys.groupBy("id", "check").agg(F.min(_place()).alias("place"))
-    wanted = first.join(ids, "id").select("id", "place")
+    near = _letters_apart(F.col("one_letters"), F.col("other_letters")) <= 2 * edits
+    pairs = stages.cut(
+        one.join(other, (F.col("one_entry") == F.col("other_entry")) & (F.col("one") != F.col("other")) & near)
+        .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
+    )
+    stages.drop(distinct)
+    ids = pairs.select(F.explode(F.array("one", "other")).alias("id")).distinct()
+    wanted = spread.select("id", *KEYED, "line_no").join(ids, "id").groupBy("id").agg(F.min(_place()).alias("place"))
     body = F.col(f"`{text}`")
     docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
-    texts = cut_lineage(
+    texts = stages.cut(
         docs.join(wanted, (docs["version"] == F.col("place.version")) & docs["key"].eqNullSafe(F.col("place.key")))
         .select("id", "place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
         .dropDuplicates(["id", "place"])  # equal rows of the input hold the same line
     )
     left = texts.select(F.col("id").alias("one"), F.col("place").alias("src"), F.col("line").alias("left_line"))
     right = texts.select(F.col("id").alias("other"), F.col("place").alias("dst"), F.col("line").alias("right_line"))
-    near = F.abs(F.length("left_line") - F.length("right_line")) <= edits
-    verified = edit_distance_within(F.col("left_line"), F.col("right_line"), edits)
-    ordinary = pairs.join(left, "one").join(right, "other").filter(near).filter(verified).select("src", "dst")
-
-    counted = members.filter("indexed").join(left.withColumn("a", _letters(F.col("left_line"))), F.col("id") == F.col("one"))
-    probing = members.filter("NOT indexed").join(right.withColumn("b", _letters(F.col("right_line"))), F.col("id") == F.col("other"))
-    apart = F.aggregate(F.zip_with("a", "b", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d)
-    crowds = (
-        counted.select("entry", "one", "src", "left_line", "a").join(probing.select(F.col("entry").alias("e"), "other", "dst", "right_line", "b"), (
-            (F.col("entry") == F.col("e")) & (F.col("one") != F.col("other")) & near & (apart <= 2 * edits) & verified
-        ))
-    )
-    return (
-        ordinary.union(crowds.select("src", "dst"))
+    even = F.abs(F.length("left_line") - F.length("right_line")) <= edits
+    links = stages.cut(
+        pairs.join(left, "one").join(right, "other")
+        .filter(even).filter(edit_distance_within(F.col("left_line"), F.col("right_line"), edits))
         .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
     )
+    stages.drop(pairs)
+    stages.drop(texts)
+    return links
 
 
 def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars: int = 32) -> DataFrame:
@@ -256,22 +264,23 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
     """
     if min_chars <= edits + 1:
         raise ValueError("lines must be longer than the number of segments")
-    lines = _lines(df, key, text, min_chars)
-    keys = cut_lineage(lines.select("key", "version", "line_no", "id", "check"))
-    links = cut_lineage(near_links(df, key, text, lines.filter(F.col("chars") >= min_chars), keys, edits))
-    degree = (
-        links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
-    )
-    named = connected_components(links).withColumnRenamed("node", "first").join(degree, "first")
-    # Equal rows of the input are one document: their lines count once.
-    counted = keys.groupBy("id", "check").agg(
-        F.min(_place()).alias("first"), F.max(_place()).alias("last")
-    )
-    company = (
-        counted.join(named, "first", "left").filter("first <> last OR component IS NOT NULL")
-        .select("id", "check", F.coalesce("component", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
-    return keys.join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
+    with Stages(df.sparkSession) as stages:
+        spread = spread_lines(df, key, text, edits, min_chars, stages)
+        links = near_links(df, key, text, spread, edits, stages)
+        degree = (
+            links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
+        )
+        named = connected_components(links).withColumnRenamed("node", "first").join(degree, "first")
+        keys = spread.select("key", "version", "line_no", "id", "check")
+        # Equal rows of the input are one document: their lines count once.
+        counted = keys.groupBy("id", "check").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
+        company = (
+            counted.join(named, "first", "left").filter("first <> last OR component IS NOT NULL")
+            .select("id", "check", F.coalesce("component", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        )
+        return cut_lineage(
+            keys.join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
+        )
 
 
 def dropped_lines(classes: DataFrame) -> DataFrame:
