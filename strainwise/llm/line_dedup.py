@@ -3,9 +3,9 @@
 A line of length l is cut into ``edits + 1`` even segments, which are indexed under (l, number of the segment, segment).  If two
 lines are within ``edits`` edits, one segment of the shorter survives in the longer, shifted by at most what the edits before and
 after it allow; so every line probes the index with exactly those substrings, for every length it may meet.  What meets is
-verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply, and with each line the
-counts of some letters, of which an edit changes two by one at most.  Long lists (many lines with a common third) are
-compared by these counts inside the join, so pairs that cannot be near never leave it; texts are fetched for the rest.
+verified by a banded, bit-parallel edit distance.  The lists hold distinct lines, so copies never multiply.  Lines that have company in
+a list are joined with their texts at hand, and only pairs that pass the verification leave the join; counts of letters, of which an
+edit changes two by one at most, spare most comparisons of lists of many lines with a common third.
 
 Equal lines of any length are found by an aggregation over their hashes; only the join over edits asks for a length.
 
@@ -23,8 +23,8 @@ from strainwise.llm.components import connected_components
 from strainwise.session import Stages, cut_lineage
 
 KEYED = ["key", "version"]
-#: Letters that are counted to spare comparisons; frequent ones tell most, any eight would be right.
-COUNTED = "etanisor"
+#: Letters that are counted to spare comparisons, eight to a long; frequent ones tell most, any would be right.
+COUNTED = "etanisorldugchmp"
 
 
 def _lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -185,71 +185,78 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), start, step)["distance"] <= edits
 
 
-def _letters(line: Column) -> Column:
-    """How often the counted letters stand in the line, a byte each (255 at most), as one long."""
+def _letters(line: Column) -> list[Column]:
+    """How often the counted letters stand in the line, a byte each (255 at most), eight to a long."""
     counts = [F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255)).cast("long") for c in COUNTED]
-    return reduce(lambda acc, n: F.shiftleft(acc, 8).bitwiseOR(n), counts)
+    return [reduce(lambda acc, n: F.shiftleft(acc, 8).bitwiseOR(n), counts[i:i + 8]) for i in range(0, len(counts), 8)]
 
 
-def _letters_apart(a: Column, b: Column) -> Column:
+def _letters_apart(one: str, other: str) -> Column:
     """Sum of the differences of the counts."""
+
+    def count(side: str, part: int, place: int) -> Column:
+        return F.shiftrightunsigned(f"{side}{part}", 8 * place).bitwiseAND(F.lit(255))
+
     parts = [
-        F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
-        for i in range(len(COUNTED))
+        F.abs(count(one, part, i) - count(other, part, i)) for part in range(len(COUNTED) // 8) for i in range(8)
     ]
     return reduce(lambda x, y: x + y, parts)
 
 
 def spread_lines(df: DataFrame, key: str, text: str, edits: int, min_chars: int, stages: Stages) -> DataFrame:
-    """All lines with what the join needs of them (``letters``, ``p0``, ``p1`` ...: probes, null for short lines); texts are split once."""
+    """All lines with their probes ``p0``, ``p1`` ... (null for short lines); texts are split, and probes worked out, once."""
     lines = _lines(df, key, text, min_chars)
     line, chars = F.col("line"), F.col("chars")
-    long = chars >= min_chars
-    probes = [F.when(long, p).alias(f"p{i}") for i, p in enumerate(probe_entries(line, chars, edits))]
-    return stages.cut(lines.select("key", "version", "line_no", "id", "check", F.when(long, _letters(line)).alias("letters"), *probes))
+    probes = [F.when(chars >= min_chars, p).alias(f"p{i}") for i, p in enumerate(probe_entries(line, chars, edits))]
+    return stages.cut(lines.select("key", "version", "line_no", "id", "check", *probes))
 
 
 def near_links(df: DataFrame, key: str, text: str, spread: DataFrame, edits: int, stages: Stages) -> DataFrame:
     """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once.
 
-    Index and lists hold hashes and letter counts only.  An edit changes the counts by two at most, so the join on lists lets through only
-    pairs that may be near.  Their texts are fetched from the documents that hold the first occurrences, and decide.
+    The index holds hashes only.  Most lines are alone in all their lists; the texts of the others are fetched from the documents that
+    hold their first occurrences, and whoever leaves the join of the lists is verified, whatever the length of a list.
     """
     names = [c for c in spread.columns if c.startswith("p") and c[1:].isdigit()]
     # Copies are combined before the shuffle, so the lists hold distinct lines.
-    distinct = stages.cut(
-        spread.filter("p0 IS NOT NULL").groupBy("id", "check").agg(F.min("letters").alias("letters"), *[F.min(n).alias(n) for n in names])
-    )
-    # The index holds the probes of the own length without a shift.
-    own = [names[i] for i in unshifted(edits)]
-    one, other = (
-        distinct.select(F.explode(F.array(*chosen)).alias(f"{side}_entry"), F.col("id").alias(side), F.col("letters").alias(f"{side}_letters"))
-        for side, chosen in (("one", own), ("other", names))
-    )
-    near = _letters_apart(F.col("one_letters"), F.col("other_letters")) <= 2 * edits
-    pairs = stages.cut(
-        one.join(other, (F.col("one_entry") == F.col("other_entry")) & (F.col("one") != F.col("other")) & near)
-        .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
-    )
+    distinct = stages.cut(spread.filter("p0 IS NOT NULL").groupBy("id", "check").agg(*[F.min(n).alias(n) for n in names]))
+    # The probes of the own length without a shift are a line's entries in the index.
+    own = set(unshifted(edits))
+    entry = F.explode(F.array(*[F.struct(F.col(n).alias("entry"), F.lit(i in own).alias("indexed")) for i, n in enumerate(names)]))
+    entries = distinct.select(entry.alias("e"), "id").select("e.entry", "e.indexed", "id")
+    company = entries.groupBy("entry").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.col("indexed").cast("int")).alias("held")
+    ).filter("low < high AND held = 1")
+    members = stages.cut(entries.join(company.select("entry"), "entry"))
     stages.drop(distinct)
-    ids = pairs.select(F.explode(F.array("one", "other")).alias("id")).distinct()
+    ids = members.select("id").distinct()
     wanted = spread.select("id", *KEYED, "line_no").join(ids, "id").groupBy("id").agg(F.min(_place()).alias("place"))
     body = F.col(f"`{text}`")
     docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
-    texts = stages.cut(
+    texts = (
         docs.join(wanted, (docs["version"] == F.col("place.version")) & docs["key"].eqNullSafe(F.col("place.key")))
         .select("id", "place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
         .dropDuplicates(["id", "place"])  # equal rows of the input hold the same line
     )
-    left = texts.select(F.col("id").alias("one"), F.col("place").alias("src"), F.col("line").alias("left_line"))
-    right = texts.select(F.col("id").alias("other"), F.col("place").alias("dst"), F.col("line").alias("right_line"))
-    even = F.abs(F.length("left_line") - F.length("right_line")) <= edits
+    counts = [c.alias(f"letters{i}") for i, c in enumerate(_letters(F.col("line")))]
+    texts = stages.cut(texts.select("id", "place", "line", F.length("line").alias("chars"), *counts))
+    told = members.join(texts, "id")
+
+    def side(name: str, rows: DataFrame) -> DataFrame:
+        return rows.drop("indexed").select([F.col(c).alias(f"{name}_{c}") for c in rows.drop("indexed").columns])
+
+    # The index side is the shorter line; of equally long ones, each pair is met once.
+    ordered = (F.col("one_chars") < F.col("other_chars")) | (
+        (F.col("one_chars") == F.col("other_chars")) & (F.col("one_id") < F.col("other_id"))
+    )
+    near = (F.col("other_chars") - F.col("one_chars") <= edits) & (_letters_apart("one_letters", "other_letters") <= 2 * edits)
     links = stages.cut(
-        pairs.join(left, "one").join(right, "other")
-        .filter(even).filter(edit_distance_within(F.col("left_line"), F.col("right_line"), edits))
-        .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+        side("one", told.filter("indexed")).join(side("other", told), (
+            (F.col("one_entry") == F.col("other_entry")) & ordered & near
+            & edit_distance_within(F.col("one_line"), F.col("other_line"), edits)
+        )).select(F.least("one_place", "other_place").alias("src"), F.greatest("one_place", "other_place").alias("dst")).distinct()
     )
-    stages.drop(pairs)
+    stages.drop(members)
     stages.drop(texts)
     return links
 
