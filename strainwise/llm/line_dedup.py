@@ -218,16 +218,17 @@ def near_links(df: DataFrame, key: str, text: str, spread: DataFrame, edits: int
     hold their first occurrences, and whoever leaves the join of the lists is verified, whatever the length of a list.
     """
     names = [c for c in spread.columns if c.startswith("p") and c[1:].isdigit()]
+    # Copies are combined before the shuffle, so the lists hold distinct lines.
+    distinct = spread.filter("p0 IS NOT NULL").groupBy("id", "check").agg(*[F.min(n).alias(n) for n in names])
     # The probes of the own length without a shift are a line's entries in the index.
     own = set(unshifted(edits))
     entry = F.explode(F.array(*[F.struct(F.col(n).alias("entry"), F.lit(i in own).alias("indexed")) for i, n in enumerate(names)]))
-    entries = spread.filter("p0 IS NOT NULL").select(entry.alias("e"), "id").select("e.entry", "e.indexed", "id")
-    # Copies of a line are combined before the shuffle; lists of different lines are few, and only their entries go on.
+    # Entries are dealt to their lists once, for finding the lists of different lines and for their members.
+    entries = distinct.select(entry.alias("e"), "id").select("e.entry", "e.indexed", "id").repartition("entry")
     company = entries.groupBy("entry").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.col("indexed").cast("int")).alias("held")
     ).filter("low < high AND held = 1")
-    company = stages.cut(company.select("entry"))
-    members = stages.cut(entries.join(company, "entry").distinct())
+    members = stages.cut(entries.join(company.select("entry"), "entry"))
     ids = members.select("id").distinct()
     wanted = spread.select("id", *KEYED, "line_no").join(ids, "id").groupBy("id").agg(F.min(_place()).alias("place"))
     body = F.col(f"`{text}`")
