@@ -203,44 +203,33 @@ def _letters_apart(one: str, other: str) -> Column:
     return reduce(lambda x, y: x + y, parts)
 
 
-def spread_lines(df: DataFrame, key: str, text: str, edits: int, min_chars: int, stages: Stages) -> DataFrame:
-    """All lines with their probes ``p0``, ``p1`` ... (null for short lines); texts are split, and probes worked out, once."""
-    lines = _lines(df, key, text, min_chars)
-    line, chars = F.col("line"), F.col("chars")
-    probes = [F.when(chars >= min_chars, p).alias(f"p{i}") for i, p in enumerate(probe_entries(line, chars, edits))]
-    return stages.cut(lines.select("key", "version", "line_no", "id", "check", *probes))
+def near_links(df: DataFrame, key: str, text: str, edits: int, min_chars: int, stages: Stages) -> DataFrame:
+    """(src, dst): identities (id, check) of distinct lines that are at most ``edits`` edits apart, each pair once.
 
-
-def near_links(df: DataFrame, key: str, text: str, spread: DataFrame, edits: int, stages: Stages) -> DataFrame:
-    """(src, dst): places of the first occurrences of distinct lines that are at most ``edits`` edits apart, each pair once.
-
-    The index holds hashes only.  Most lines are alone in all their lists; the texts of the others are fetched from the documents that
-    hold their first occurrences, and whoever leaves the join of the lists is verified, whatever the length of a list.
+    The texts are dealt by ``id`` once, copies combined before; their entries come from there, and the texts of lines with company in a
+    list are taken from the same shuffle.  Whoever leaves the join of the lists is verified, whatever the length of a list.  Of different
+    lines with one 64-bit ``id``, the smallest text takes part.
     """
-    names = [c for c in spread.columns if c.startswith("p") and c[1:].isdigit()]
-    # Copies are combined before the shuffle, so the lists hold distinct lines.
-    distinct = spread.filter("p0 IS NOT NULL").groupBy("id", "check").agg(*[F.min(n).alias(n) for n in names])
+    lines = _lines(df, key, text, min_chars).filter(F.col("chars") >= min_chars)
+    distinct = lines.groupBy("id").agg(F.min("line").alias("line"))
+    line = F.col("line")
     # The probes of the own length without a shift are a line's entries in the index.
     own = set(unshifted(edits))
-    entry = F.explode(F.array(*[F.struct(F.col(n).alias("entry"), F.lit(i in own).alias("indexed")) for i, n in enumerate(names)]))
+    probes = [p.alias(f"p{i}") for i, p in enumerate(probe_entries(line, F.length("line"), edits))]
+    entry = F.explode(F.array(*[
+        F.struct(F.col(f"p{i}").alias("entry"), F.lit(i in own).alias("indexed")) for i in range(len(probes))
+    ]))
     # Entries are dealt to their lists once, for finding the lists of different lines and for their members.
-    entries = distinct.select(entry.alias("e"), "id").select("e.entry", "e.indexed", "id").repartition("entry")
+    entries = distinct.select("id", *probes).select(entry.alias("e"), "id").select("e.entry", "e.indexed", "id").repartition("entry")
     company = entries.groupBy("entry").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.col("indexed").cast("int")).alias("held")
     ).filter("low < high AND held = 1")
-    members = stages.cut(entries.join(company.select("entry"), "entry"))
-    ids = members.select("id").distinct()
-    wanted = spread.select("id", *KEYED, "line_no").join(ids, "id").groupBy("id").agg(F.min(_place()).alias("place"))
-    body = F.col(f"`{text}`")
-    docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("version"), body.alias("body"))
-    texts = (
-        docs.join(wanted, (docs["version"] == F.col("place.version")) & docs["key"].eqNullSafe(F.col("place.key")))
-        .select("id", "place", F.element_at(F.split("body", "\n"), F.col("place.line_no") + 1).alias("line"))
-        .dropDuplicates(["id", "place"])  # equal rows of the input hold the same line
-    )
-    counts = [c.alias(f"letters{i}") for i, c in enumerate(_letters(F.col("line")))]
-    texts = stages.cut(texts.select("id", "place", "line", F.length("line").alias("chars"), *counts))
-    told = members.join(texts, "id")
+    counts = [c.alias(f"letters{i}") for i, c in enumerate(_letters(line))]
+    members = entries.join(company.select("entry"), "entry").join(distinct, "id")
+    told = stages.cut(members.select(
+        "entry", "indexed", F.struct("id", F.xxhash64(F.lit(1), "line").alias("check")).alias("id"), "line",
+        F.length("line").alias("chars"), *counts,
+    ))
 
     def side(name: str, rows: DataFrame) -> DataFrame:
         return rows.drop("indexed").select([F.col(c).alias(f"{name}_{c}") for c in rows.drop("indexed").columns])
@@ -254,10 +243,9 @@ def near_links(df: DataFrame, key: str, text: str, spread: DataFrame, edits: int
         side("one", told.filter("indexed")).join(side("other", told), (
             (F.col("one_entry") == F.col("other_entry")) & ordered & near
             & edit_distance_within(F.col("one_line"), F.col("other_line"), edits)
-        )).select(F.least("one_place", "other_place").alias("src"), F.greatest("one_place", "other_place").alias("dst")).distinct()
+        )).select(F.least("one_id", "other_id").alias("src"), F.greatest("one_id", "other_id").alias("dst")).distinct()
     )
-    stages.drop(members)
-    stages.drop(texts)
+    stages.drop(told)
     return links
 
 
@@ -272,18 +260,22 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
     if min_chars <= edits + 1:
         raise ValueError("lines must be longer than the number of segments")
     with Stages(df.sparkSession) as stages:
-        spread = spread_lines(df, key, text, edits, min_chars, stages)
-        links = near_links(df, key, text, spread, edits, stages)
+        keys = stages.cut(_lines(df, key, text, min_chars).select(*KEYED, "line_no", "id", "check"))
+        links = near_links(df, key, text, edits, min_chars, stages)
         degree = (
-            links.select(F.explode(F.array("src", "dst")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
+            links.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        )
+        named = stages.cut(
+            connected_components(links).join(degree, "node").select("node.id", "node.check", "component", "n_links")
         )
-        named = connected_components(links).withColumnRenamed("node", "first").join(degree, "first")
-        keys = spread.select("key", "version", "line_no", "id", "check")
         # Equal rows of the input are one document: their lines count once.
         counted = keys.groupBy("id", "check").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
+        placed = counted.join(named, ["id", "check"], "left").filter("first <> last OR component IS NOT NULL")
+        placed = stages.cut(placed)
+        lowest = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("class"))
         company = (
-            counted.join(named, "first", "left").filter("first <> last OR component IS NOT NULL")
-            .select("id", "check", F.coalesce("component", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+            placed.join(lowest, "component", "left")
+            .select("id", "check", F.coalesce("class", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
         )
         return cut_lineage(
             keys.join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
