@@ -127,7 +127,7 @@ def parse_general_sheet(sheet: DataFrame, countries: DataFrame, submission_date:
     """Sample entries: gaps filled within the strain, sampling range, numeric country code.
 
     ``countries`` has alpha2, alpha3, country_code.  Among several values of a strain
-    the smallest fills the gaps.
+    the smallest fills the gaps; of several countries with one code, the smallest number counts.
     """
     names = set(sheet.columns)
     rows = sheet.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in sheet.columns])
@@ -160,7 +160,7 @@ def parse_general_sheet(sheet: DataFrame, countries: DataFrame, submission_date:
     codes = (
         countries.select(F.explode(F.array("alpha2", "alpha3")).alias("_origin"), "country_code")
         .where(F.col("_origin").isNotNull())
-        .dropDuplicates(["_origin"])
+        .groupBy("_origin").agg(F.min("country_code").alias("country_code"))
     )
     numeric = F.when(F.col("_origin").rlike("^[0-9]{3}"), F.col("_origin").try_cast("int"))
     return (

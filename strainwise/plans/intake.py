@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strainwise import schemas
 from strainwise.operators import browser, ingest, qc, submissions
 from strainwise.plans.primitives import gff_features
-from strainwise.plans.registry import query
+from strainwise.plans.registry import oracle, query
 from strainwise.session import work_area
 from strainwise.sources import sinks, tables
 from strainwise.streaming import incremental
@@ -373,6 +373,57 @@ def _(t):
     return incremental.loaded(t.spark, f"{root}/tables/MIC").select("strain_id", "drug", "value")
 
 
+_SHEETS = f"""SELECT 'general' AS sheet, sample_name AS strain_id, isolation_source AS item, CAST(country_code AS STRING) AS value, sampling_date AS detail FROM ({oracle("parse_general_sheet")}) g
+UNION ALL SELECT 'pDST', strain_id, drug, result, concentration FROM ({oracle("parse_pdst_sheet")}) p
+UNION ALL SELECT 'MIC', strain_id, drug, mic_value, value FROM ({oracle("parse_mic_sheet")}) m"""
+
+
+def _all_sheets(general, pdst, mic):
+    """The three tables of a submission under common names."""
+    names = ["strain_id", "item", "value", "detail"]
+    parts = {
+        "general": general.select("sample_name", "isolation_source", F.col("country_code").cast("string"), "sampling_date"),
+        "pDST": pdst.select("strain_id", "drug", "result", "concentration"),
+        "MIC": mic.select("strain_id", "drug", "mic_value", "value"),
+    }
+    labelled = [part.toDF(*names).select(F.lit(sheet).alias("sheet"), *names) for sheet, part in parts.items()]
+    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
+
+
+def _submission(t, root):
+    """Write the three sheets of a submission below ``root``; returns their parsers."""
+    for sheet, sql in (("general", _GENERAL), ("pDST", _SHEET), ("MIC", _MIC_SHEET)):
+        t.sql(sql).write.option("header", True).csv(f"{root}/{sheet}")
+    countries = t.sql(_COUNTRIES)
+    return {
+        "general": lambda rows: submissions.parse_general_sheet(rows, countries, "2024-03-04"),
+        "pDST": submissions.parse_pdst_sheet,
+        "MIC": submissions.parse_mic_sheet,
+    }
+
+
+@query("scan_all_submission_sheets", _SHEETS)
+def _(t):
+    root = work_area(t.spark, "sheets")
+    parsers = _submission(t, root)
+    sheets = tables.scan_submission_sheets(t.spark, root)
+    return _all_sheets(*[parse(sheets[name]) for name, parse in parsers.items()])
+
+
+@query("arrival_triggered_sheets", _SHEETS)
+def _(t):
+    """All three sheets arrive and are loaded by one stream; a second run finds nothing new."""
+    root = work_area(t.spark, "arrivals")
+    parsers = _submission(t, f"{root}/inbox")
+    schemas_of = {
+        sheet: ", ".join(f"`{name}` string" for name in t.sql(sql).columns)
+        for sheet, sql in (("general", _GENERAL), ("pDST", _SHEET), ("MIC", _MIC_SHEET))
+    }
+    for _run in range(2):
+        incremental.arrival_triggered_ingest(t.spark, f"{root}/inbox", parsers, schemas_of, f"{root}/tables", f"{root}/checkpoint")
+    return _all_sheets(*[incremental.loaded(t.spark, f"{root}/tables/{sheet}") for sheet in parsers])
+
+
 # ------------------------------------------------------------------ sequencing quality
 _REGIONS = "SELECT sample_id, 'L' || CAST(gene_db_crossref_id AS STRING) AS locus, gene_db_crossref_id * 20 AS start, gene_db_crossref_id * 20 + 20 + gene_db_crossref_id % 7 AS `end`, mean_depth AS depth FROM {locus_stats}"
 _THRESHOLDS = "SELECT sample_id, 'L' || CAST(gene_db_crossref_id AS STRING) AS locus, gene_db_crossref_id * 20 AS start, gene_db_crossref_id * 20 + 20 + gene_db_crossref_id % 7 AS `end`, 20 AS `10X`, 15 AS `15X`, gene_db_crossref_id % 20 AS `20X`, 1 AS `30X` FROM {locus_stats}"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strainwise import schemas
@@ -122,6 +125,18 @@ def _(t):
     return taken.unionByName(second.select(*keys))
 
 
+@query("scan_incremental_late", "SELECT o_orderkey, o_custkey FROM {orders}")
+def _(t):
+    """Two runs: a third of the customers' orders arrive only for the second, spread over all keys below the mark."""
+    state = work_area(t.spark, "seen")
+    keys = ["o_orderkey", "o_custkey"]
+    window = t.orders.agg(F.max("o_orderkey") - F.min("o_orderkey")).first()[0]
+    first, commit = incremental.scan_with_late_rows(t.orders.where("o_custkey % 3 <> 0"), keys, state, window)
+    commit()
+    second, _ = incremental.scan_with_late_rows(t.orders, keys, state, window)
+    return first.select(*keys).unionByName(second.select(*keys))
+
+
 def sinks_area(df, t):
     """Write and read back."""
     path = work_area(t.spark, "rows")
@@ -186,6 +201,19 @@ def _(t):
     return t.spark.read.schema("drug_name string, tests long").option("header", True).csv(f"{root}/tests")
 
 
+@query("write_report_tables", "SELECT 'tests' AS report, drug_name AS name, CAST(count(*) AS BIGINT) AS number FROM {pdstest} p JOIN {drug} d ON d.drug_id = p.drug_id GROUP BY drug_name UNION ALL SELECT 'countries', three_letters_code, CAST(country_id AS BIGINT) FROM {country}")
+def _(t):
+    """Both tables of a report, as they are read back."""
+    root = work_area(t.spark, "report")
+    counts = t.pdstest.join(t.drug, "drug_id").groupBy("drug_name").agg(F.count(F.lit(1)).alias("number"))
+    countries = t.country.select(F.col("three_letters_code").alias("name"), F.col("country_id").alias("number"))
+    sinks.write_report({"tests": counts, "countries": countries}, root)
+    reader = t.spark.read.schema("name string, number long").option("header", True)
+    return reduce(DataFrame.unionByName, [
+        reader.csv(f"{root}/{name}").select(F.lit(name).alias("report"), "name", "number") for name in ("tests", "countries")
+    ])
+
+
 @query(
     "align_to_schema",
     "SELECT CAST(sample_id AS INT) AS sample_id, CAST(drug_id AS INT) AS drug_id, CAST(NULL AS INT) AS version, TRY_CAST(mic_value AS STRING) AS resistance_flag, plate AS variant FROM {mictest}",

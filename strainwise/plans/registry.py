@@ -27,6 +27,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def oracle(name: str) -> str:
+    """The SQL of a query registered before, to be built upon."""
+    return _ORACLES[name]
+
+
 def _load() -> None:
     from strainwise.plans import decisions, genomics, intake, laboratory, primitives  # noqa: F401
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strainwise.operators.relational import distinct_on
+from strainwise.session import cut_lineage
 from strainwise.sources.sinks import overwrite_truncate, read_snapshot
 
 BATCH = "load_batch"
@@ -118,6 +119,54 @@ def missing(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def scan_with_late_rows(
+    table: DataFrame, keys: list[str], state: str, window
+) -> tuple[DataFrame, Callable[[], object]]:
+    """Rows that no earlier run has taken, and a function that marks them as taken.
+
+    Rows may arrive late by up to ``window`` (a number, or an interval column) below the highest first key so far; the range is read again,
+    and what an earlier run took from it is left out by an exact anti join with the kept keys.  Later ones are not found.  The kept keys
+    are those of the window, one snapshot, so mark and keys move together.  The rows are written once, so what is marked is what was
+    returned, whatever arrives in between.  A row with a key that was taken before is not new; NULL in a key is refused.
+    """
+    spark, lead = table.sparkSession, F.col(keys[0])
+
+    def since(frame: DataFrame) -> Column | None:
+        top = frame.agg(F.max(lead)).first()[0]
+        return None if top is None else lead >= F.lit(top) - window
+
+    try:
+        seen = read_snapshot(spark, state)
+    except IndexError:
+        seen = None
+    fresh = table if seen is None else table.where(since(seen) | missing(keys)).join(seen, keys, "left_anti")
+    fresh = cut_lineage(fresh.select(*table.columns))
+    refused = fresh.where(missing(keys)).count()
+    if refused:
+        raise ValueError(f"{refused} rows have NULL in the key {keys}")
+
+    def commit() -> int | None:
+        taken = fresh.select(*keys) if seen is None else seen.unionByName(fresh.select(*keys))
+        kept = since(taken)
+        return None if kept is None else overwrite_truncate(taken.where(kept).distinct(), state)
+
+    return fresh, commit
+
+
+def sheet_rows(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """Rows of CSV lines whose columns are all text; header and blank lines go.
+
+    A line with a wrong number of cells, or a header that starts as ``schema`` does but goes on differently, is an error.  A cell holds no line breaks.
+    """
+    cells = F.from_csv(F.col(value), schema, {"mode": "FAILFAST"}).alias("cells")
+    names = StructType.fromDDL(schema).fieldNames()
+    rows = lines.where(F.trim(value) != "").select(cells)
+    same = [F.coalesce(F.col("cells")[name] == F.lit(name), F.lit(False)) for name in names]
+    refused = F.raise_error(F.concat(F.lit("not the header of the sheet: "), F.to_json("cells"))).cast("boolean")
+    header = F.when(reduce(lambda a, b: a & b, same), F.lit(True)).when(same[0], refused).otherwise(False)
+    return rows.where(~header).select("cells.*")
+
+
 def arrival_triggered_ingest(
     spark: SparkSession,
     inbox: str,
@@ -126,7 +175,20 @@ def arrival_triggered_ingest(
     target: str,
     checkpoint: str,
 ) -> None:
-    """Parse submission files as they arrive: one stream per sheet folder of the inbox."""
-    for sheet, parse in sheets.items():
-        stream = stream_files(spark, f"{inbox}/{sheet}", schemas[sheet], options={"header": "true"})
-        incremental_load(stream, parse, f"{target}/{sheet}", f"{checkpoint}/{sheet}")
+    """Parse submission files as they arrive: one stream over the sheet folders of the inbox feeds one table per sheet.
+
+    The files of a submission that arrive together are one batch.  Every table has a folder per batch, which a replay overwrites; so after a
+    failure between two tables the batch is loaded again as a whole, and each row stands once.
+    """
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]*$", 1)
+    lines = stream_files(spark, f"{inbox}/{{{','.join(sheets)}}}", "value string", "text").select("value", folder.alias("sheet"))
+
+    def load(batch: DataFrame, number: int) -> None:
+        for sheet, parse in sheets.items():
+            rows = sheet_rows(batch.where(F.col("sheet") == sheet), schemas[sheet])
+            parse(rows).write.mode("overwrite").parquet(f"{target}/{sheet}/{BATCH}={number}")
+
+    query = (
+        lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()

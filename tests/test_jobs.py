@@ -341,3 +341,75 @@ def test_split_queries_become_derived_tables():
     split = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
     assert tables.jdbc_options("SELECT 1") == {"query": "SELECT 1"}
     assert tables.jdbc_options("SELECT id FROM a", split) == {"dbtable": "(SELECT id FROM a) t", **split}
+
+
+def test_late_rows_are_found_once(spark, tmp_path):
+    table, state = str(tmp_path / "t"), str(tmp_path / "s")
+
+    def arrive(*ids):
+        spark.createDataFrame([(i, str(i)) for i in ids], "id int, v string").write.mode("append").parquet(table)
+
+    def scan():
+        fresh, commit = incremental.scan_with_late_rows(spark.read.parquet(table), ["id"], state, 5)
+        return sorted(r["id"] for r in fresh.collect()), commit
+
+    arrive(1, 10, 12)
+    assert scan()[0] == [1, 10, 12]
+    found, commit = scan()  # nothing was marked as taken
+    arrive(13)  # between scan and commit
+    commit()
+    assert found == [1, 10, 12]
+    arrive(2, 7, 11)  # 2 lies below the window
+    found, commit = scan()
+    assert found == [7, 11, 13]
+    commit()
+    found, commit = scan()
+    assert found == []
+    commit()
+    assert scan()[0] == []
+
+
+def test_late_rows_of_an_empty_table(spark, tmp_path):
+    fresh, commit = incremental.scan_with_late_rows(spark.createDataFrame([], "id int"), ["id"], str(tmp_path / "s"), 5)
+    assert fresh.count() == 0 and commit() is None
+    with pytest.raises(ValueError, match="1 rows"):
+        incremental.scan_with_late_rows(spark.createDataFrame([(None,), (1,)], "id int"), ["id"], str(tmp_path / "s"), 5)
+
+
+def test_failure_between_two_tables_leaves_each_row_once(spark, tmp_path):
+    inbox, target, checkpoint = (str(tmp_path / n) for n in ("inbox", "tables", "checkpoint"))
+    schemas = {"one": "`Strain ID` string, `RIF (0,2)` string", "two": "`Strain ID` string, EMB string"}
+
+    def arrive(sheet, *rows):
+        spark.createDataFrame(rows, schemas[sheet]).coalesce(1).write.mode("append").option("header", True).csv(f"{inbox}/{sheet}")
+
+    def load(broken=False):
+        def second(rows):
+            if broken:
+                raise RuntimeError("lost between the tables")
+            return rows
+
+        incremental.arrival_triggered_ingest(
+            spark, inbox, {"one": lambda rows: rows.withColumnsRenamed({"RIF (0,2)": "rif"}), "two": second}, schemas, target, checkpoint
+        )
+
+    arrive("one", ("a", "R(0,5)"), ("b", None))
+    arrive("two", ("a", "S"))
+    with pytest.raises(Exception, match="lost between"):
+        load(broken=True)
+    assert incremental.loaded(spark, f"{target}/one").count() == 2
+    arrive("one", ("c", "S"))
+    load()
+    load()
+    assert rows(incremental.loaded(spark, f"{target}/one")) == [("a", "R(0,5)"), ("b", None), ("c", "S")]
+    assert rows(incremental.loaded(spark, f"{target}/two")) == [("a", "S")]
+
+
+def test_sheets_with_another_header_are_refused(spark):
+    def parse(*lines):
+        return incremental.sheet_rows(spark.createDataFrame([(x,) for x in lines], "value string"), "id string, drug string").collect()
+
+    assert [tuple(r) for r in parse("id,drug", "", 'a,"x,y"', "b,")] == [("a", "x,y"), ("b", None)]
+    for wrong in ("id,medium", "a,b,c"):
+        with pytest.raises(Exception):
+            parse(wrong)
