@@ -181,8 +181,8 @@ def normalise_plate_names(mic: DataFrame, labels: list[tuple[str, str]] = rules.
     return mic.withColumn("plate", first_match([(plate == old, F.lit(new)) for old, new in labels], plate))
 
 
-def atu_cutoffs(cutoff: DataFrame, plate_concentration: DataFrame) -> DataFrame:
-    """Cut-offs moved one tested concentration down; half the cut-off where the plate did not test it."""
+def cutoff_pairs(cutoff: DataFrame, plate_concentration: DataFrame) -> DataFrame:
+    """(drug_id, medium_name, value, lowered): every cut-off, and one tested concentration down (half of it where the plate did not test it)."""
     steps = previous_value(
         plate_concentration.where(F.col("plate").isin(rules.MICRODILUTION_PLATES)),
         ["plate", "drug_id"],
@@ -192,29 +192,35 @@ def atu_cutoffs(cutoff: DataFrame, plate_concentration: DataFrame) -> DataFrame:
     return (
         cutoff.where(F.col("medium_name").isin(rules.CUTOFF_MEDIA))
         .join(steps, ["medium_name", "drug_id", "value"], "left")
-        .select("drug_id", "medium_name", F.coalesce(F.col("lower"), F.col("value") / 2).alias("value"))
+        .select("drug_id", "medium_name", "value", F.coalesce(F.col("lower"), F.col("value") / 2).alias("lowered"))
     )
 
 
-def binarise_mic(
-    mic: DataFrame, cutoff: DataFrame, plate_concentration: DataFrame, drug: DataFrame, atu: bool = False
-) -> DataFrame:
-    """R / S of each MIC interval against its cut-off; NULL when the interval straddles it."""
-    limits = atu_cutoffs(cutoff, plate_concentration) if atu else cutoff
-    limits = limits.where(F.col("medium_name").isin(rules.CUTOFF_MEDIA)).select(
-        "drug_id", F.col("medium_name").alias("plate"), F.col("value").alias("_cutoff")
-    )
+def atu_cutoffs(cutoff: DataFrame, plate_concentration: DataFrame) -> DataFrame:
+    """Cut-offs moved one tested concentration down."""
+    return cutoff_pairs(cutoff, plate_concentration).select("drug_id", "medium_name", F.col("lowered").alias("value"))
+
+
+def _possible_mics(mic: DataFrame, drug: DataFrame) -> DataFrame:
     name, plate = F.col("drug_name"), F.col("plate")
     refused = (plate == "MYCOTB") & name.isin(rules.NOT_ON_MYCOTB)
     for bad_plate, bad_drug, bad_value in rules.IMPOSSIBLE_MIC:
         refused = refused | ((plate == bad_plate) & (name == bad_drug) & (F.col("mic_value") == bad_value))
-    result = first_match(
+    return mic.join(drug.select("drug_id", "drug_name"), "drug_id").where(~refused)
+
+
+def _mic_result(limit: str) -> Column:
+    return first_match(
         [
-            (upper_bound(F.col("mic_value")) <= F.col("_cutoff"), F.lit("S")),
-            (lower_bound(F.col("mic_value")) >= F.col("_cutoff"), F.lit("R")),
+            (upper_bound(F.col("mic_value")) <= F.col(limit), F.lit("S")),
+            (lower_bound(F.col("mic_value")) >= F.col(limit), F.lit("R")),
         ]
     )
-    category = first_match(
+
+
+def _mic_category() -> Column:
+    plate = F.col("plate")
+    return first_match(
         [
             (plate == "MYCOTB", F.lit("MYCOTB_MIC")),
             (plate.isin(rules.PLATES_FOR_ALL_DRUGS), F.lit("CRyPTIC_MIC")),
@@ -222,11 +228,20 @@ def binarise_mic(
         ],
         F.lit("to_be_excluded"),
     )
+
+
+def binarise_mic(
+    mic: DataFrame, cutoff: DataFrame, plate_concentration: DataFrame, drug: DataFrame, atu: bool = False
+) -> DataFrame:
+    """R / S of each MIC interval against its cut-off; NULL when the interval straddles it."""
+    limits = atu_cutoffs(cutoff, plate_concentration) if atu else cutoff
+    limits = limits.where(F.col("medium_name").isin(rules.CUTOFF_MEDIA)).select(
+        "drug_id", F.col("medium_name").alias("plate"), F.col("value").alias("_cutoff")
+    )
     return (
-        mic.join(drug.select("drug_id", "drug_name"), "drug_id")
-        .where(~refused)
+        _possible_mics(mic, drug)
         .join(limits, ["drug_id", "plate"], "left")
-        .withColumn("test_result", result)
+        .withColumn("test_result", _mic_result("_cutoff"))
         .select(
             F.col("id").alias("mictest_id"),
             "sample_id",
@@ -234,7 +249,7 @@ def binarise_mic(
             "plate",
             "mic_value",
             "test_result",
-            category.alias("phenotypic_category"),
+            _mic_category().alias("phenotypic_category"),
         )
     )
 
@@ -263,7 +278,7 @@ def reciprocal_semi(first: DataFrame, second: DataFrame) -> tuple[DataFrame, Dat
     )
 
 
-def relabel_categories(df: DataFrame, prefix: str) -> DataFrame:
+def relabel_categories(df: DataFrame, prefix: str | Column) -> DataFrame:
     plates = F.col("phenotypic_category").isin("CRyPTIC_MIC", "MYCOTB_MIC")
     label = F.when(plates, F.col("phenotypic_category")).otherwise(F.lit("WHO_MIC"))
     return df.withColumn("phenotypic_category", F.concat(F.lit(prefix), label))
@@ -289,19 +304,44 @@ def clean_binary_phenotypes(
     return ranked.join(tier.select("drug_id").distinct(), "drug_id", "left_semi")
 
 
-def clean_cc_phenotypes(
+def cc_phenotypes(
     mic: DataFrame, drug: DataFrame, plate_concentration: DataFrame, cutoff: DataFrame, tier: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Phenotypes at the cut-off (CC) and one concentration below (CC-ATU), kept only where both exist."""
-    accepted = filter_plate_drug_rules(mic, drug)
-    tiered = tier.select("drug_id").distinct()
+) -> DataFrame:
+    """Phenotypes at the cut-off (CC) and one concentration below (CC-ATU) in one relation, kept only where both exist.
 
-    def at(atu: bool) -> DataFrame:
-        binarised = pool_drugs(binarise_mic(accepted, cutoff, plate_concentration, drug, atu), drug)
-        return consensus_by_category(binarised).join(tiered, "drug_id", "left_semi")
+    MICs are read once: each meets both cut-offs in one join, and both results are states of the same aggregations.
+    """
+    limits = cutoff_pairs(cutoff, plate_concentration).withColumnsRenamed({"medium_name": "plate", "value": "exact"})
+    states = F.explode(F.array(*[
+        F.struct(F.lit(state).alias("state"), _mic_result(state).alias("test_result")) for state in ("exact", "lowered")
+    ]))
+    results = (
+        _possible_mics(filter_plate_drug_rules(mic, drug), drug)
+        .join(limits, ["drug_id", "plate"], "left")
+        .select("sample_id", "drug_id", "plate", states.alias("_s"))
+        .select("sample_id", "drug_id", "plate", "_s.*")
+        .withColumn("phenotypic_category", _mic_category())
+    )
+    pooled = pool_drugs(results, drug).join(tier.select("drug_id").distinct(), "drug_id", "left_semi")
+    agreed = agreed_result(_usable(pooled), ["sample_id", "drug_id", "state", "phenotypic_category"])
+    best = F.struct(priority(F.col("phenotypic_category"), rules.CATEGORY_ORDER), "phenotypic_category", "test_result")
+    paired = agreed.groupBy("sample_id", "drug_id").agg(
+        *[F.min(F.when(F.col("state") == state, best)).alias(state) for state in ("exact", "lowered")]
+    ).where("exact IS NOT NULL AND lowered IS NOT NULL")
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(prefix).alias("_prefix"), f"{state}.phenotypic_category", F.col(f"{state}.test_result").alias("phenotype"))
+        for state, prefix in (("exact", "CC_"), ("lowered", "CC-ATU_"))
+    ]))
+    listed = paired.select("sample_id", "drug_id", rows.alias("_r")).select("sample_id", "drug_id", "_r.*")
+    return relabel_categories(listed, F.col("_prefix")).drop("_prefix")
 
-    exact, lowered = reciprocal_semi(at(False), at(True))
-    return relabel_categories(exact, "CC_"), relabel_categories(lowered, "CC-ATU_")
+
+def clean_cc_phenotypes(
+    mic: DataFrame, drug: DataFrame, plate_concentration: DataFrame, cutoff: DataFrame, tier: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`cc_phenotypes` at the cut-off, and those one concentration below."""
+    both = cc_phenotypes(mic, drug, plate_concentration, cutoff, tier)
+    return tuple(both.where(F.col("phenotypic_category").startswith(prefix)) for prefix in ("CC_", "CC-ATU_"))
 
 
 def who_only_phenotypes(tests: DataFrame) -> DataFrame:

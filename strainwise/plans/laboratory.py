@@ -196,8 +196,7 @@ SELECT x.sample_id, x.drug_id, 'CC_' || {_LABEL} AS phenotypic_category, x.pheno
 UNION ALL SELECT x.sample_id, x.drug_id, 'CC-ATU_' || {_LABEL}, x.phenotype FROM lowered x WHERE EXISTS (SELECT 1 FROM exact y WHERE {_SAME})""",
 )
 def _(t):
-    exact, lowered = ph.clean_cc_phenotypes(t.mictest, t.drug, t.plate_concentration, t.cutoff, t.tier)
-    return exact.unionByName(lowered)
+    return ph.cc_phenotypes(t.mictest, t.drug, t.plate_concentration, t.cutoff, t.tier)
 
 
 @query(

@@ -72,8 +72,7 @@ def study_phenotypes(t: Tables) -> DataFrame:
     clean = phenotypes.clean_binary_phenotypes(
         tests, t["pdstestcategory"], drug, t["growthmedium"], t["pdsassessmentmethod"], mic, cutoff, tier, plates
     )
-    exact, lowered = phenotypes.clean_cc_phenotypes(mic, drug, plates, cutoff, tier)
-    return clean.unionByName(exact).unionByName(lowered)
+    return clean.unionByName(phenotypes.cc_phenotypes(mic, drug, plates, cutoff, tier))
 
 
 def association_study(t: Tables, unpool_frameshifts: bool = False) -> dict[str, DataFrame]:
