@@ -99,9 +99,11 @@ def with_deletion_length(staged: DataFrame) -> DataFrame:
 
 
 def sequence_chunks(sequence: DataFrame, size: int = 8192) -> DataFrame:
-    """Genome text (chromosome, seq) cut into numbered chunks, so that no task carries a whole genome per row."""
-    starts = F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))
-    pieces = F.transform(starts, lambda i: F.substring(F.col("seq"), i * size + 1, F.lit(size)))
+    """Genome text (chromosome, seq) cut into numbered chunks, so that no task carries a whole genome per row.
+
+    The text is gone through once: a substring would count from its start for every chunk.
+    """
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
     return sequence.select("chromosome", F.posexplode(pieces).alias("chunk", "text"))
 
 

@@ -212,6 +212,13 @@ def test_genomes_beyond_the_root_of_an_int(frame):
     assert whole == "".join("ACGT"[(p * p + p // 3) % 4] for p in range(1, 47061))
 
 
+def test_chunks_of_genomes_of_any_length(frame):
+    whole = "".join("ACGT"[(p * p + p // 3) % 4] for p in range(1, 1061))
+    sequence = frame([("c", whole), ("short", "A\nB"), ("empty", ""), ("none", None)], "chromosome string, seq string")
+    cut = {(r.chromosome, r.chunk): r.text for r in ingest.sequence_chunks(sequence, 100).collect()}
+    assert cut == {**{("c", i): whole[100 * i:100 * i + 100] for i in range(11)}, ("short", 0): "A\nB"}
+
+
 def test_two_incremental_runs_equal_one(spark):
     t = Inputs(spark, SMALL)
     root = work_area(spark, "inc")
