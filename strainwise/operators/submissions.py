@@ -182,10 +182,12 @@ def detect_resubmissions(entries: DataFrame, existing: DataFrame) -> DataFrame:
     """Strains whose files are those of an existing sample: exactly two file hashes in common.
 
     ``entries`` has strain_id, md5; ``existing`` has sample_name, md5.  Both sides are matched on pairs of their own hashes, so
-    one hash that very many have (of an empty file) brings nobody together; exactly two in common is exactly one pair.
+    one hash that very many have (of an empty file) brings nobody together; exactly two in common is exactly one pair.  Hashes that no
+    existing sample has go before pairs are made of them: their number grows with the square of the files of a strain.
     """
+    known = entries.join(existing.select("md5"), "md5", "left_semi")
     return (
-        _hash_pairs(entries, "strain_id")
+        _hash_pairs(known, "strain_id")
         .join(_hash_pairs(existing, "sample_name"), ["_first", "_second"])
         .groupBy("strain_id", "sample_name")
         .agg(F.count(F.lit(1)).alias("_shared"))

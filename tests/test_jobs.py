@@ -273,6 +273,16 @@ def test_resubmission_needs_exactly_two_shared_files(frame):
     assert rows(submissions.detect_resubmissions(entries, existing)) == [("n", "old")]
 
 
+def test_only_hashes_of_existing_samples_are_paired(frame):
+    entries = frame([("n", f"h{i}") for i in range(300)] + [("m", "h1")], "strain_id string, md5 string")
+    existing = frame([("old", "h1"), ("old", "h2"), ("none", "x1"), ("none", "x2")], "sample_name string, md5 string")
+    found = submissions.detect_resubmissions(entries, existing)
+    assert rows(found) == [("n", "old")]
+    # What meets on pairs of hashes are strains with such hashes only: nothing is paired before the semi join.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1 and plan.index("Generate") < plan.index("LeftSemi")
+
+
 def test_general_sheet_without_dates(frame):
     sheet = frame([("A", "fr", ""), ("A", "", "blood")], "`Strain ID` string, `Country origin` string, `Sample type` string")
     countries = frame([("FR", "FRA", 250)], "alpha2 string, alpha3 string, country_code int")
