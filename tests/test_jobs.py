@@ -114,6 +114,21 @@ def test_sparse_rows_stand_for_the_dense_matrix(frame):
     assert {r.sample_id: r.codes for r in matrix.dense_rows(reference, sparse).collect()} == expected
 
 
+def test_dense_calls_are_written_out_behind_the_last_join(frame):
+    """Several blocks of positions give the rows of the matrix; the cells of the product are not exchanged, and are written in many tasks."""
+    varying = frame([(i, 7 * i, 1 + i % 4, 1 + (i + 1) % 4) for i in range(2500)], "variant_id int, position int, reference_int int, alternative_int int")
+    calls = frame([(1, i, 0.9) for i in (0, 1023, 1024, 2047, 2048, 2499)], "sample_id int, variant_id int, dp double")
+    samples = frame([(1,), (2,)], "sample_id int")
+    dense, whole = matrix.dense_genotype_calls(calls, varying, samples), matrix.genotype_matrix(calls, varying, samples)
+    held = dense.orderBy("sample_id", "position").collect()
+    assert [r.position for r in held] == 2 * [7 * i for i in range(2500)]
+    assert [r.integer for r in held] == [c for r in whole.orderBy("sample_id").collect() for c in r.codes]
+    plan = dense._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+    for frame_ in (dense, whole):
+        assert "REPARTITION_BY_NUM" in frame_._jdf.queryExecution().executedPlan().toString()
+
+
 def test_strongest_call_wins(frame):
     calls = frame([(1, 1, 0.8), (1, 2, 0.9)], "sample_id int, variant_id int, dp double")
     varying = frame([(1, 5, 1, 2), (2, 5, 1, 3), (3, 6, 4, 1)], "variant_id int, position int, reference_int int, alternative_int int")
