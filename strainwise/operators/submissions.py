@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strainwise import rules
 from strainwise.functions.intervals import NUMBER, canonical_interval, decimal_text, interval, point_decimal
-from strainwise.operators.relational import fill_from_group, previous_value
+from strainwise.operators.relational import previous_value
 
 PDST_COLUMNS = ["strain_id", "dst_method", "method_lj", "drug", "concentration", "result"]
 _CODE_WITH_NUMBER = rf"^([A-Z]{{3,4}}) \(?{NUMBER}\)?"
@@ -132,14 +132,12 @@ def parse_general_sheet(sheet: DataFrame, countries: DataFrame, submission_date:
     names = set(sheet.columns)
     rows = sheet.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in sheet.columns])
 
-    def filled(df: DataFrame, column: str) -> DataFrame:
-        blank = df.withColumn(column, F.when(F.col(f"`{column}`") != "", F.col(f"`{column}`")))
-        plain = blank.withColumnRenamed(column, "_value")
-        return fill_from_group(plain, ["Strain ID"], "_value", "_value").withColumnRenamed("_value", column)
-
-    for column in ("Sampling date", "Year of isolation", "Sample type", "Country origin"):
-        if column in names:
-            rows = filled(rows, column)
+    gaps = [c for c in ("Sampling date", "Year of isolation", "Sample type", "Country origin") if c in names]
+    if gaps:
+        # One aggregation and one join fill all columns: their gaps do not depend on each other.
+        rows = rows.withColumns({c: F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")) for c in gaps})
+        first = rows.groupBy("Strain ID").agg(*[F.min(f"`{c}`").alias(f"_first {c}") for c in gaps])
+        rows = rows.join(first, "Strain ID", "left").withColumns({c: F.coalesce(f"`{c}`", f"`_first {c}`") for c in gaps})
     if "Sampling date" in names:
         day = F.col("`Sampling date`")
         sampling = F.concat(F.lit("["), day, F.lit(","), day, F.lit("]"))

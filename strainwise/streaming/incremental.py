@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strainwise.operators.relational import distinct_on
-from strainwise.session import cut_lineage
+from strainwise.session import Stages, cut_lineage
 from strainwise.sources.sinks import overwrite_truncate, read_snapshot
 
 BATCH = "load_batch"
@@ -158,13 +158,15 @@ def sheet_rows(lines: DataFrame, schema: str, value: str = "value") -> DataFrame
 
     A line with a wrong number of cells, or a header that starts as ``schema`` does but goes on differently, is an error.  A cell holds no line breaks.
     """
-    cells = F.from_csv(F.col(value), schema, {"mode": "FAILFAST"}).alias("cells")
+    cells = F.from_csv(F.col(value), schema, {"mode": "FAILFAST"})
     names = StructType.fromDDL(schema).fieldNames()
-    rows = lines.where(F.trim(value) != "").select(cells)
-    same = [F.coalesce(F.col("cells")[name] == F.lit(name), F.lit(False)) for name in names]
-    refused = F.raise_error(F.concat(F.lit("not the header of the sheet: "), F.to_json("cells"))).cast("boolean")
+    same = [F.coalesce(cells[name] == F.lit(name), F.lit(False)) for name in names]
+    refused = F.raise_error(F.concat(F.lit("not the header of the sheet: "), F.to_json(cells))).cast("boolean")
     header = F.when(reduce(lambda a, b: a & b, same), F.lit(True)).when(same[0], refused).otherwise(False)
-    return rows.where(~header).select("cells.*")
+    # Only lines with the name of the first column in them can be headers; the others are taken apart once, for their cells.
+    if not set(names[0]) & set('"\\'):
+        header = F.when(F.col(value).contains(names[0]), header).otherwise(False)
+    return lines.where(F.trim(value) != "").where(~header).select(cells.alias("cells")).select("cells.*")
 
 
 def arrival_triggered_ingest(
@@ -180,13 +182,16 @@ def arrival_triggered_ingest(
     The files of a submission that arrive together are one batch.  Every table has a folder per batch, which a replay overwrites; so after a
     failure between two tables the batch is loaded again as a whole, and each row stands once.
     """
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]*$", 1)
+    # A pattern would be tried at every character of the path, for every line.
+    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
     lines = stream_files(spark, f"{inbox}/{{{','.join(sheets)}}}", "value string", "text").select("value", folder.alias("sheet"))
 
     def load(batch: DataFrame, number: int) -> None:
         for sheet, parse in sheets.items():
-            rows = sheet_rows(batch.where(F.col("sheet") == sheet), schemas[sheet])
-            parse(rows).write.mode("overwrite").parquet(f"{target}/{sheet}/{BATCH}={number}")
+            with Stages(batch.sparkSession) as stages:
+                # Parsers read their rows several times; the lines are read once.
+                rows = stages.cut(sheet_rows(batch.where(F.col("sheet") == sheet), schemas[sheet]))
+                parse(rows).write.mode("overwrite").parquet(f"{target}/{sheet}/{BATCH}={number}")
 
     query = (
         lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -460,6 +460,14 @@ def test_failure_between_two_tables_leaves_each_row_once(spark, tmp_path):
     assert rows(incremental.loaded(spark, f"{target}/two")) == [("a", "S")]
 
 
+def test_lines_without_the_first_name_are_taken_apart_once(spark):
+    """The plan tests for a header only where the first column's name is in the line."""
+    lines = spark.createDataFrame([("id,drug",), ("a,id",), ("b,c",)], "value string")
+    found = incremental.sheet_rows(lines, "id string, drug string")
+    assert rows(found) == [("a", "id"), ("b", "c")]
+    assert "Contains(value" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sheets_with_another_header_are_refused(spark):
     def parse(*lines):
         return incremental.sheet_rows(spark.createDataFrame([(x,) for x in lines], "value string"), "id string, drug string").collect()
