@@ -2,7 +2,7 @@
 
 A word is its bounded form ``<word>`` and the character n-grams of that form, each hashed to a row of the vector table.
 Misspellings that were never seen share most of their n-grams with words that were.  Vectors and classifier are fitted
-in numpy on a bounded sample of labelled rows; scoring needs one number per table row and runs on all texts.
+in numpy, in one task, on a bounded sample of labelled rows; scoring needs one number per table row and runs on all texts.
 """
 
 from __future__ import annotations
@@ -261,9 +261,22 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
         docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"))
         .filter(F.length("text") <= settings.sample_chars)
         .join(sample, "__key").distinct()
-        .orderBy("__key", "text").select("text", "label").collect()
     )
-    return fit([r["text"] for r in chosen], [int(r["label"]) for r in chosen], settings)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            marks += batch.column(1).to_pylist()
+        model = fit(texts, marks, settings)
+        yield pa.RecordBatch.from_arrays([pa.array([model.logits.tobytes()]), pa.array([model.bias])], ["logits", "bias"])
+
+    # A task holds the bounded sample and the fit; the driver gets the numbers that scoring needs.
+    ordered = chosen.repartition(1).sortWithinPartitions("__key", "text").select("text", F.col("label").cast("int").alias("label"))
+    made = ordered.mapInArrow(fitted, "logits binary, bias double").first()
+    if made is None:  # the planner leaves out what would read no rows
+        return fit([], [], settings)
+    return Model(settings, np.frombuffer(made["logits"], np.float32), made["bias"])
 
 
 def score_toxicity(df: DataFrame, text: str, model: Model, score: str = "score", predicted: str = "predicted") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -98,6 +99,18 @@ def test_held_out_rows_do_not_change_the_model(spark):
     assert (one.logits == other.logits).all() and one.bias == other.bias
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver's process neither holds the sample nor fits; the rows come in order of their keys, also if there are none."""
+    seen = lambda texts, labels, settings: toxicity.Model(settings, np.float32([len(texts), *labels]), float(os.getpid()))
+    monkeypatch.setattr(toxicity, "fit", seen)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in corpus(80, 3)], "doc_id long, text string").repartition(7)
+    rows = [(i, y) for i, _, y in corpus(80, 3)]
+    kept = [y for i, y in rows if zlib.crc32(str(i).encode()) % 5]
+    found = toxicity.learn(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), "doc_id", "text", "toxic")
+    assert found.bias != os.getpid() and found.logits.tolist() == [len(kept), *kept]
+    assert toxicity.learn(docs.limit(0), spark.createDataFrame(rows, "doc_id long, toxic int"), "doc_id", "text", "toxic").logits.tolist() == [0]
+
+
 # URL rules
 
 URLS = [
