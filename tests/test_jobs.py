@@ -345,6 +345,21 @@ def test_documents_are_valid_json_and_hot_genes_are_split(frame):
     assert len(several) > 1 and sorted(v[0] for part in several for v in part) == sorted(v[0] for v in bodies["7_tb_variants.json"]["variants"])
 
 
+def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
+    """Calls take ten times their compressed size in a task, so less than Spark's own size is merged; a session that names a size keeps it."""
+    from strainwise.session import TASK_SIZE, configure
+
+    key, size = TASK_SIZE
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        assert configure(spark).conf.get(key) == size == "16m"
+        spark.conf.set(key, "8m")
+        assert configure(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before)
+
+
 # ------------------------------------------------------------------ loads and upserts
 def test_rows_that_arrive_during_a_run_are_left_to_the_next(spark, tmp_path):
     table, state = str(tmp_path / "t"), str(tmp_path / "s")
