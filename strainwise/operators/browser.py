@@ -154,8 +154,8 @@ def json_text(value: Column, kind: DataType, tuples: bool = True) -> Column:
     return F.coalesce(value.cast("string"), F.lit("null"))
 
 
-def _document(df: DataFrame, folder: Column, name: Column, body: Column) -> DataFrame:
-    return df.select(folder.alias("folder"), name.alias("name"), body.alias("body"))
+def _document(folder: Column, name: Column, body: Column) -> Column:
+    return F.struct(folder.alias("folder"), name.alias("name"), body.alias("body"))
 
 
 def browser_documents(genes: DataFrame, variants: DataFrame) -> DataFrame:
@@ -189,20 +189,13 @@ def browser_documents(genes: DataFrame, variants: DataFrame) -> DataFrame:
     variants_body = F.concat(
         F.lit('{"variants":'), json_text(F.col("variants"), variants.schema["variants"].dataType), F.lit("}")
     )
-    return (
-        _document(genes, F.lit("search"), F.concat(gene, F.lit(".json")), terms)
-        .unionByName(
-            _document(
-                genes.where(F.col("gene_results").isNotNull()),
-                F.lit("results"),
-                F.concat(gene, F.lit(f"_{DATASET}.json")),
-                result,
-            )
-        )
-        .unionByName(_document(genes, folder(gene), F.concat(gene, F.lit("_h37Rv.json")), gene_body))
-        .unionByName(
-            _document(
-                variants, folder(F.col("gene_id")), F.when(F.col("parts") == 1, one).otherwise(several), variants_body
-            )
-        )
+    # The three documents of a gene come from one reading of its row.
+    made = F.array(
+        _document(F.lit("search"), F.concat(gene, F.lit(".json")), terms),
+        F.when(F.col("gene_results").isNotNull(), _document(F.lit("results"), F.concat(gene, F.lit(f"_{DATASET}.json")), result)),
+        _document(folder(gene), F.concat(gene, F.lit("_h37Rv.json")), gene_body),
+    )
+    name = F.when(F.col("parts") == 1, one).otherwise(several)
+    return genes.select(F.inline(F.array_compact(made))).unionByName(
+        variants.select(folder(gene).alias("folder"), name.alias("name"), variants_body.alias("body"))
     )

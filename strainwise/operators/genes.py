@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strainwise.session import cut_lineage
 
 def gene_label(
     xref_link: DataFrame, qualifier: DataFrame, feature: DataFrame, term: DataFrame, kind: str, name: str | None = None
@@ -78,6 +79,8 @@ def gene_models(features: DataFrame) -> DataFrame:
     def unversioned(name: str):
         return F.substring_index(attribute(name), ".", 1)
 
+    # Three kinds of features are taken from the lines; written once, each line is parsed once.
+    features = cut_lineage(features)
     spot = ["strand", "start", F.col("end").alias("stop")]
     exons = features.where(F.col("feature") == "exon").select(
         unversioned("transcript_id").alias("transcript_id"),

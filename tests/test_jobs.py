@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 from conftest import rows
-from strainwise.operators import browser, ingest, lineage, matrix, qc, relational as rel, submissions
+from strainwise.operators import browser, genes, ingest, lineage, matrix, qc, relational as rel, submissions
 from strainwise.plans import intake, registry
 from strainwise.plans.derived import Inputs
 from strainwise.session import work_area
@@ -345,6 +345,22 @@ def test_documents_are_valid_json_and_hot_genes_are_split(frame):
     assert len(several) > 1 and sorted(v[0] for part in several for v in part) == sorted(v[0] for v in bodies["7_tb_variants.json"]["variants"])
 
 
+def test_feature_lines_and_genes_are_read_once(frame):
+    """Genes, transcripts and exons do not each parse the lines again, nor does each document of a gene join its results again."""
+    lines = frame([(f"chr1\ts\t{kind}\t1\t9\t.\t+\t.\tDbxref_GeneID=7;locus_tag=Rv7;transcript_id=T7.1",) for kind in ("gene", "transcript", "exon")], "value string")
+    models = genes.gene_models(tables.parse_gff(lines))
+    assert "str_to_map" not in models._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.gene_id, r.search_terms, r.transcripts[0].exons[0].stop) for r in models.collect()] == [("7", ["7", "Rv7"], 9)]
+    by_gene = browser.gene_results(frame([("7", "g1", 3)], "gene_id string, analysis_group string, susceptible_genotyped int"))
+    results = frame([(1, 2, "g1")], "ID int, ac_case int, analysis_group string")
+    annotations = frame([(1, "chr1:1:A:C", "x", "7", "c.1A>C", None)], "ID int, `Variant ID` string, Consequence string, gene_id string, HGVSc string, HGVSp string")
+    documents = browser.browser_documents(*browser.combine_browser(models, by_gene, browser.variant_results(results, annotations)))
+    assert documents._jdf.queryExecution().analyzed().toString().count("Union") == 1
+    assert sorted((r.folder, r.name) for r in documents.collect()) == [
+        ("genes/007", "7_h37Rv.json"), ("genes/007", "7_tb_variants.json"), ("results", "7_tb.json"), ("search", "7.json")
+    ]
+
+
 def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
     """Calls take ten times their compressed size in a task, so less than Spark's own size is merged; a session that names a size keeps it."""
     from strainwise.session import TASK_SIZE, configure
