@@ -11,8 +11,9 @@ that share one are at most 2r bits apart.  So stars around the midpoints give ex
 number of rows per fingerprint whatever the size of the neighbourhood.
 
 Texts that share four fifths of their shingles differ in too many of 64 bits for that guarantee.  :func:`similar_documents`
-therefore indexes wider fingerprints in the same way: lists by three byte positions jointly, a tally of the bytes that two fingerprints share,
-and a verification of the pairs that reach the least tally, here by the sets of shingles themselves.
+therefore indexes wider fingerprints: lists by two byte positions and one of the smallest mixed hashes jointly, a tally of the bytes that two
+fingerprints share, and a verification of the pairs that reach the least tally, here by the sets of shingles themselves.  Unrelated sets share no
+smallest hash, so however many documents there are, they meet in no list; bytes alone are few enough to be met by chance.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ SEED = 42
 #: Least similarity of sets of shingles, as a fraction.
 OVER, UNDER = 4, 5
 #: Longs of a wide fingerprint, lists in which each stands, and equal bytes that make a candidate.  Sets of similarity 0.8 share 17 of 64
-#: bytes on average, unrelated ones a quarter of a byte.
+#: bytes and four fifths of the smallest hashes on average, unrelated ones a quarter of a byte and none.
 WIDE = 8
-TRIPLES = 192
+LISTS = 96
 LEAST = 8
 _MIXES = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WIDE)], np.uint64)
 
@@ -184,28 +185,33 @@ def near_duplicates(
     return prints.join(of_print, "fp").select("key", "fp", "component")
 
 
-def _wide_print(hashes: np.ndarray) -> np.ndarray:
-    """``WIDE`` longs whose bits are those that most of the distinct hashes set, each long after another mixing of the hashes."""
+def _wide_print(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``WIDE`` longs whose bits are those that most of the distinct hashes set, each long after another mixing of the hashes, and the
+    smallest hash of each mixing."""
     sums = np.zeros(64 * WIDE, np.int64)
+    least = np.full(WIDE, np.iinfo(np.uint64).max)
     for begin in range(0, len(hashes), 1 << 13):
         mixed = hashes[begin:begin + (1 << 13), None] * _MIXES[None, :]
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, mixed.min(axis=0))
         sums += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * sums > len(hashes)).view(np.int64)
+    return np.packbits(2 * sums > len(hashes)).view(np.int64), least.view(np.int64)
 
 
 def wide_prints(text: Column, words: int = 5) -> Column:
-    """(id, n, print) of every text: 128 bits that stand for its set of shingles, the size of the set, and its wide fingerprint."""
+    """(id, n, print, least) of every text: 128 bits that stand for its set of shingles, the size of the set, its wide fingerprint, and the
+    smallest hashes (unsigned)."""
 
-    @F.arrow_udf("struct<id: binary, n: int, print: array<bigint>>")
+    @F.arrow_udf("struct<id: binary, n: int, print: array<bigint>, least: array<bigint>>")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), words) for t in batch]
             ids = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            prints = pa.array([_wide_print(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.StructArray.from_arrays([ids, pa.array(map(len, sets), pa.int32()), prints], ["id", "n", "print"])
+            made = [_wide_print(s) for s in sets]
+            prints, least = (pa.array([m[i] for m in made], pa.list_(pa.int64())) for i in (0, 1))
+            yield pa.StructArray.from_arrays([ids, pa.array(map(len, sets), pa.int32()), prints, least], ["id", "n", "print", "least"])
 
     return compute(text)
 
@@ -221,27 +227,31 @@ def shingle_sets(text: Column, words: int = 5) -> Column:
     return compute(text)
 
 
-def wide_triples() -> list[tuple[int, int, int]]:
-    """Triples of byte positions of the wide fingerprint, ``TRIPLES`` of them, in which every position stands equally often."""
+def wide_pairs() -> list[tuple[int, int]]:
+    """Pairs of byte positions of the wide fingerprint, ``LISTS`` of them, in which every position stands equally often."""
     rng = np.random.default_rng(SEED)
-    rounds = 3 * TRIPLES // (8 * WIDE)
-    return [tuple(t) for t in np.concatenate([rng.permutation(8 * WIDE) for _ in range(rounds)]).reshape(-1, 3).tolist()]
+    rounds = 2 * LISTS // (8 * WIDE)
+    return [tuple(t) for t in np.concatenate([rng.permutation(8 * WIDE) for _ in range(rounds)]).reshape(-1, 2).tolist()]
 
 
 def _wide_postings(docs: DataFrame) -> DataFrame:
-    """(list, num): the lists in which each document stands, by what its fingerprint holds at three positions jointly."""
-    triples = np.array(wide_triples())
+    """(list, num): the lists in which each document stands, by what its fingerprint holds at two positions and one of its smallest hashes
+    jointly.  Smallest hashes take turns."""
+    pairs = np.array(wide_pairs())
+    turn = np.arange(len(pairs)) % WIDE
 
     @F.arrow_udf("array<bigint>")
-    def lists(prints: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in prints:
-            held = batch.flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), 8 * WIDE).astype(np.int64)
-            keys = np.arange(len(triples)) << 24
-            for shift, places in zip((16, 8, 0), triples.T):
-                keys = keys | (held[:, places] << shift)
-            yield pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(triples), dtype=np.int32), pa.array(keys.ravel()))
+    def lists(prints: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, least in prints:
+            held = batch.flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), 8 * WIDE).astype(np.uint64)
+            keys = np.arange(len(pairs), dtype=np.uint64) << np.uint64(16)
+            for shift, places in zip((8, 0), pairs.T):
+                keys = keys | (held[:, places] << np.uint64(shift))
+            # The product wraps; it takes list and bytes apart from the hash they are added to.
+            keys = keys * _MIXES[0] + least.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(batch), WIDE)[:, turn]
+            yield pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(pairs), dtype=np.int32), pa.array(keys.view(np.int64).ravel()))
 
-    return docs.select(lists("print").alias("lists"), "num").select(F.explode("lists").alias("list"), "num")
+    return docs.select(lists("print", "least").alias("lists"), "num").select(F.explode("lists").alias("list"), "num")
 
 
 def _shared_bytes(a: Column, b: Column) -> Column:
@@ -271,7 +281,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, bodies: DataFrame, words: int,
 
 
 def link_documents(docs: DataFrame, bodies: DataFrame, words: int, least: int, stages: Stages) -> DataFrame:
-    """(node, component) over ``num`` of the documents of distinct sets (num, of, n, print) that similar candidates chain together.
+    """(node, component) over ``num`` of the documents of distinct sets (num, of, n, print, least) that similar candidates chain together.
 
     Documents that share a list of the index, and at least ``least`` bytes at equal positions, are candidates.  In every list
     all documents meet the list's first one, and of a document's candidates the one with most shared bytes is verified first; so a
@@ -327,7 +337,7 @@ def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, least:
         sets = stages.cut(bodies.select("key", "version", wide_prints(F.col("body"), words).alias("s")).select("key", "version", "s.*"))
         distinct = stages.cut(
             sets.groupBy("id").agg(
-                F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("print").alias("print")
+                F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("print").alias("print"), F.first("least").alias("least")
             ).withColumn("num", F.monotonically_increasing_id())
         )
         named = stages.cut(link_documents(distinct.filter("n > 0"), bodies, words, least, stages))

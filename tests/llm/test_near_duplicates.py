@@ -152,6 +152,18 @@ def test_recall_of_candidates(spark, similarity):
     assert all(found[i] == i for i in found if i >= 1000)
 
 
+def test_unrelated_texts_meet_in_no_list(spark):
+    """However many there are: lists by bytes alone make their number of chance meetings grow with its square."""
+    draw = random.Random(11)
+    rows = [(i, " ".join(f"u{draw.randrange(10**6)}" for _ in range(30))) for i in range(4000)]
+    rows += [(4000 + i, rows[i][1] + " more") for i in range(20)]
+    prints = spark.createDataFrame(rows, "num long, text string").select("num", simhash.wide_prints(F.col("text")).alias("s")).select("num", "s.*")
+    met = simhash._wide_postings(prints).groupBy("list").agg(F.collect_set(F.col("num") % 4000).alias("who"), F.count("*").alias("many"))
+    found = met.filter("many > 1").collect()
+    assert all(len(r["who"]) == 1 for r in found)
+    assert {r["who"][0] for r in found} == set(range(20))
+
+
 def test_a_crowd_of_near_copies_and_long_texts(spark):
     """A third of the rows alike, each with a change of its own; one text of a hundred thousand words."""
     draw = random.Random(3)
