@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 from conftest import rows
-from strainwise.operators import browser, genes, ingest, lineage, matrix, qc, relational as rel, submissions
+from strainwise.operators import browser, genes, ingest, lineage, matrix, qc, relational as rel, submissions, subspace
 from strainwise.plans import intake, registry
 from strainwise.plans.derived import Inputs
 from strainwise.session import work_area
@@ -74,6 +74,20 @@ def test_components_of_many_columns_leave_no_stages(spark, frame):
     assert np.allclose(np.abs([r[1:] for r in found]), np.abs(numpy_scores(x, 4)), atol=1e-4)
 
 
+def test_directions_kept_are_bounded(frame, monkeypatch):
+    """Close variances take many passes; a pass writes no more directions than the one before, and the components stay those of numpy."""
+    random = np.random.default_rng(8)
+    x = random.choice([0.0, 1.0, -1.0], size=(150, 200), p=[0.9, 0.05, 0.05])
+    held = []
+    products = subspace._products
+    monkeypatch.setattr(subspace, "_products", lambda columns, width, block: held.append(width) or products(columns, width, block))
+    entries = frame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x))], "sample_id int, column int, value double")
+    samples = frame([(i,) for i in range(150)], "sample_id int")
+    found = matrix.subspace_pca(entries, samples, 1).orderBy("sample_id").collect()
+    assert np.allclose(np.abs([r[1:] for r in found]), np.abs(numpy_scores(x, 1)), atol=1e-4)
+    assert len(held) > subspace.MOST_BLOCKS and max(held) <= subspace.MOST_BLOCKS * 5
+
+
 def test_nothing_varies(frame):
     entries = frame([(i, 0, 2.0) for i in range(5)], "sample_id int, column int, value double")
     samples = entries.select("sample_id")
