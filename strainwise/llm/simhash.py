@@ -301,7 +301,7 @@ def link_documents(docs: DataFrame, bodies: DataFrame, words: int, least: int, s
     nearest = tallied.groupBy("dst").agg(F.max(F.struct("tally", "src")).alias("best")).select(F.col("best.src").alias("src"), "dst")
     first = _verified(stages.cut(nearest), docs, bodies, words, stages)
 
-    so_far = stages.cut(connected_components(first)).withColumnRenamed("node", "num")
+    so_far = connected_components(first).withColumnRenamed("node", "num")
     placed = met.join(so_far, "num", "left").withColumn("component", F.coalesce("component", "num"))
     mixed = placed.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
     open_ = stages.cut(placed.join(mixed, "list").join(prints, "num").select("list", "num", "component", "print"))
@@ -340,7 +340,7 @@ def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, least:
                 F.min(F.struct("key", "version")).alias("of"), F.first("n").alias("n"), F.first("print").alias("print"), F.first("least").alias("least")
             ).withColumn("num", F.monotonically_increasing_id())
         )
-        named = stages.cut(link_documents(distinct.filter("n > 0"), bodies, words, least, stages))
+        named = link_documents(distinct.filter("n > 0"), bodies, words, least, stages)
         whole = (
             distinct.select("id", "num", "of").join(named.withColumnRenamed("node", "num"), "num", "left")
             .withColumn("component", F.coalesce("component", "num"))

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strainwise.llm import line_dedup, simhash
+from strainwise.llm import components, line_dedup, simhash
 from strainwise.llm.components import connected_components
 
 
@@ -195,6 +195,37 @@ def test_components(spark):
     assert {(r["node"], r["component"]) for r in out} == set(brute_components(nodes, links).items())
 
 
+def test_components_of_a_task_need_no_round(spark, monkeypatch):
+    """The links that one task reads are joined there, whatever the chain; nodes are numbers or structs of them."""
+    rounds = []
+    monkeypatch.setattr(components, "_large_star", lambda edges, step=components._large_star: rounds.append(1) or step(edges))
+    order = random.Random(3).sample(range(300), 300)
+    chain = spark.createDataFrame([(a, b) for a, b in zip(order, order[1:])], "src long, dst long").coalesce(1)
+    kept = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert {tuple(r) for r in connected_components(chain).collect()} == {(n, 0) for n in range(300)}
+        pair = "struct({0} - 150 AS a, {0} AS b) AS {0}"
+        pairs = connected_components(chain.selectExpr(pair.format("src"), pair.format("dst"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if kept is None else spark.conf.set("spark.sql.files.minPartitionNum", kept)
+    assert {(r.node.a, r.node.b, r.component.a, r.component.b) for r in pairs} == {(n - 150, n, -150, 0) for n in range(300)}
+    assert len(rounds) == 0
+
+
+def test_components_over_many_tasks(spark, monkeypatch):
+    """Small chunks leave the joining to the rounds; a node with many links, chains and names that are no numbers."""
+    monkeypatch.setattr(components, "CHUNK", 7)
+    rng = random.Random(8)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(500, 500 + i) for i in range(1, 90)]
+    of = brute_components(sorted({n for pair in links for n in pair}), links)
+    wanted = {n: of[n] for pair in links if pair[0] != pair[1] for n in pair}
+    table = spark.createDataFrame(links, "src long, dst long").repartition(8)
+    assert {r.node: r.component for r in connected_components(table).collect()} == wanted
+    named = table.selectExpr("format_string('%03d', src) AS src", "format_string('%03d', dst) AS dst")
+    assert {int(r.node): int(r.component) for r in connected_components(named).collect()} == wanted
+
+
 def distance(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a):
