@@ -65,7 +65,7 @@ FROM {genotype_af} g JOIN {cohort} s ON s.sample_id = g.sample_id JOIN {variant_
 
 
 def gencat(t):
-    return cohort.categorised_genotypes(t.genotype, t.variant_category, t.cohort)
+    return cohort.categorised_genotypes(t.of_cohort().genotype, t.variant_category, t.cohort)
 
 
 @query("categorised_genotypes", GENCAT)
@@ -84,7 +84,7 @@ def sample_drug(t):
 
 @query("missing_tier_samples", f"SELECT DISTINCT d.drug_name, m.sample_id, m.tier FROM ({MISSING}) m JOIN {{drug}} d ON d.drug_id = m.drug_id")
 def _(t):
-    return cohort.missing_tier_samples(sample_drug(t), gencat(t), t.locus_stats, t.tier, t.drug)
+    return cohort.missing_tier_samples(sample_drug(t), gencat(t), t.of_cohort().locus_stats, t.tier, t.drug)
 
 
 _POSITIONS = "SELECT gene_db_crossref_id, variant_category, predicted_effect, string_agg(DISTINCT CAST(position AS STRING), ';' ORDER BY CAST(position AS STRING)) AS position FROM {variant_category} GROUP BY 1, 2, 3"
@@ -105,7 +105,7 @@ LEFT JOIN ({_POSITIONS}) p ON p.gene_db_crossref_id = x.gene_db_crossref_id AND
 
 @query("genotype_extract", _extract(True))
 def _(t):
-    return cohort.genotype_extract(sample_drug(t), gencat(t), positions(t), t.locus_stats, t.drug, t.symbol, t.tier)
+    return cohort.genotype_extract(sample_drug(t), gencat(t), positions(t), t.of_cohort().locus_stats, t.drug, t.symbol, t.tier)
 
 
 @query("genotype_extract_orphan", _extract(False))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -262,7 +263,7 @@ class Inputs:
     """Views and tables of one data folder as lazily built DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._built = spark, folder, {}
+        self.spark, self.folder, self._built, self._of_cohort = spark, folder, {}, None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -274,6 +275,15 @@ class Inputs:
                 raise AttributeError(name)
         return self._built[name]
 
+    def of_cohort(self) -> Inputs:
+        """The same tables, of the orders those of the cohort's samples.  Every call hangs on an order and every order on a sample, so ``genotype`` and
+        ``locus_stats`` of these are the cohort's rows; the other samples' go before they are dealt out."""
+        if self._of_cohort is None:
+            self._of_cohort = Inputs(self.spark, self.folder)
+            samples = self.cohort.select(F.col("sample_id").cast("long").alias("__sample"))
+            self._of_cohort._built["orders"] = self.orders.join(samples, F.col("o_custkey") == F.col("__sample"), "left_semi")
+        return self._of_cohort
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{name: getattr(self, name) for name in _names(text)})
 

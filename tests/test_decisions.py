@@ -128,6 +128,16 @@ def test_uncovered_genes_are_added_unless_deleted(frame):
     assert rows(cohort.missing_tier_samples(sample_drug, calls, stats, tier, drug)) == [("D", 2, 1)]
 
 
+def test_calls_and_loci_of_the_cohort(spark):
+    """Derived from the cohort's orders alone they are the rows that a filter by sample leaves of all."""
+    inputs = Inputs(spark, SMALL)
+    for name in ("genotype", "locus_stats"):
+        whole, of_cohort = getattr(inputs, name), getattr(inputs.of_cohort(), name)
+        wanted = rows(whole.join(inputs.cohort, "sample_id", "left_semi"))
+        assert 0 < len(wanted) < whole.count()
+        assert rows(of_cohort.select(*whole.columns)) == wanted
+
+
 def test_lineage_markers(frame):
     markers = frame([(1, 100, True, 1), (2, 200, False, 2), (3, 200, False, 2)], "variant_id int, position int, count_presence boolean, lineage_id int")
     names = frame([(1, "4.1"), (2, "4.9")], "id int, lineage_numbering string")
