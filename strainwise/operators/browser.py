@@ -11,12 +11,14 @@ from strainwise.operators.relational import map_by_group
 from strainwise.sources.sinks import json_number
 
 VARIANT_FIELDS = ["variant_id", "pos", "consequence", "hgvsc", "hgvsp", "info", "group_results"]
-REFERENCE_LENGTH = 4411532
 DATASET = "tb"
 
 
-def variant_results(results: DataFrame, annotations: DataFrame, length: int = REFERENCE_LENGTH) -> DataFrame:
-    """Variants with annotation, place, alleles and a map of results per analysis group."""
+def variant_results(results: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Annotated variants, every one of them, with place, alleles and a map of results per analysis group.
+
+    A position may lie beyond the reference; one that is no number raises, a missing one is NULL.
+    """
     fields = [name for name in results.columns if name not in ("ID", "analysis_group")]
     grouped = map_by_group(results, "ID", "analysis_group", fields)
     part = F.split("variant_key", ":")
@@ -31,7 +33,7 @@ def variant_results(results: DataFrame, annotations: DataFrame, length: int = RE
         )
         .join(grouped, "ID", "left")
         .select(
-            F.struct(part[0].alias("contig"), part[1].try_cast("int").alias("position")).alias("locus"),
+            F.struct(part[0].alias("contig"), part[1].cast("int").alias("position")).alias("locus"),
             F.array(part[2], part[3]).alias("alleles"),
             "gene_id",
             "consequence",
@@ -40,7 +42,6 @@ def variant_results(results: DataFrame, annotations: DataFrame, length: int = RE
             F.struct(F.lit(1).alias("in_analysis"), F.lit("").alias("comment"), F.lit(0).alias("cadd")).alias("info"),
             "group_results",
         )
-        .where(F.col("locus.position").between(1, length))
     )
 
 

@@ -359,6 +359,21 @@ def test_documents_are_valid_json_and_hot_genes_are_split(frame):
     assert len(several) > 1 and sorted(v[0] for part in several for v in part) == sorted(v[0] for v in bodies["7_tb_variants.json"]["variants"])
 
 
+def test_no_variant_is_left_out_by_its_place(frame):
+    """Positions beyond the reference, below one and missing ones keep their rows, down to the documents; a place that is no number raises."""
+    results = frame([(1, 2, "g1"), (2, 3, "g1"), (4, 5, "g2")], "ID int, ac_case int, analysis_group string")
+    kinds = "ID int, `Variant ID` string, Consequence string, gene_id string, HGVSc string, HGVSp string"
+    places = {1: "chr1:4411532:A:C", 2: "chr1:4411533:A:C", 3: "chr1:0:A:C", 4: None}
+    out = browser.variant_results(results, frame([(i, p, f"v{i}", "7", None, None) for i, p in places.items()], kinds))
+    found = {r.consequence: (r.locus.position, r.alleles, sorted(r.group_results or {})) for r in out.collect()}
+    assert found == {"v1": (4411532, ["A", "C"], ["g1"]), "v2": (4411533, ["A", "C"], ["g1"]), "v3": (0, ["A", "C"], []), "v4": (None, [None, None], ["g2"])}
+    genes, by_gene = frame([("7",)], "gene_id string"), browser.gene_results(frame([("7", "g1", 3)], "gene_id string, analysis_group string, n int"))
+    _, documents = browser.combine_browser(genes, by_gene, out)
+    assert sorted(v.consequence for r in documents.collect() for v in r.variants) == ["v1", "v2", "v3", "v4"]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        browser.variant_results(results, frame([(1, "chr1:x:A:C", "v", "7", None, None)], kinds)).collect()
+
+
 def test_feature_lines_and_genes_are_read_once(frame):
     """Genes, transcripts and exons do not each parse the lines again, nor does each document of a gene join its results again."""
     lines = frame([(f"chr1\ts\t{kind}\t1\t9\t.\t+\t.\tDbxref_GeneID=7;locus_tag=Rv7;transcript_id=T7.1",) for kind in ("gene", "transcript", "exon")], "value string")
