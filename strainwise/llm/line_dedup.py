@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainwise.llm.components import connected_components
-from strainwise.session import Stages, cut_lineage
+from strainwise.session import Stages, cut_lineage, dealt
 
 KEYED = ["key", "version"]
 #: Letters that are counted to spare comparisons, eight to a long; frequent ones tell most, any would be right.
@@ -225,7 +225,7 @@ def near_links(df: DataFrame, key: str, text: str, edits: int, min_chars: int, s
         F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.col("indexed").cast("int")).alias("held")
     ).filter("low < high AND held = 1")
     counts = [c.alias(f"letters{i}") for i, c in enumerate(_letters(line))]
-    members = entries.join(company.select("entry"), "entry").join(distinct, "id")
+    members = dealt(entries).join(company.select("entry"), "entry").join(dealt(distinct), "id")
     told = stages.cut(members.select(
         "entry", "indexed", F.struct("id", F.xxhash64(F.lit(1), "line").alias("check")).alias("id"), "line",
         F.length("line").alias("chars"), *counts,
@@ -240,7 +240,7 @@ def near_links(df: DataFrame, key: str, text: str, edits: int, min_chars: int, s
     )
     near = (F.col("other_chars") - F.col("one_chars") <= edits) & (_letters_apart("one_letters", "other_letters") <= 2 * edits)
     links = stages.cut(
-        side("one", told.filter("indexed")).join(side("other", told), (
+        dealt(side("one", told.filter("indexed"))).join(side("other", told), (
             (F.col("one_entry") == F.col("other_entry")) & ordered & near
             & edit_distance_within(F.col("one_line"), F.col("other_line"), edits)
         )).select(F.least("one_id", "other_id").alias("src"), F.greatest("one_id", "other_id").alias("dst")).distinct()
@@ -266,19 +266,19 @@ def line_classes(df: DataFrame, key: str, text: str, edits: int = 2, min_chars:
             links.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         )
         named = stages.cut(
-            connected_components(links).join(degree, "node").select("node.id", "node.check", "component", "n_links")
+            connected_components(links).join(dealt(degree), "node").select("node.id", "node.check", "component", "n_links")
         )
         # Equal rows of the input are one document: their lines count once.
         counted = keys.groupBy("id", "check").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
-        placed = counted.join(named, ["id", "check"], "left").filter("first <> last OR component IS NOT NULL")
+        placed = dealt(counted).join(named, ["id", "check"], "left").filter("first <> last OR component IS NOT NULL")
         placed = stages.cut(placed)
         lowest = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("class"))
         company = (
-            placed.join(lowest, "component", "left")
+            dealt(placed).join(lowest, "component", "left")
             .select("id", "check", F.coalesce("class", "first").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
         )
         return cut_lineage(
-            keys.join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
+            dealt(keys).join(company, ["id", "check"]).select("key", "version", "line_no", "class", "n_links").distinct()
         )
 
 
@@ -304,7 +304,7 @@ def dedup_lines(
     )
     body, least = F.col(f"`{text}`"), min_chars if shortest is None else shortest
     joined = df.withColumn("__of", F.xxhash64(body)).join(
-        dropped, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__of") == F.col("__version")), "left"
+        dealt(dropped), F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__of") == F.col("__version")), "left"
     )
     kept = F.array_join(
         F.filter(

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strainwise.llm.components import connected_components
-from strainwise.session import Stages, cut_lineage
+from strainwise.session import Stages, cut_lineage, dealt
 
 SEED = 42
 #: Least similarity of sets of shingles, as a fraction.
@@ -136,10 +136,10 @@ def link_fingerprints(fingerprints: DataFrame, max_bits: int = 4, longest_list:
     """
     index = postings(fingerprints, max_bits)
     sizes = index.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cut_lineage(index.join(sizes, "list"))
+    met = cut_lineage(dealt(index).join(sizes, "list"))
     short = met.filter(F.col("n") <= longest_list).select("list", "fp")
     other = short.select(F.col("list"), F.col("fp").alias("dst"))
-    left = short.withColumnRenamed("fp", "src")
+    left = dealt(short.withColumnRenamed("fp", "src"))
     same = sum(
         ((byte_at(F.col("src"), p) == byte_at(F.col("dst"), p)).cast("int") for p in range(8)), F.lit(0)
     )
@@ -159,7 +159,7 @@ def _stars(crowded: DataFrame, max_bits: int) -> DataFrame:
     middles = cut_lineage(midpoints(crowded, max_bits // 2))
     centre = middles.groupBy("middle").agg(F.min("fp").alias("src"), F.count("*").alias("n")).filter("n > 1")
     return (
-        middles.join(centre.drop("n"), "middle").filter("src < fp").select("src", F.col("fp").alias("dst"))
+        dealt(middles).join(centre.drop("n"), "middle").filter("src < fp").select("src", F.col("fp").alias("dst"))
     )
 
 
@@ -176,13 +176,13 @@ def near_duplicates(
     links = link_fingerprints(distinct.select("fp"), max_bits, longest_list)
     named = connected_components(links)
     smallest = (
-        distinct.join(named.withColumnRenamed("node", "fp"), "fp", "left")
+        dealt(distinct).join(named.withColumnRenamed("node", "fp"), "fp", "left")
         .withColumn("component", F.coalesce("component", "fp"))
     )
     # Fingerprints without links are components of their own; only linked ones need the smallest key of their component.
     lowest = smallest.groupBy("component").agg(F.min("key").alias("lowest"))
-    of_print = smallest.join(lowest, "component").select("fp", F.col("lowest").alias("component"))
-    return prints.join(of_print, "fp").select("key", "fp", "component")
+    of_print = dealt(smallest).join(lowest, "component").select("fp", F.col("lowest").alias("component"))
+    return dealt(prints).join(of_print, "fp").select("key", "fp", "component")
 
 
 def _wide_print(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +251,8 @@ def _wide_postings(docs: DataFrame) -> DataFrame:
             keys = keys * _MIXES[0] + least.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(batch), WIDE)[:, turn]
             yield pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(pairs), dtype=np.int32), pa.array(keys.view(np.int64).ravel()))
 
-    return docs.select(lists("print", "least").alias("lists"), "num").select(F.explode("lists").alias("list"), "num")
+    # Outer, though no array is empty: a plain explode has the planner ask for the lists twice, once to look for empty ones.
+    return docs.select(lists("print", "least").alias("lists"), "num").select(F.explode_outer("lists").alias("list"), "num")
 
 
 def _shared_bytes(a: Column, b: Column) -> Column:
@@ -267,15 +268,15 @@ def _shared_bytes(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, docs: DataFrame, bodies: DataFrame, words: int, stages: Stages) -> DataFrame:
     """(src, dst) of the pairs whose sets of shingles are similar; sets are made for the documents of pairs only."""
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("num")).distinct().join(docs.select("num", "of"), "num")
-    held = bodies.join(wanted, (bodies["version"] == F.col("of.version")) & bodies["key"].eqNullSafe(F.col("of.key")))
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("num")).distinct().join(dealt(docs.select("num", "of")), "num")
+    held = dealt(bodies).join(wanted, (bodies["version"] == F.col("of.version")) & bodies["key"].eqNullSafe(F.col("of.key")))
     # Equal rows of the input hold the same text.
     found = stages.cut(held.dropDuplicates(["num"]).select("num", shingle_sets(F.col("body"), words).alias("shingles")))
     one = found.select(F.col("num").alias("src"), F.col("shingles").alias("a"))
     two = found.select(F.col("num").alias("dst"), F.col("shingles").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
     similar = (OVER + UNDER) * shared >= OVER * (F.size("a") + F.size("b"))
-    links = stages.cut(pairs.join(one, "src").join(two, "dst").filter(similar).select("src", "dst"))
+    links = stages.cut(pairs.join(dealt(one), "src").join(dealt(two), "dst").filter(similar).select("src", "dst"))
     stages.drop(found)
     return links
 
@@ -291,8 +292,8 @@ def link_documents(docs: DataFrame, bodies: DataFrame, words: int, least: int, s
     prints = docs.select("num", "print")
     index = _wide_postings(docs)
     company = index.groupBy("list").agg(F.min("num").alias("lead"), F.count("*").alias("many")).filter("many > 1")
-    met = stages.cut(index.join(company.select("list", "lead"), "list"))
-    src, dst = (prints.select(F.col("num").alias(n), F.col("print").alias(f"{n}_print")) for n in ("src", "dst"))
+    met = stages.cut(dealt(index).join(company.select("list", "lead"), "list"))
+    src, dst = (dealt(prints.select(F.col("num").alias(n), F.col("print").alias(f"{n}_print"))) for n in ("src", "dst"))
     stars = met.filter("num <> lead").select(F.col("lead").alias("src"), F.col("num").alias("dst")).distinct()
     tally = _shared_bytes(F.col("src_print"), F.col("dst_print"))
     tallied = stages.cut(
@@ -302,23 +303,23 @@ def link_documents(docs: DataFrame, bodies: DataFrame, words: int, least: int, s
     first = _verified(stages.cut(nearest), docs, bodies, words, stages)
 
     so_far = connected_components(first).withColumnRenamed("node", "num")
-    placed = met.join(so_far, "num", "left").withColumn("component", F.coalesce("component", "num"))
+    placed = dealt(met).join(so_far, "num", "left").withColumn("component", F.coalesce("component", "num"))
     mixed = placed.groupBy("list").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("list")
-    open_ = stages.cut(placed.join(mixed, "list").join(prints, "num").select("list", "num", "component", "print"))
+    open_ = stages.cut(dealt(placed).join(mixed, "list").join(dealt(prints), "num").select("list", "num", "component", "print"))
     # Of two documents of different components, one is outside the list's largest.
     sizes = open_.groupBy("list", "component").agg(F.count("*").alias("many"))
     largest = sizes.groupBy("list").agg(F.max(F.struct("many", "component"))["component"].alias("largest"))
-    outside = open_.join(largest, "list").filter("component <> largest").drop("largest")
+    outside = dealt(open_).join(largest, "list").filter("component <> largest").drop("largest")
     one, two = (
         side.select(F.col("list").alias(f"{n}_list"), *[F.col(c).alias(f"{n}_{c}") for c in ("num", "component", "print")])
         for side, n in ((outside, "src"), (open_, "dst"))
     )
-    apart = one.join(
+    apart = dealt(one).join(
         two, (F.col("src_list") == F.col("dst_list")) & (F.col("src_component") != F.col("dst_component")) & (tally >= least)
     )
     bridges = stages.cut(
         apart.select(F.least("src_num", "dst_num").alias("src"), F.greatest("src_num", "dst_num").alias("dst")).distinct()
-        .join(nearest, ["src", "dst"], "left_anti")
+        .join(dealt(nearest), ["src", "dst"], "left_anti")
     )
     second = _verified(bridges, docs, bodies, words, stages)
     return connected_components(first.union(second))
@@ -342,12 +343,12 @@ def similar_documents(df: DataFrame, key: str, text: str, words: int = 5, least:
         )
         named = link_documents(distinct.filter("n > 0"), bodies, words, least, stages)
         whole = (
-            distinct.select("id", "num", "of").join(named.withColumnRenamed("node", "num"), "num", "left")
+            dealt(distinct.select("id", "num", "of")).join(named.withColumnRenamed("node", "num"), "num", "left")
             .withColumn("component", F.coalesce("component", "num"))
         )
         lowest = whole.groupBy("component").agg(F.min("of").alias("lowest"))
-        of_set = whole.join(lowest, "component").select("id", F.col("lowest").alias("component"))
-        return cut_lineage(sets.select("key", "version", "id").join(of_set, "id").select("key", "version", "component"))
+        of_set = dealt(whole).join(lowest, "component").select("id", F.col("lowest").alias("component"))
+        return cut_lineage(dealt(sets.select("key", "version", "id")).join(of_set, "id").select("key", "version", "component"))
 
 
 def keep_one_of_each(df: DataFrame, key: str, text: str, **settings) -> DataFrame:
@@ -357,7 +358,7 @@ def keep_one_of_each(df: DataFrame, key: str, text: str, **settings) -> DataFram
     repeated = first.count() > first.distinct().count()
     chosen = first.select(F.col("key").alias("__key"), F.col("version").alias("__version")).distinct()
     of = F.xxhash64(F.col(f"`{text}`"))
-    kept = df.join(chosen, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (of == F.col("__version")), "left_semi")
+    kept = df.join(dealt(chosen), F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (of == F.col("__version")), "left_semi")
     if not repeated:
         return kept
     # Several rows under one key with the same text: any further columns decide which stays.

@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from strainwise import session
 from strainwise.llm import components, line_dedup, simhash
 from strainwise.llm.components import connected_components
 
@@ -330,3 +331,29 @@ def test_copies_of_short_lines(spark):
 def test_too_short_lines_are_refused(spark):
     with pytest.raises(ValueError):
         line_dedup.line_classes(spark.createDataFrame([], "k long, t string"), "k", "t", 2, 3)
+
+
+def test_tables_that_grow_are_never_broadcast(frame, monkeypatch):
+    """Sizes guessed from files say little of lists, sets and texts: below Spark's default bound the index of 0.5 GB of documents was sent to
+    the driver.  Nor are the lists made twice, once to look for empty ones."""
+    texts = [f"line {i} of a text that goes on for a while\n" + " ".join(f"w{(i // 2 * 31 + j) % 977}" for j in range(60)) for i in range(12)]
+    docs = frame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return df
+
+    class Noting(session.Stages):
+        def cut(self, df):
+            return super().cut(noted(df))
+
+    for module in (simhash, line_dedup):
+        monkeypatch.setattr(module, "Stages", Noting)
+        monkeypatch.setattr(module, "cut_lineage", lambda df: session.cut_lineage(noted(df)))
+    noted(simhash.keep_one_of_each(docs, "doc_id", "text"))
+    lists = [p for p in plans if "lists(" in p]
+    assert lists and all("size(" not in p for p in lists)
+    noted(line_dedup.dedup_lines(docs, "doc_id", "text"))
+    assert sum("SortMergeJoin" in p for p in plans) > 8
+    assert not [p for p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p]
