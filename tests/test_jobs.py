@@ -180,6 +180,18 @@ def test_one_hot_group_gives_the_same_best_rows(spark):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_copies_of_a_product_are_not_broadcast(spark, frame):
+    """The planner does not count the copies of the smaller side: it sent 256 times the reference row to the driver."""
+    varying = frame([(i, 7 * i, 1, 2) for i in range(50)], "variant_id int, position int, reference_int int, alternative_int int")
+    calls, samples = frame([(1, 3, 0.9)], "sample_id int, variant_id int, dp double"), frame([(1,), (2,)], "sample_id int")
+    dense = matrix.dense_genotype_calls(calls, varying, samples)
+    assert dense.count() == 100
+    paired = rel.pair_all(samples, spark.range(3), "sample_id")
+    for plan in (p._jdf.queryExecution().sparkPlan().toString() for p in (paired, dense)):
+        assert "BroadcastHashJoin [_slot" not in plan and "SortMergeJoin [_slot" in plan
+    assert paired.columns == ["sample_id", "id"]
+
+
 def test_pair_all_is_complete(spark):
     out = rel.pair_all(spark.range(37).withColumnRenamed("id", "a"), spark.range(5).withColumnRenamed("id", "b"), "a")
     assert out.count() == 185 and out.distinct().count() == 185
