@@ -197,6 +197,14 @@ def test_pair_all_is_complete(spark):
     assert out.count() == 185 and out.distinct().count() == 185
 
 
+def test_a_product_is_in_the_order_of_its_smaller_side(spark):
+    """A row of the smaller side meets all rows of its slot in one run, so a file of the product holds its columns as runs."""
+    out = rel.pair_all(spark.range(1500).withColumnRenamed("id", "a"), spark.range(4).withColumnRenamed("id", "b"), "a")
+    slot = F.pmod(F.xxhash64("a"), F.lit(rel.PAIR_SLOTS))
+    met = [tuple(r) for r in out.select(slot, "b").collect()]
+    assert len(met) == 6000 and len([1 for x, y in zip([None, *met], met) if x != y]) == len(set(met))
+
+
 def test_resolve_first_prefers_the_first_table(frame):
     df = frame([("x",), ("y",), ("z",)], "name string")
     first, second = frame([("x", 1)], "n string, i int"), frame([("x", 9), ("y", 2), ("y", 3)], "n string, i int")
